@@ -6,14 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def request_id(source: Column | str, partition: Column | str, offset: Column | str) -> Column:
-    """32 hex chars derived from the input position instead of random bytes."""
-    return F.md5(F.concat_ws("|", F.col(source) if isinstance(source, str) else source,
-                             F.col(partition) if isinstance(partition, str) else partition,
-                             F.col(offset) if isinstance(offset, str) else offset))
+def _c(x: Column | str) -> Column:
+    return F.col(x) if isinstance(x, str) else x
+
+
+def request_id(*parts: Column | str) -> Column:
+    """32 hex chars derived from the input position (``md5`` of the parts joined by '|')."""
+    return F.md5(F.concat_ws("|", *[_c(p).cast("string") for p in parts]))
 
 
 def execution_id(bid_id: Column | str, ask_id: Column | str) -> Column:
     """Execution id = buy request id, '-', sell request id."""
-    return F.concat_ws("-", F.col(bid_id) if isinstance(bid_id, str) else bid_id,
-                       F.col(ask_id) if isinstance(ask_id, str) else ask_id)
+    return F.concat_ws("-", _c(bid_id), _c(ask_id))

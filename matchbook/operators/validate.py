@@ -56,8 +56,8 @@ def ingest_checked(raw: DataFrame, partitions: int = 3) -> DataFrame:
     )
     return checked.select(
         "*",
-        derive_request_id("source", F.lit(""), "offset").alias("request_id"),
-        route("symbol", derive_request_id("source", F.lit(""), "offset"), partitions).alias("partition"),
+        derive_request_id("source", "offset").alias("request_id"),
+        route("symbol", derive_request_id("source", "offset"), partitions).alias("partition"),
     )
 
 

@@ -9,8 +9,8 @@ allocates the incoming size over the crossing prefix by prefix sums.
 from __future__ import annotations
 
 # The order-flow view over ``events`` (integer arithmetic only).
-FLOW = """
-flow AS (
+FLOW_ALL = """
+flow_all AS (
   SELECT event_id AS "offset",
          'r' || CAST(event_id AS VARCHAR) AS request_id,
          CAST(ts AS TIMESTAMP) AS received_at,
@@ -19,9 +19,11 @@ flow AS (
          CAST(CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS INTEGER) AS side,
          CAST((100 + CAST(floor(value) AS BIGINT) % 11) * 1000000 AS BIGINT) AS price,
          CAST(1 + (event_id // 2) % 9 AS BIGINT) AS size,
-         event_type, user_id
-  FROM events WHERE event_type <> 'error'
+         event_type
+  FROM events
 )"""
+FLOW = FLOW_ALL + """,
+flow AS (SELECT * EXCLUDE (event_type) FROM flow_all WHERE event_type <> 'error')"""
 
 
 def lex_position_sql(expr: str) -> str:
@@ -105,12 +107,164 @@ def with_match(final_select: str, extra_ctes: str = "") -> str:
     return f"WITH RECURSIVE {ctes}\n{final_select}"
 
 
-EXECUTIONS = with_match("""
+
+_EXEC_ROWS = """
 SELECT symbol, f.price AS price, f.q AS size, f.bid AS bid_request_id, f.ask AS ask_request_id,
        received_at AS executed_at, f.bid || '-' || f.ask AS execution_id
-FROM (SELECT symbol, received_at, unnest(fills) AS f FROM steps WHERE seq > 0)
-""")
+FROM (SELECT symbol, received_at, unnest(fills) AS f FROM steps WHERE seq > 0)"""
+
+EXECUTIONS = with_match(_EXEC_ROWS)
+
+_LAST = """
+last AS (SELECT * FROM steps QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY seq DESC) = 1)"""
+
+RESTING = with_match("""
+SELECT symbol, 'BUY' AS side, b.id AS id, -b.k AS price, b.q AS size, b.s AS seq
+FROM (SELECT symbol, unnest(bids) AS b FROM last)
+UNION ALL
+SELECT symbol, 'SELL' AS side, a.id AS id, a.k AS price, a.q AS size, a.s AS seq
+FROM (SELECT symbol, unnest(asks) AS a FROM last)
+""", _LAST)
+
+TOP_OF_BOOK = with_match("""
+SELECT symbol, bids[1].id AS bid_id, -bids[1].k AS bid_price, bids[1].q AS bid_size,
+       asks[1].id AS ask_id, asks[1].k AS ask_price, asks[1].q AS ask_size
+FROM last WHERE len(bids) > 0 OR len(asks) > 0
+""", _LAST)
+
+_FLAT_ORDER = "STRUCT(side VARCHAR, id VARCHAR, price BIGINT, size BIGINT, seq BIGINT)"
+_SNAP = """
+snap AS (
+  SELECT symbol, seq AS orderbook_seq, "offset" AS last_offset, received_at AS created_at,
+         "partition" AS trades_partition, bids, asks
+  FROM steps WHERE seq > 0 AND seq % 10 = 0
+)"""
+
+
+def _flatten(src: str) -> str:
+    orders = ("list_concat(list_transform(bids, lambda b: {'side': 'BUY', 'id': b.id, 'price': -b.k, 'size': b.q, 'seq': b.s}), "
+              "list_transform(asks, lambda a: {'side': 'SELL', 'id': a.id, 'price': a.k, 'size': a.q, 'seq': a.s}))")
+    return f"""
+SELECT symbol, orderbook_seq, last_offset, created_at, trades_partition,
+       o.side AS side, o.id AS id, o.price AS price, o.size AS size, o.seq AS seq
+FROM (SELECT *, unnest(CASE WHEN len(bids) + len(asks) = 0 THEN [CAST(NULL AS {_FLAT_ORDER})]
+                            ELSE CAST({orders} AS {_FLAT_ORDER}[]) END) AS o FROM {src})"""
+
+
+BOOK_SNAPSHOTS = with_match(_flatten("snap"), _SNAP)
+
+LATEST_SNAPSHOTS = with_match(_flatten("latest"), _SNAP + """,
+latest AS (SELECT * FROM snap QUALIFY row_number() OVER (
+  PARTITION BY symbol ORDER BY created_at DESC, orderbook_seq DESC, trades_partition DESC, last_offset DESC) = 1)""")
+
+_CUT = """
+cut AS (SELECT max("offset") // 2 AS c FROM flow),
+snapcut AS (
+  SELECT symbol, max(seq) AS sseq FROM steps
+  WHERE seq > 0 AND seq % 10 = 0 AND "offset" <= (SELECT c FROM cut) GROUP BY symbol
+)"""
+
+RESTORE_AND_RESUME = with_match("""
+SELECT symbol, f.price AS price, f.q AS size, f.bid AS bid_request_id, f.ask AS ask_request_id,
+       received_at AS executed_at, f.bid || '-' || f.ask AS execution_id
+FROM (SELECT s.symbol, s.received_at, unnest(s.fills) AS f
+      FROM steps s LEFT JOIN snapcut c ON c.symbol = s.symbol
+      WHERE s.seq > coalesce(c.sseq, 0))
+""", _CUT)
+
+_EX = "ex AS (" + _EXEC_ROWS + ")"
+TRADE_COUNT = with_match("SELECT count(*) AS trade_count FROM ex", _EX)
+RECENT_20 = with_match("""
+SELECT executed_at, symbol, price, size FROM ex
+ORDER BY executed_at DESC NULLS FIRST, execution_id LIMIT 20""", _EX)
+RECENT_30 = with_match("""
+SELECT execution_id, symbol, price, size, bid_request_id, ask_request_id, executed_at FROM ex
+ORDER BY executed_at DESC NULLS LAST, execution_id LIMIT 30""", _EX)
+
+# ---- ingest, validation, routing -------------------------------------------
+
+_DIRTY = FLOW_ALL + r""",
+dirty AS (
+  SELECT 'events' AS source, "offset", received_at,
+         CASE WHEN event_type = 'error' AND "offset" % 5 = 3 THEN '   ' ELSE '  ' || lower(symbol) || ' ' END AS symbol,
+         CAST(CASE WHEN event_type = 'error' AND "offset" % 5 = 4 THEN 7 ELSE side END AS INTEGER) AS side,
+         CAST(CASE WHEN event_type = 'error' AND "offset" % 5 IN (0, 2) THEN 0 ELSE price END AS BIGINT) AS price,
+         CAST(CASE WHEN event_type = 'error' AND "offset" % 5 IN (1, 2) THEN 0 ELSE size END AS BIGINT) AS size,
+         event_type
+  FROM flow_all
+),
+norm AS (
+  SELECT *, upper(regexp_replace(symbol, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')) AS nsym,
+         concat_ws('|', symbol, CAST(side AS VARCHAR), CAST(price AS VARCHAR), CAST(size AS VARCHAR)) AS raw
+  FROM dirty
+),
+ing AS (
+  SELECT *, CASE WHEN symbol IS NULL THEN 'missing_instrument' WHEN nsym = '' THEN 'empty_symbol'
+                 WHEN size = 0 THEN 'size' WHEN price = 0 THEN 'price' END AS reason
+  FROM norm
+)"""
+
+INGEST_ACCEPTED = f"""WITH {_DIRTY}
+SELECT {lex_bucket_sql('nsym', 3)} AS "partition", "offset", md5('events|' || CAST("offset" AS VARCHAR)) AS request_id,
+       received_at, nsym AS symbol, side, price, size
+FROM ing WHERE reason IS NULL"""
+
+INGEST_REJECTS = f"""WITH {_DIRTY}
+SELECT 'ingest' AS stage, reason, CAST(NULL AS INTEGER) AS "partition", "offset", raw
+FROM ing WHERE reason IS NOT NULL"""
+
+REJECT_COUNTS = f"""WITH {_DIRTY}
+SELECT stage, reason, count(*) AS n FROM (
+  SELECT 'ingest' AS stage, reason FROM ing WHERE reason IS NOT NULL
+  UNION ALL
+  SELECT 'engine' AS stage, 'unknown_side' AS reason FROM ing WHERE reason IS NULL AND side NOT IN (0, 1)
+) GROUP BY stage, reason"""
+
+LEX_PARTITION = f"""WITH {FLOW}
+SELECT symbol, {lex_position_sql('symbol')} AS position, {lex_bucket_sql('symbol', 3)} AS bucket_3,
+       {lex_bucket_sql('symbol', 8)} AS bucket_8
+FROM (SELECT DISTINCT symbol FROM flow)"""
+
+ENGINE_VALIDATE = f"""WITH {_DIRTY}
+SELECT "offset", symbol, side, price, size,
+       CASE WHEN symbol IS NULL THEN 'missing_instrument' WHEN symbol = '' THEN 'empty_symbol'
+            WHEN price = 0 OR size = 0 THEN 'price_or_size'
+            WHEN side NOT IN (0, 1) THEN 'unknown_side' END AS reason,
+       (symbol IS NOT NULL AND symbol <> '' AND price <> 0 AND size <> 0) AS keyed
+FROM dirty"""
+
+ORDER_SEQUENCE = f"""WITH {FLOW}, {FLOW_P}, {SEQD}
+SELECT symbol, "partition", "offset", seq FROM seqd"""
+
+DUMP_REQUESTS = f"""WITH {FLOW}
+SELECT "offset",
+  '{{"trade":{{"instrument":{{"symbol":"' || symbol || '"}},"side":"'
+  || CASE side WHEN 1 THEN 'BUY' WHEN 0 THEN 'SELL' ELSE CAST(side AS VARCHAR) END
+  || '","price":"' || CAST(price AS VARCHAR) || '","size":"' || CAST(size AS VARCHAR)
+  || '"}},"received_at":"' || strftime(received_at, '%Y-%m-%dT%H:%M:%S.%fZ')
+  || '","request_id":"' || request_id || '"}}' AS json
+FROM flow"""
+
+DECODE_BAD_ROWS = """
+SELECT 'decode' AS stage, 'undecodable' AS reason, event_id AS "offset" FROM events WHERE event_type = 'error'"""
 
 ORACLE = {
+    "ingest_accepted": INGEST_ACCEPTED,
+    "ingest_rejects": INGEST_REJECTS,
+    "reject_counts": REJECT_COUNTS,
+    "lex_partition": LEX_PARTITION,
+    "engine_validate": ENGINE_VALIDATE,
+    "order_sequence": ORDER_SEQUENCE,
     "match_executions": EXECUTIONS,
+    "resting_orders": RESTING,
+    "top_of_book": TOP_OF_BOOK,
+    "book_snapshots_every_10": BOOK_SNAPSHOTS,
+    "latest_snapshots": LATEST_SNAPSHOTS,
+    "restore_and_resume": RESTORE_AND_RESUME,
+    "trades_after_replay": EXECUTIONS,
+    "trade_count": TRADE_COUNT,
+    "recent_20": RECENT_20,
+    "recent_30": RECENT_30,
+    "dump_requests": DUMP_REQUESTS,
+    "decode_bad_rows": DECODE_BAD_ROWS,
 }

@@ -55,7 +55,7 @@ def order_flow(events: DataFrame) -> DataFrame:
     return o.withColumn("partition", lex_bucket("symbol", REQUEST_PARTITIONS)).select(*REQUEST_COLUMNS)
 
 
-def dirty_requests(events: DataFrame) -> DataFrame:
+def dirty_requests(events: DataFrame, keep_type: bool = False) -> DataFrame:
     """All events as raw submit requests, error events broken in one field.
 
     Columns: source, offset, received_at, symbol (raw, padded lower case),
@@ -75,4 +75,5 @@ def dirty_requests(events: DataFrame) -> DataFrame:
         F.when(bad & (k == 4), F.lit(7)).otherwise(F.col("side")).cast("int").alias("side"),
         F.when(bad & k.isin(0, 2), F.lit(0)).otherwise(F.col("price")).cast("decimal(20,0)").alias("price"),
         F.when(bad & k.isin(1, 2), F.lit(0)).otherwise(F.col("size")).cast("decimal(20,0)").alias("size"),
+        *(["event_type"] if keep_type else []),
     )
