@@ -267,4 +267,5 @@ ORACLE = {
     "recent_30": RECENT_30,
     "dump_requests": DUMP_REQUESTS,
     "decode_bad_rows": DECODE_BAD_ROWS,
+    "match_stream": EXECUTIONS,
 }

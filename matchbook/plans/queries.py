@@ -168,6 +168,24 @@ def decode_bad_rows(spark, sf_dir):
     return bad.select("stage", "reason", "offset")
 
 
+# ---- streaming -------------------------------------------------------------
+
+def match_stream(spark, sf_dir):
+    """The events table read as a file stream, matched by the keyed state operator (availableNow).
+
+    Output: the executions the stream's sink wrote; must equal ``match_executions``.
+    """
+    from ..schemas import EXECUTION_COLUMNS
+    from ..streaming.jobs import read_stream_output, run_match_stream
+
+    schema = _events(spark, sf_dir).schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    out = trades.table_folder(spark, "match-stream")
+    run_match_stream(order_flow(stream), out, snapshot_every=SNAPSHOT_EVERY)
+    return read_stream_output(spark, out).select(*EXECUTION_COLUMNS)
+
+
 QUERIES = {
     "ingest_accepted": ingest_accepted,
     "ingest_rejects": ingest_rejects,
@@ -187,4 +205,5 @@ QUERIES = {
     "recent_30": recent_30,
     "dump_requests": dump_requests,
     "decode_bad_rows": decode_bad_rows,
+    "match_stream": match_stream,
 }

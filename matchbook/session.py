@@ -63,4 +63,11 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, name)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(path)
+    # Python processes that do not receive py-files (the streaming state driver
+    # runner) still get the code: functions and classes travel by value.
+    from pyspark import cloudpickle
+
+    import matchbook
+
+    cloudpickle.register_pickle_by_value(matchbook)
     sc._matchbook_shipped = True
