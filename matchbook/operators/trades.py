@@ -16,13 +16,19 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import TRADES_COLUMNS
+from pyspark.sql import types as T
+
+from ..schemas import TRADES_COLUMNS, TRADES_TABLE
 
 ID_BUCKETS = 16
 # Fixed values of the table DDL: VARCHAR(255) ids, VARCHAR(50) symbol.
 ID_MAX_LEN, SYMBOL_MAX_LEN = 255, 50
 EPOCH = "1970-01-01 00:00:00"
 
+# Stored layout: table columns plus the two partition columns.
+STORED = T.StructType(TRADES_TABLE.fields + [T.StructField("batch_id", T.LongType()),
+                                             T.StructField("id_bucket", T.IntegerType())])
+
 
 def table_rows(executions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Project executions to table columns; split off rows the table would refuse."""
@@ -72,7 +78,7 @@ def insert_trades(spark: SparkSession, executions: DataFrame, path: str, batch_i
     order = [c for c in ("partition", "offset", "fill_no") if c in good.columns] or ["executed_at"]
     rows = _with_bucket(first_per_id(good, order), buckets).select(*TRADES_COLUMNS, "id_bucket")
     if _exists(spark, path):
-        stored = (spark.read.parquet(path).filter(F.col("batch_id") != F.lit(batch_id))
+        stored = (spark.read.schema(STORED).parquet(path).filter(F.col("batch_id") != F.lit(batch_id))
                   .select("id_bucket", "execution_id"))
         rows = rows.join(stored, ["id_bucket", "execution_id"], "left_anti")
     (rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -92,7 +98,7 @@ def ensure_trades_table(spark: SparkSession, path: str, name: str = "trades") ->
 
 
 def read_trades(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*TRADES_COLUMNS)
+    return spark.read.schema(STORED).parquet(path).select(*TRADES_COLUMNS)
 
 
 def trade_count(trades: DataFrame) -> DataFrame:

@@ -86,5 +86,23 @@ def run_match_stream(requests: DataFrame, out_dir: str, checkpoint: str | None =
     return query
 
 
+def _output_schemas():
+    from pyspark.sql import types as T
+
+    from ..operators.trades import STORED
+    from ..schemas import EXECUTION, REJECT, SNAPSHOT
+
+    batch = [T.StructField("batch_id", T.LongType())]
+    position = [T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()),
+                T.StructField("fill_no", T.IntegerType())]
+    return {
+        "executions": T.StructType(EXECUTION.fields + position + batch),
+        "snapshots": T.StructType(SNAPSHOT.fields + batch),
+        "rejects": T.StructType(REJECT.fields + batch),
+        "trades": STORED,
+    }
+
+
 def read_stream_output(spark: SparkSession, out_dir: str, kind: str = "executions") -> DataFrame:
-    return spark.read.parquet(os.path.join(out_dir, kind))
+    """Read one output of ``tagged_sink`` with its fixed schema (works on empty outputs too)."""
+    return spark.read.schema(_output_schemas()[kind]).parquet(os.path.join(out_dir, kind))
