@@ -29,16 +29,19 @@ def normalise_symbol(c: Column | str) -> Column:
 def lex_position(c: Column | str) -> Column:
     """Position of a key in [0, 1): sum of letter values (A=0 .. Z=25) times 26^-(i+1).
 
-    Works on UTF-8 bytes of the upper-cased key; any byte that is not an ASCII
-    letter counts 0. Weights are divided down by 26 in double precision, in the
-    same order as the routing rule, so results agree to the last bit.
+    Works on the first five UTF-8 bytes of the upper-cased key; any byte that
+    is not an ASCII letter counts 0. Decoding the UTF-8 bytes as ISO-8859-1
+    turns each byte into one character whose code is the byte value, so
+    ``ascii(substring(...))`` reads byte i. Weights are divided down by 26 in
+    double precision in the routing rule's order, so results agree to the last bit.
     """
-    hexed = F.hex(F.encode(F.upper(_col(c)), "UTF-8"))
+    latin1 = F.decode(F.encode(F.upper(_col(c)), "UTF-8"), "ISO-8859-1")
     score = F.lit(0.0)
     weight = 1.0 / RADIX
     for i in range(POSITION_BYTES):
-        byte = F.conv(F.substring(hexed, 2 * i + 1, 2), 16, 10).cast("int")
-        letter = F.when(byte.between(65, 90), byte - 65).when(byte.between(97, 122), byte - 97).otherwise(0)
+        byte = F.ascii(F.substring(latin1, i + 1, 1))
+        letter = (F.when((byte >= 65) & (byte <= 90), byte - 65)
+                  .when((byte >= 97) & (byte <= 122), byte - 97).otherwise(0))
         score = score + letter.cast("double") * F.lit(weight)
         weight /= RADIX
     return score

@@ -16,22 +16,11 @@ def match_batch(requests: DataFrame, restored: DataFrame | None = None, snapshot
                 num_partitions: int | None = None, emit_final: bool = True) -> DataFrame:
     """Run the books over a bounded request table; returns tagged rows (schemas.TAGGED).
 
-    Rows failing the engine checks never reach the shuffle; they come back as
-    ``kind = 'reject'`` rows next to the operator's own output.
+    One pass over the input: rows failing the engine checks (or refused
+    upstream, see ``validate.ingest_tagged``) travel through the same shuffle,
+    spread by offset, and come back as ``kind = 'reject'`` rows.
     """
-    checked = engine_checked(requests)
-    valid = checked.filter(F.col("engine_reason").isNull()).drop("engine_reason")
-    tagged = match_keyed(keyed_rows(valid, restored), num_partitions, snapshot_every, emit_final)
-    early = checked.filter(F.col("engine_reason").isNotNull()).select(
-        F.lit(KIND_REJECT).alias("kind"), "symbol", "partition", "offset", F.lit(None).cast("long").alias("seq"),
-        F.lit(None).cast("int").alias("fill_no"), F.lit(None).cast("string").alias("side"),
-        F.lit(None).cast("long").alias("price"), F.lit(None).cast("long").alias("size"), "request_id",
-        F.lit(None).cast("string").alias("bid_request_id"), F.lit(None).cast("string").alias("ask_request_id"),
-        F.lit(None).cast("timestamp_ntz").alias("at"), F.col("engine_reason").alias("reason"),
-        F.lit(None).alias("bids"), F.lit(None).alias("asks"),
-    )
-    return tagged.unionByName(
-        early.select(*[F.col(c).cast(tagged.schema[c].dataType).alias(c) for c in tagged.columns]))
+    return match_keyed(keyed_rows(engine_checked(requests), restored), num_partitions, snapshot_every, emit_final)
 
 
 def executions(tagged: DataFrame) -> DataFrame:
@@ -72,8 +61,10 @@ def snapshots(tagged: DataFrame) -> DataFrame:
 
 
 def engine_rejects(tagged: DataFrame) -> DataFrame:
+    """Refused requests of a matching run (stage, reason, partition, offset, raw = request id)."""
     return tagged.filter(F.col("kind") == KIND_REJECT).select(
-        F.lit(STAGE_ENGINE).alias("stage"), "reason", "partition", "offset", F.col("request_id").alias("raw"))
+        F.coalesce(F.col("stage"), F.lit(STAGE_ENGINE)).alias("stage"), "reason", "partition", "offset",
+        F.col("request_id").alias("raw"))
 
 
 def top_of_book(resting: DataFrame) -> DataFrame:

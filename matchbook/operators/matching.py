@@ -28,13 +28,15 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from ..schemas import SIDE_BUY, SIDE_NAMES, SIDE_SELL, TAGGED, TAGGED_COLUMNS
 
-# Phases of keyed input rows: a restored book's header, its resting orders,
-# then the requests themselves.
-PHASE_BOOK, PHASE_ORDER, PHASE_REQUEST = 0, 1, 2
+# Phases of keyed input rows: refused requests (passed through, no book),
+# a restored book's header, its resting orders, then the requests themselves.
+PHASE_REJECT, PHASE_BOOK, PHASE_ORDER, PHASE_REQUEST = -1, 0, 1, 2
 KEYED_COLUMNS = [
     "symbol", "phase", "partition", "offset", "request_id", "received_at", "side", "price", "size", "seq",
+    "stage", "reason",
 ]
-SORT_COLUMNS = ["symbol", "phase", "partition", "offset", "seq"]
+# Refused rows first (phase -1), then each symbol's rows in arrival order.
+SORT_COLUMNS = ["_lane", "symbol", "phase", "partition", "offset", "seq"]
 UNKNOWN_SIDE = "unknown_side"
 _BUY_NAME, _SELL_NAME = SIDE_NAMES[SIDE_BUY], SIDE_NAMES[SIDE_SELL]
 
@@ -117,15 +119,15 @@ class TaggedRows:
     # column order follows schemas.TAGGED
     def fill(self, symbol, partition, offset, seq, n, side_name, price, size, rid, bid, ask, at):
         self.rows.append(("fill", symbol, partition, offset, seq, n, side_name, price, size, rid, bid, ask, at,
-                          None, None, None))
+                          None, None, None, None))
 
-    def reject(self, symbol, partition, offset, seq, rid, reason):
+    def reject(self, symbol, partition, offset, seq, rid, reason, stage="engine"):
         self.rows.append(("reject", symbol, partition, offset, seq, None, None, None, None, rid, None, None, None,
-                          reason, None, None))
+                          reason, stage, None, None))
 
     def snapshot(self, book: Book, at):
         self.rows.append(("snapshot", book.symbol, book.partition, book.last_offset, book.seq, None, None, None,
-                          None, None, None, None, at, None, book.side_orders(SIDE_BUY),
+                          None, None, None, None, at, None, None, book.side_orders(SIDE_BUY),
                           book.side_orders(SIDE_SELL)))
 
     def final(self, book: Book):
@@ -134,9 +136,9 @@ class TaggedRows:
         for side, name in ((SIDE_BUY, _BUY_NAME), (SIDE_SELL, _SELL_NAME)):
             for o in book.side_orders(side):
                 rows.append(("rest", book.symbol, book.partition, book.last_offset, o["seq"], None, name,
-                             o["price"], o["size"], o["id"], None, None, None, None, None, None))
+                             o["price"], o["size"], o["id"], None, None, None, None, None, None, None))
         rows.append(("book", book.symbol, book.partition, book.last_offset, book.seq, None, None, None, None, None,
-                     None, None, None, None, None, None))
+                     None, None, None, None, None, None, None))
 
     def __len__(self):
         return len(self.rows)
@@ -214,6 +216,11 @@ def match_sorted(batches: Iterator[pd.DataFrame], snapshot_every: int = 0, emit_
         sizes = _int_list(pdf["size"])
         seqs = _int_list(pdf["seq"])
         i, n = 0, len(symbols)
+        if phases and phases[0] == PHASE_REJECT:
+            stages, reasons = pdf["stage"].tolist(), pdf["reason"].tolist()
+            while i < n and phases[i] == PHASE_REJECT:
+                out.reject(symbols[i], parts[i], offsets[i], None, rids[i], reasons[i], stages[i])
+                i += 1
         while i < n:
             sym = symbols[i]
             if book is None or sym != book.symbol:
@@ -242,14 +249,17 @@ def match_sorted(batches: Iterator[pd.DataFrame], snapshot_every: int = 0, emit_
 
 
 def keyed_rows(requests: DataFrame, restored: DataFrame | None = None) -> DataFrame:
-    """Requests (REQUEST schema) plus optional restored books, in the keyed input layout.
+    """Checked requests plus optional restored books, in the keyed input layout.
 
+    ``requests`` has REQUEST columns and ``reject_stage`` / ``reject_reason``
+    (``validate.engine_checked``); refused rows ride along as phase -1.
     ``restored`` is a flat book table: header rows with ``phase = 0`` and
     resting-order rows with ``phase = 1`` (see ``operators.snapshots.restore_rows``).
     """
+    refused = F.col("reject_reason").isNotNull()
     req = requests.select(
         "symbol",
-        F.lit(PHASE_REQUEST).alias("phase"),
+        F.when(refused, F.lit(PHASE_REJECT)).otherwise(F.lit(PHASE_REQUEST)).alias("phase"),
         F.col("partition").cast("int"),
         F.col("offset").cast("long"),
         "request_id",
@@ -258,6 +268,8 @@ def keyed_rows(requests: DataFrame, restored: DataFrame | None = None) -> DataFr
         F.col("price").cast("long"),
         F.col("size").cast("long"),
         F.lit(None).cast("long").alias("seq"),
+        F.col("reject_stage").alias("stage"),
+        F.col("reject_reason").alias("reason"),
     )
     if restored is None:
         return req
@@ -275,4 +287,12 @@ def match_keyed(keyed: DataFrame, num_partitions: int | None = None, snapshot_ev
     def run(batches):
         return match_sorted(batches, every, emit_final)
 
-    return keyed.repartition(n, "symbol").sortWithinPartitions(*SORT_COLUMNS).mapInPandas(run, TAGGED)
+    # Book rows are hashed by symbol; refused rows by offset, so that a flood of
+    # bad requests (often with an empty or NULL symbol) spreads over all tasks.
+    lane = F.when(F.col("phase") == PHASE_REJECT, F.lit(0)).otherwise(F.lit(1))
+    route = F.when(F.col("phase") == PHASE_REJECT, F.col("offset").cast("string")).otherwise(F.col("symbol"))
+    return (keyed.withColumn("_lane", lane)
+            .repartition(n, route)
+            .sortWithinPartitions(*SORT_COLUMNS)
+            .drop("_lane")
+            .mapInPandas(run, TAGGED))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import request_id as derive_request_id
-from ..functions.symbols import normalise_symbol, route
+from ..functions.symbols import lex_bucket, normalise_symbol
 from ..schemas import MAX_BIGINT, REQUEST_COLUMNS
 
 # Reject reasons, first failing check wins, in this order.
@@ -54,15 +54,32 @@ def ingest_checked(raw: DataFrame, partitions: int = 3) -> DataFrame:
         reason.alias("reject_reason"),
         _raw_text(raw).alias("raw"),
     )
+    # Accepted rows always have a non-empty symbol, so the alphabetical bucket
+    # needs no hash fallback here (see functions.symbols.route for that case).
     return checked.select(
         "*",
         derive_request_id("source", "offset").alias("request_id"),
-        route("symbol", derive_request_id("source", "offset"), partitions).alias("partition"),
+        F.when(F.col("reject_reason").isNull(), lex_bucket("symbol", partitions)).alias("partition"),
     )
 
 
+def ingest_tagged(raw: DataFrame, partitions: int = 3) -> DataFrame:
+    """Single-pass ingest: REQUEST columns plus ``reject_stage`` / ``reject_reason`` (NULL = accepted).
+
+    Feed this straight into ``match_batch``: refused rows come back as
+    ``kind = 'reject'`` rows of the same plan, so the input is read once.
+    """
+    checked = ingest_checked(raw, partitions)
+    return checked.select(*REQUEST_COLUMNS, F.when(F.col("reject_reason").isNotNull(), F.lit(STAGE_INGEST))
+                          .alias("reject_stage"), "reject_reason")
+
+
 def ingest(raw: DataFrame, partitions: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Split raw requests into accepted request rows and quarantined rejects."""
+    """Split raw requests into accepted request rows and quarantined rejects.
+
+    Two DataFrames over one input: consuming both reads the input twice. Use
+    ``ingest_tagged`` (batch) or a persisted micro-batch (streaming) to write both in one pass.
+    """
     checked = ingest_checked(raw, partitions)
     accepted = checked.filter(F.col("reject_reason").isNull()).select(*REQUEST_COLUMNS)
     rejects = checked.filter(F.col("reject_reason").isNotNull()).select(
@@ -87,11 +104,14 @@ def engine_reason(df: DataFrame) -> Column:
 
 
 def engine_checked(requests: DataFrame) -> DataFrame:
-    """Request rows with proto3 defaults applied and ``engine_reason``.
+    """Request rows with proto3 defaults applied, plus ``reject_stage`` / ``reject_reason``.
 
+    Rows already refused upstream (input columns ``reject_stage`` and
+    ``reject_reason``) keep that verdict; the others get the engine checks.
     A row with an unknown side passes (reason NULL): it must still reach the
     keyed operator, where it takes a sequence number and is rejected there.
     """
+    upstream = "reject_reason" in requests.columns
     d = requests.select(
         F.col("partition").cast("int").alias("partition"),
         F.col("offset").cast("long").alias("offset"),
@@ -101,5 +121,14 @@ def engine_checked(requests: DataFrame) -> DataFrame:
         F.coalesce(F.col("side").cast("int"), F.lit(0)).alias("side"),
         F.coalesce(F.col("price").cast("long"), F.lit(0)).alias("price"),
         F.coalesce(F.col("size").cast("long"), F.lit(0)).alias("size"),
+        *([F.col("reject_stage"), F.col("reject_reason").alias("upstream_reason")] if upstream else []),
     )
-    return d.withColumn("engine_reason", engine_reason(d))
+    checked = d.withColumn("engine_reason", engine_reason(d))
+    if not upstream:
+        return checked.select("*", F.when(F.col("engine_reason").isNotNull(), F.lit(STAGE_ENGINE))
+                              .alias("reject_stage"), F.col("engine_reason").alias("reject_reason"))
+    return checked.select(
+        *[c for c in checked.columns if c not in ("reject_stage", "upstream_reason")],
+        F.when(F.col("upstream_reason").isNotNull(), F.col("reject_stage"))
+        .when(F.col("engine_reason").isNotNull(), F.lit(STAGE_ENGINE)).alias("reject_stage"),
+        F.coalesce(F.col("upstream_reason"), F.col("engine_reason")).alias("reject_reason"))

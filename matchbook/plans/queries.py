@@ -13,7 +13,7 @@ from ..functions.render import dump_requests as _dump
 from ..functions.symbols import lex_bucket, lex_position
 from ..operators import book, snapshots, trades
 from ..operators.sequence import with_sequence
-from ..operators.validate import engine_checked, ingest
+from ..operators.validate import engine_checked, ingest, ingest_tagged
 from ..sources import dirty_requests, order_flow, read_table
 from ..sources.requests import decode_submit_json
 from ..functions.render import trade_event_json
@@ -41,9 +41,8 @@ def ingest_rejects(spark, sf_dir):
 
 def reject_counts(spark, sf_dir):
     """Rejects of the whole path: front end, then the books (unknown side), counted per stage and reason."""
-    accepted, rejected = ingest(dirty_requests(_events(spark, sf_dir)))
-    engine = book.engine_rejects(book.match_batch(accepted, emit_final=False))
-    return rejected.unionByName(engine).groupBy("stage", "reason").agg(F.count(F.lit(1)).alias("n"))
+    tagged = book.match_batch(ingest_tagged(dirty_requests(_events(spark, sf_dir))), emit_final=False)
+    return book.engine_rejects(tagged).groupBy("stage", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def lex_partition(spark, sf_dir):

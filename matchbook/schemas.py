@@ -103,7 +103,7 @@ RESTING = T.StructType(
 #   rest     one order left in a book at the end of the input
 #   book     one row per book at the end of the input (seq, last offset)
 #   snapshot one book snapshot (arrays sorted by price-time priority)
-#   reject   an engine-side reject that reached the keyed operator
+#   reject   a request refused before or by the books (stage + reason)
 KIND_FILL, KIND_REST, KIND_BOOK, KIND_SNAPSHOT, KIND_REJECT = (
     "fill",
     "rest",
@@ -127,6 +127,7 @@ TAGGED = T.StructType(
         T.StructField("ask_request_id", T.StringType()),
         T.StructField("at", T.TimestampNTZType()),
         T.StructField("reason", T.StringType()),
+        T.StructField("stage", T.StringType()),
         T.StructField("bids", T.ArrayType(ORDER)),
         T.StructField("asks", T.ArrayType(ORDER)),
     ]

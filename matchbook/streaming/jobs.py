@@ -30,18 +30,20 @@ def match_stream(requests: DataFrame, restored: DataFrame | None = None, snapsho
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     checked = engine_checked(requests)
-    valid = checked.filter(F.col("engine_reason").isNull()).select(
+    valid = checked.filter(F.col("reject_reason").isNull()).select(
         "symbol", "partition", "offset", "request_id", "received_at", "side", "price", "size")
     initial = restored.select(*KEYED_COLUMNS).groupBy("symbol") if restored is not None else None
     time_mode = "processingTime" if snapshot_interval_ms else "none"
     tagged = valid.groupBy("symbol").transformWithStateInPandas(
         BookProcessor(snapshot_every, snapshot_interval_ms), TAGGED, "append", time_mode, initialState=initial)
-    early = checked.filter(F.col("engine_reason").isNotNull()).select(
+    # Refused rows skip the keyed state (a NULL or empty symbol would make one hot key).
+    early = checked.filter(F.col("reject_reason").isNotNull()).select(
         F.lit(KIND_REJECT).alias("kind"), "symbol", "partition", "offset", F.lit(None).cast("long").alias("seq"),
         F.lit(None).cast("int").alias("fill_no"), F.lit(None).cast("string").alias("side"),
         F.lit(None).cast("long").alias("price"), F.lit(None).cast("long").alias("size"), "request_id",
         F.lit(None).cast("string").alias("bid_request_id"), F.lit(None).cast("string").alias("ask_request_id"),
-        F.lit(None).cast("timestamp_ntz").alias("at"), F.col("engine_reason").alias("reason"),
+        F.lit(None).cast("timestamp_ntz").alias("at"), F.col("reject_reason").alias("reason"),
+        F.col("reject_stage").alias("stage"),
         F.lit(None).cast(TAGGED["bids"].dataType).alias("bids"),
         F.lit(None).cast(TAGGED["asks"].dataType).alias("asks"))
     return tagged.unionByName(early)

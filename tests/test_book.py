@@ -4,6 +4,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from matchbook.operators.matching import Book, TaggedRows, apply_requests
+from matchbook.schemas import TAGGED_COLUMNS
+
+C = {name: i for i, name in enumerate(TAGGED_COLUMNS)}
 from scenarios import (BASIC, BASIC_BOOKS, BASIC_FILLS, BUY, RECOVERY, RECOVERY_BOOKS, RECOVERY_FILLS,
                        RECOVERY_SNAPSHOT_AFTER_4, SELL, expected_executions, rows)
 
@@ -18,7 +21,8 @@ def run(orders, books=None, snapshot_every=0):
 
 
 def fills_of(tagged):
-    return sorted((r[1], r[7], r[8], r[10], r[11]) for r in tagged if r[0] == "fill")
+    return sorted((r[C["symbol"]], r[C["price"]], r[C["size"]], r[C["bid_request_id"]], r[C["ask_request_id"]])
+                  for r in tagged if r[C["kind"]] == "fill")
 
 
 def book_state(b):
@@ -53,7 +57,7 @@ def test_smoke_scenario():
 def test_unknown_side_takes_a_sequence_number():
     books, out = run([("X", 7, 100, 1), ("X", SELL, 100, 1)])
     assert [r[0] for r in out] == ["reject"]
-    assert out[0][13] == "unknown_side"
+    assert out[0][C["reason"]] == "unknown_side" and out[0][C["stage"]] == "engine"
     assert book_state(books["X"]) == ([], [(100, 1, 2)], 2)
 
 
@@ -65,9 +69,9 @@ def test_execution_price_is_the_resting_price():
 def test_snapshot_every_n_orders():
     books, out = run(BASIC, snapshot_every=5)
     snaps = [r for r in out if r[0] == "snapshot"]
-    assert [(r[1], r[4]) for r in snaps] == [("GOOG", 5), ("AAPL", 5), ("MSFT", 5)]
+    assert [(r[C["symbol"]], r[C["seq"]]) for r in snaps] == [("GOOG", 5), ("AAPL", 5), ("MSFT", 5)]
     goog = snaps[0]
-    assert [(o["price"], o["size"], o["seq"]) for o in goog[14]] == [(100, 2, 4)]
+    assert [(o["price"], o["size"], o["seq"]) for o in goog[C["bids"]]] == [(100, 2, 4)]
 
 
 order = st.tuples(st.sampled_from([BUY, SELL]), st.integers(95, 105), st.integers(1, 20))
@@ -79,11 +83,11 @@ def test_properties(orders):
     orders = [("S", side, price, size) for side, price, size in orders]
     books, out = run(orders)
     b = books["S"]
-    fills = [r for r in out if r[0] == "fill"]
+    fills = [r for r in out if r[C["kind"]] == "fill"]
     filled = {}
     pairs = set()
     for r in fills:
-        bid, ask, price, size = r[10], r[11], r[7], r[8]
+        bid, ask, price, size = r[C["bid_request_id"]], r[C["ask_request_id"]], r[C["price"]], r[C["size"]]
         assert size > 0
         assert (bid, ask) not in pairs
         pairs.add((bid, ask))
