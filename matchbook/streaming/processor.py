@@ -3,13 +3,15 @@
 State per symbol (RocksDB state store):
   * ``meta``   value state: book seq, last offset, partition, orders since the
                last snapshot, and whether the book changed since the last one;
-  * ``orders`` map state: resting order seq -> (side, price, id, size).
-
-Each micro-batch loads the book once, replays the key's rows in (partition,
-offset) order through the shared ``Book`` logic, then writes back only the
-orders that changed. Orders placed and consumed inside one micro-batch never
-touch the store. Offsets at or below the stored last offset are redeliveries
-and are skipped, which also makes restore-then-replay safe.
+  * ``orders`` list state: the resting orders (side, price, seq, id, size).
+
+Each micro-batch loads the book once (one list read), replays the key's rows
+in (partition, offset) order through the shared ``Book`` logic, and writes
+the book back with one ``put`` if it changed. Matching needs the whole book
+in memory anyway, so one bulk read and one bulk write per touched symbol
+beat one state-server round trip per order. Offsets at or below the stored
+last offset are redeliveries and are skipped, which also makes
+restore-then-replay safe.
 """
 
 from __future__ import annotations
@@ -20,11 +22,10 @@ import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.matching import PHASE_BOOK, Book, TaggedRows, _micros, apply_requests
-from ..schemas import SIDE_BUY
+from ..schemas import SIDE_BUY, SIDE_SELL
 
-META_SCHEMA = "seq long, last_offset long, partition int, since_snapshot int, changed boolean"
-ORDER_KEY_SCHEMA = "seq long"
-ORDER_VALUE_SCHEMA = "side int, price long, id string, size long"
+META_SCHEMA = "seq long, last_offset long, partition int, since_snapshot int, changed boolean, resting long"
+ORDER_SCHEMA = "side int, price long, seq long, id string, size long"
 
 
 class BookProcessor(StatefulProcessor):
@@ -35,41 +36,40 @@ class BookProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.meta = handle.getValueState("meta", META_SCHEMA)
-        self.orders = handle.getMapState("orders", ORDER_KEY_SCHEMA, ORDER_VALUE_SCHEMA)
+        self.orders = handle.getListState("orders", ORDER_SCHEMA)
 
     # -- state <-> book -------------------------------------------------------
-    def _load(self, symbol: str) -> tuple[Book, dict, bool]:
+    def _load(self, symbol: str) -> tuple[Book, int, bool]:
+        """The stored book, its seq at load time (to detect change), and the changed-since-snapshot flag."""
         book = Book(symbol)
         changed = False
-        if self.meta.exists():
-            seq, last_offset, partition, since, changed = self.meta.get()
+        meta = self.meta.get()
+        if meta is not None:
+            seq, last_offset, partition, since, changed, resting = meta
             book.seq, book.last_offset, book.partition = int(seq), int(last_offset), partition
             book.since_snapshot = int(since or 0)
-        stored = {}
-        for (seq,), (side, price, oid, size) in self.orders.iterator():
-            book.rest(int(side), oid, int(price), int(size), int(seq))
-            stored[int(seq)] = int(size)
-        return book, stored, bool(changed)
-
-    def _store(self, book: Book, stored: dict, changed: bool) -> None:
-        now = {}
-        for entries, side in ((book.bids, SIDE_BUY), (book.asks, 1 - SIDE_BUY)):
-            for key, seq, oid, size in entries:
-                now[seq] = size
-                if stored.get(seq) != size:
-                    price = -key if side == SIDE_BUY else key
-                    self.orders.updateValue((seq,), (side, price, oid, size))
-        for seq in stored:
-            if seq not in now:
-                self.orders.removeKey((seq,))
-        self.meta.update((book.seq, book.last_offset, book.partition, book.since_snapshot, changed))
+            if resting:
+                for side, price, seq_, oid, size in self.orders.get():
+                    book.rest(int(side), oid, int(price), int(size), int(seq_))
+        return book, book.seq, bool(changed)
+
+    def _store(self, book: Book, loaded_seq: int, changed: bool) -> None:
+        if book.seq != loaded_seq:
+            orders = [(SIDE_BUY, -k, seq, oid, size) for k, seq, oid, size in book.bids]
+            orders += [(SIDE_SELL, k, seq, oid, size) for k, seq, oid, size in book.asks]
+            if orders:
+                self.orders.put(orders)
+            elif loaded_seq:
+                self.orders.clear()
+        self.meta.update((book.seq, book.last_offset, book.partition, book.since_snapshot, changed,
+                          len(book.bids) + len(book.asks)))
 
     # -- callbacks ------------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         symbol = key[0]
         pdf = pd.concat(list(rows), ignore_index=True)
         pdf = pdf.sort_values(["partition", "offset"], kind="stable")
-        book, stored, _changed = self._load(symbol)
+        book, loaded_seq, _changed = self._load(symbol)
         out = TaggedRows()
         apply_requests(book, out, zip(pdf["partition"].astype("int64").tolist(),
                                       pdf["offset"].astype("int64").tolist(), pdf["request_id"].tolist(),
@@ -77,7 +77,7 @@ class BookProcessor(StatefulProcessor):
                                       pdf["price"].astype("int64").tolist(), pdf["size"].astype("int64").tolist()),
                        self.snapshot_every)
         changed = book.since_snapshot > 0 or not self.snapshot_every
-        self._store(book, stored, changed)
+        self._store(book, loaded_seq, changed)
         if self.snapshot_interval_ms > 0 and changed and not self.handle.listTimers():
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.snapshot_interval_ms)
         if len(out):
@@ -85,24 +85,27 @@ class BookProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Interval snapshot: emitted only if the book changed since the last snapshot."""
-        book, stored, changed = self._load(key[0])
+        book, loaded_seq, changed = self._load(key[0])
         if changed:
             out = TaggedRows()
             now = pd.Timestamp(timerValues.getCurrentProcessingTimeInMs(), unit="ms").to_datetime64()
             out.snapshot(book, now.astype("datetime64[us]"))
             book.since_snapshot = 0
-            self._store(book, stored, False)
+            self._store(book, loaded_seq, False)
             yield out.frame()
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         """Rebuild the book from restore rows (header phase 0, resting orders phase 1)."""
+        orders, head = [], None
         for row in initialState.itertuples(index=False):
             if int(row.phase) == PHASE_BOOK:
-                self.meta.update((int(row.seq), int(row.offset), None if pd.isna(row.partition) else int(row.partition),
-                                  0, False))
+                head = (int(row.seq), int(row.offset), None if pd.isna(row.partition) else int(row.partition))
             else:
-                self.orders.updateValue((int(row.seq),), (int(row.side), int(row.price), row.request_id,
-                                                          int(row.size)))
+                orders.append((int(row.side), int(row.price), int(row.seq), row.request_id, int(row.size)))
+        if head is not None:
+            self.meta.update(head + (0, False, len(orders)))
+        if orders:
+            self.orders.put(orders)
 
     def close(self) -> None:
         pass
