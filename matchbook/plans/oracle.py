@@ -268,4 +268,6 @@ ORACLE = {
     "dump_requests": DUMP_REQUESTS,
     "decode_bad_rows": DECODE_BAD_ROWS,
     "match_stream": EXECUTIONS,
+    "match_epochs": EXECUTIONS,
+    "resting_orders_epochs": RESTING,
 }

@@ -29,6 +29,25 @@ def _flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_flow(_events(spark, sf_dir))
 
 
+EPOCHS = 4
+
+
+def match_epochs(spark, sf_dir):
+    """Executions of the time-split run (4 offset ranges, books carried through the checkpoint folder)."""
+    from ..operators.epochs import match_in_epochs
+
+    out = trades.table_folder(spark, "epochs")
+    return book.executions(match_in_epochs(_flow(spark, sf_dir), out, EPOCHS))
+
+
+def resting_orders_epochs(spark, sf_dir):
+    """Final books of the time-split run; must equal ``resting_orders``."""
+    from ..operators.epochs import match_in_epochs
+
+    out = trades.table_folder(spark, "epochs")
+    return book.resting_orders(match_in_epochs(_flow(spark, sf_dir), out, EPOCHS))
+
+
 # ---- ingest and validation -------------------------------------------------
 
 def ingest_accepted(spark, sf_dir):
@@ -205,4 +224,6 @@ QUERIES = {
     "dump_requests": dump_requests,
     "decode_bad_rows": decode_bad_rows,
     "match_stream": match_stream,
+    "match_epochs": match_epochs,
+    "resting_orders_epochs": resting_orders_epochs,
 }

@@ -95,3 +95,14 @@ def test_sf0001_totals(spark):
     r = ex.agg(F.count("*").alias("n"), F.sum("size").alias("q"),
                (F.sum(F.col("size") * F.col("price")) / 1_000_000).cast("long").alias("v")).first()
     assert (flow.count(), r.n, r.q, r.v) == (799, 521, 1502, 157220)
+
+
+def test_epochs_equal_one_pass(spark, scratch):
+    from matchbook.operators.epochs import match_in_epochs
+
+    flow = order_flow(read_table(spark, "/root/testdata/sf0.001", "events"))
+    one = book.match_batch(flow)
+    split = match_in_epochs(flow, scratch + "/epochs", epochs=5, snapshot_every=10)
+    for f in (book.executions, book.resting_orders, book.snapshots, book.book_headers):
+        a, b = f(one), f(split)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, f.__name__

@@ -60,3 +60,12 @@ def test_recent_trades_null_placement(spark):
     assert first == ["e0", "e2", "e3"]
     assert last == ["e2", "e3", "e1"]
     assert trades.trade_count(tbl).first().trade_count == 4
+
+
+def test_ensure_table_reads_inserted_rows(spark, scratch):
+    path = os.path.join(scratch, "trades")
+    trades.insert_trades(spark, ex(spark, [("A", 1, 1, "b1", "a1", t(1), "b1-a1", 0, 1, 0)]), path, 0)
+    trades.ensure_trades_table(spark, path, "trades_t")
+    spark.sql("MSCK REPAIR TABLE trades_t")
+    assert spark.sql("SELECT count(*) AS n FROM trades_t").first().n == 1
+    spark.sql("DROP TABLE trades_t")
