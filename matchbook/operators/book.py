@@ -49,7 +49,7 @@ def book_headers(tagged: DataFrame) -> DataFrame:
     """One row per book at the end of the input."""
     return tagged.filter(F.col("kind") == KIND_BOOK).select(
         "symbol", F.col("partition").alias("trades_partition"), F.col("offset").alias("last_offset"),
-        F.col("seq").alias("orderbook_seq"))
+        F.col("seq").alias("orderbook_seq"), F.col("size").alias("since_snapshot"))
 
 
 def snapshots(tagged: DataFrame) -> DataFrame:

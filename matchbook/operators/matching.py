@@ -137,8 +137,8 @@ class TaggedRows:
             for o in book.side_orders(side):
                 rows.append(("rest", book.symbol, book.partition, book.last_offset, o["seq"], None, name,
                              o["price"], o["size"], o["id"], None, None, None, None, None, None, None))
-        rows.append(("book", book.symbol, book.partition, book.last_offset, book.seq, None, None, None, None, None,
-                     None, None, None, None, None, None, None))
+        rows.append(("book", book.symbol, book.partition, book.last_offset, book.seq, None, None, None,
+                     book.since_snapshot, None, None, None, None, None, None, None, None))
 
     def __len__(self):
         return len(self.rows)
@@ -231,6 +231,7 @@ def match_sorted(batches: Iterator[pd.DataFrame], snapshot_every: int = 0, emit_
             while i < n and symbols[i] == sym and phases[i] != PHASE_REQUEST:
                 if phases[i] == PHASE_BOOK:
                     book.seq, book.last_offset, book.partition = seqs[i], offsets[i], parts[i]
+                    book.since_snapshot = sizes[i] or 0
                 else:
                     book.rest(sides[i], rids[i], prices[i], sizes[i], seqs[i])
                 i += 1

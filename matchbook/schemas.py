@@ -101,7 +101,8 @@ RESTING = T.StructType(
 # Output of the matching operator: one schema, rows tagged by ``kind``.
 #   fill     one execution (incoming order = aggressor)
 #   rest     one order left in a book at the end of the input
-#   book     one row per book at the end of the input (seq, last offset)
+#   book     one row per book at the end of the input (seq, last offset;
+#            size = orders since the last snapshot, so a resumed run keeps the cadence)
 #   snapshot one book snapshot (arrays sorted by price-time priority)
 #   reject   a request refused before or by the books (stage + reason)
 KIND_FILL, KIND_REST, KIND_BOOK, KIND_SNAPSHOT, KIND_REJECT = (

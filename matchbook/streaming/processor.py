@@ -99,11 +99,12 @@ class BookProcessor(StatefulProcessor):
         orders, head = [], None
         for row in initialState.itertuples(index=False):
             if int(row.phase) == PHASE_BOOK:
-                head = (int(row.seq), int(row.offset), None if pd.isna(row.partition) else int(row.partition))
+                since = 0 if pd.isna(row.size) else int(row.size)
+                head = (int(row.seq), int(row.offset), None if pd.isna(row.partition) else int(row.partition), since)
             else:
                 orders.append((int(row.side), int(row.price), int(row.seq), row.request_id, int(row.size)))
         if head is not None:
-            self.meta.update(head + (0, False, len(orders)))
+            self.meta.update(head + (False, len(orders)))
         if orders:
             self.orders.put(orders)
 

@@ -101,7 +101,7 @@ def test_epochs_equal_one_pass(spark, scratch):
     from matchbook.operators.epochs import match_in_epochs
 
     flow = order_flow(read_table(spark, "/root/testdata/sf0.001", "events"))
-    one = book.match_batch(flow)
+    one = book.match_batch(flow, snapshot_every=10)
     split = match_in_epochs(flow, scratch + "/epochs", epochs=5, snapshot_every=10)
     for f in (book.executions, book.resting_orders, book.snapshots, book.book_headers):
         a, b = f(one), f(split)
