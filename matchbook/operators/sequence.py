@@ -6,6 +6,10 @@ fixed offset ranges ("chunks"): rows are numbered inside their chunk (bounded
 window), chunk sizes are counted with a partial aggregate, and a running sum
 over the (few) chunks of a symbol gives each chunk's base. A hot symbol thus
 spreads over as many tasks as it has chunks.
+
+The input is scanned twice (the rows, and a partially aggregated count over
+three pruned columns); the per-chunk base table is small, and AQE broadcasts
+it only when its measured size is under the broadcast threshold.
 """
 
 from __future__ import annotations
