@@ -6,3 +6,5 @@ executions, resting orders, top of book, book snapshots and a trades table.
 """
 
 __version__ = "0.1.0"
+
+__all__ = ["__version__"]
