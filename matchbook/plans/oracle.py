@@ -248,6 +248,11 @@ FROM flow"""
 DECODE_BAD_ROWS = """
 SELECT 'decode' AS stage, 'undecodable' AS reason, event_id AS "offset" FROM events WHERE event_type = 'error'"""
 
+_HOT_FLOW = FLOW_ALL + """,
+flow AS (SELECT * EXCLUDE (event_type, symbol), 'HOT' AS symbol FROM flow_all WHERE event_type <> 'error')"""
+
+HOT_EXECUTIONS = (f"WITH RECURSIVE {_HOT_FLOW}, {FLOW_P}, {SEQD}, {match_cte('seqd')}\n" + _EXEC_ROWS)
+
 ORACLE = {
     "ingest_accepted": INGEST_ACCEPTED,
     "ingest_rejects": INGEST_REJECTS,
@@ -270,4 +275,6 @@ ORACLE = {
     "match_stream": EXECUTIONS,
     "match_epochs": EXECUTIONS,
     "resting_orders_epochs": RESTING,
+    "hot_symbol_executions": HOT_EXECUTIONS,
+    "hot_symbol_epochs": HOT_EXECUTIONS,
 }

@@ -14,7 +14,7 @@ from ..functions.symbols import lex_bucket, lex_position
 from ..operators import book, snapshots, trades
 from ..operators.sequence import with_sequence
 from ..operators.validate import engine_checked, ingest, ingest_tagged
-from ..sources import dirty_requests, order_flow, read_table
+from ..sources import dirty_requests, hot_flow, order_flow, read_table
 from ..sources.requests import decode_submit_json
 from ..functions.render import trade_event_json
 
@@ -48,6 +48,19 @@ def resting_orders_epochs(spark, sf_dir):
     return book.resting_orders(match_in_epochs(_flow(spark, sf_dir), out, EPOCHS))
 
 
+def hot_symbol_executions(spark, sf_dir):
+    """Every order on one symbol: the whole flow goes through one book, in one task."""
+    return book.executions(book.match_batch(hot_flow(_events(spark, sf_dir)), emit_final=False))
+
+
+def hot_symbol_epochs(spark, sf_dir):
+    """The hot symbol, time-split: each task holds one offset range of it plus the carried book."""
+    from ..operators.epochs import match_in_epochs
+
+    out = trades.table_folder(spark, "hot-epochs")
+    return book.executions(match_in_epochs(hot_flow(_events(spark, sf_dir)), out, EPOCHS))
+
+
 # ---- ingest and validation -------------------------------------------------
 
 def ingest_accepted(spark, sf_dir):
@@ -226,4 +239,6 @@ QUERIES = {
     "match_stream": match_stream,
     "match_epochs": match_epochs,
     "resting_orders_epochs": resting_orders_epochs,
+    "hot_symbol_executions": hot_symbol_executions,
+    "hot_symbol_epochs": hot_symbol_epochs,
 }

@@ -1,3 +1,3 @@
-from .events import dirty_requests, order_flow, read_table
+from .events import dirty_requests, hot_flow, order_flow, read_table
 
-__all__ = ["dirty_requests", "order_flow", "read_table"]
+__all__ = ["dirty_requests", "hot_flow", "order_flow", "read_table"]

@@ -77,3 +77,13 @@ def dirty_requests(events: DataFrame, keep_type: bool = False) -> DataFrame:
         F.when(bad & k.isin(1, 2), F.lit(0)).otherwise(F.col("size")).cast("decimal(20,0)").alias("size"),
         *(["event_type"] if keep_type else []),
     )
+
+
+# Fixed value: the one symbol of the hot-symbol view.
+HOT_SYMBOL = "HOT"
+
+
+def hot_flow(events: DataFrame) -> DataFrame:
+    """The valid-only order flow with every order on one symbol (worst-case skew)."""
+    o = _order_columns(events.filter(F.col("event_type") != "error")).withColumn("symbol", F.lit(HOT_SYMBOL))
+    return o.withColumn("partition", lex_bucket("symbol", REQUEST_PARTITIONS)).select(*REQUEST_COLUMNS)
