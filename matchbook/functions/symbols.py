@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 # bytes of the upper-cased key; a key with no bytes falls back to hashing.
 POSITION_BYTES = 5
 RADIX = 26.0
-# Unicode White_Space at both ends (F.trim strips U+0020 only).
-_EDGE_SPACE = r"^[\p{IsWhite_Space}]+|[\p{IsWhite_Space}]+$"
+# The Unicode White_Space code points, stripped at both ends
+# (a plain F.trim strips U+0020 only).
+WHITE_SPACE = (
+    "\u0009\u000a\u000b\u000c\u000d\u0020\u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _col(c: Column | str) -> Column:
@@ -18,7 +23,8 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_space(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), _EDGE_SPACE, "")
+    """Remove White_Space characters at both ends (a character-set trim, no regex)."""
+    return F.trim(_col(c), F.lit(WHITE_SPACE))
 
 
 def normalise_symbol(c: Column | str) -> Column:
@@ -30,19 +36,19 @@ def lex_position(c: Column | str) -> Column:
     """Position of a key in [0, 1): sum of letter values (A=0 .. Z=25) times 26^-(i+1).
 
     Works on the first five UTF-8 bytes of the upper-cased key; any byte that
-    is not an ASCII letter counts 0. Decoding the UTF-8 bytes as ISO-8859-1
-    turns each byte into one character whose code is the byte value, so
-    ``ascii(substring(...))`` reads byte i. Weights are divided down by 26 in
-    double precision in the routing rule's order, so results agree to the last bit.
+    is not an ASCII letter counts 0 (after upper-casing no a-z byte is left, so
+    only A-Z is tested). Decoding the UTF-8 bytes as ISO-8859-1 turns each byte
+    into one character whose code is the byte value, so ``ascii(substring(...))``
+    reads byte i. Weights are divided down by 26 in double precision in the
+    routing rule's order, so results agree to the last bit.
     """
     latin1 = F.decode(F.encode(F.upper(_col(c)), "UTF-8"), "ISO-8859-1")
     score = F.lit(0.0)
     weight = 1.0 / RADIX
     for i in range(POSITION_BYTES):
-        byte = F.ascii(F.substring(latin1, i + 1, 1))
-        letter = (F.when((byte >= 65) & (byte <= 90), byte - 65)
-                  .when((byte >= 97) & (byte <= 122), byte - 97).otherwise(0))
-        score = score + letter.cast("double") * F.lit(weight)
+        letter = F.ascii(F.substring(latin1, i + 1, 1)) - 65
+        value = F.when((letter >= 0) & (letter <= 25), letter).otherwise(0)
+        score = score + value.cast("double") * F.lit(weight)
         weight /= RADIX
     return score
 

@@ -8,9 +8,9 @@ by exactly one task; symbols are spread over tasks by a hash shuffle.
 Batch plan::
 
     requests --engine checks--> keyed rows --repartition(n, symbol)
-      --sortWithinPartitions(symbol, phase, partition, offset)--> mapInPandas
+      --sortWithinPartitions(symbol, phase, partition, offset)--> mapInArrow
 
-The Python generator holds a single book at a time and streams the sorted
+The Python generator (Arrow batches in and out) holds a single book at a time and streams the sorted
 rows through it, so task memory is one book plus one Arrow batch, never a
 whole symbol's history.
 """
@@ -22,6 +22,7 @@ from typing import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +41,14 @@ SORT_COLUMNS = ["_lane", "symbol", "phase", "partition", "offset", "seq"]
 UNKNOWN_SIDE = "unknown_side"
 _BUY_NAME, _SELL_NAME = SIDE_NAMES[SIDE_BUY], SIDE_NAMES[SIDE_SELL]
 
+_NAT = np.iinfo(np.int64).min
+_ARROW_ORDER = pa.list_(pa.struct([("id", pa.string()), ("price", pa.int64()), ("size", pa.int64()),
+                                   ("seq", pa.int64())]))
+# Arrow types of schemas.TAGGED, in column order.
+ARROW_TAGGED = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(),
+                pa.int64(), pa.string(), pa.string(), pa.string(), pa.timestamp("us"), pa.string(), pa.string(),
+                _ARROW_ORDER, _ARROW_ORDER]
+
 
 class Book:
     """One symbol's order book.
@@ -143,6 +152,13 @@ class TaggedRows:
     def __len__(self):
         return len(self.rows)
 
+    def record_batch(self) -> pa.RecordBatch:
+        """The accumulated rows as one Arrow batch (``at`` holds epoch microseconds)."""
+        cols = list(zip(*self.rows)) if self.rows else [[] for _ in TAGGED_COLUMNS]
+        self.rows = []
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(values), type=t) for values, t in zip(cols, ARROW_TAGGED)], names=TAGGED_COLUMNS)
+
     def frame(self) -> pd.DataFrame:
         if not self.rows:
             return pd.DataFrame({c: pd.Series([], dtype=object) for c in TAGGED_COLUMNS})
@@ -154,17 +170,21 @@ class TaggedRows:
                 out[name] = pd.array(values, dtype="Int32")
             elif name in ("offset", "seq", "price", "size"):
                 out[name] = pd.array(values, dtype="Int64")
-            elif name == "at":
-                out[name] = pd.Series(np.array([np.datetime64("NaT") if v is None else v for v in values],
-                                               dtype="datetime64[us]"))
+            elif name == "at":  # epoch microseconds; int64 min is NaT
+                micros = np.array([_NAT if v is None else v for v in values], dtype="int64")
+                out[name] = pd.Series(micros.view("datetime64[us]"))
             else:
                 out[name] = pd.Series(values, dtype=object)
         return pd.DataFrame(out)
 
 
 def _micros(series: pd.Series) -> list:
-    """Timestamps as numpy datetime64[us] scalars (NaT kept)."""
-    return list(series.to_numpy(dtype="datetime64[us]"))
+    """Timestamps as epoch microseconds (None for NaT)."""
+    arr = series.to_numpy(dtype="datetime64[us]")
+    ints = arr.astype("int64").tolist()
+    if np.isnat(arr).any():
+        return [None if np.isnat(a) else v for a, v in zip(arr, ints)]
+    return ints
 
 
 def apply_requests(book: Book, out: TaggedRows, rows: Iterable[tuple], snapshot_every: int) -> None:
@@ -192,32 +212,29 @@ def apply_requests(book: Book, out: TaggedRows, rows: Iterable[tuple], snapshot_
                 book.since_snapshot = 0
 
 
-def _int_list(series: pd.Series) -> list:
-    return [None if v is pd.NA else int(v) for v in series.astype("Int64").tolist()] if series.hasnans else \
-        series.astype("int64").tolist()
-
-
-def match_sorted(batches: Iterator[pd.DataFrame], snapshot_every: int = 0, emit_final: bool = True
-                 ) -> Iterator[pd.DataFrame]:
-    """mapInPandas body: rows arrive sorted by (symbol, phase, partition, offset)."""
+def match_sorted(batches: Iterator[pa.RecordBatch], snapshot_every: int = 0, emit_final: bool = True
+                 ) -> Iterator[pa.RecordBatch]:
+    """mapInArrow body: rows arrive sorted by (lane, symbol, phase, partition, offset)."""
     book: Book | None = None
     out = TaggedRows()
-    for pdf in batches:
-        if pdf.empty:
+    for rb in batches:
+        n = rb.num_rows
+        if not n:
             continue
-        symbols = pdf["symbol"].tolist()
-        phases = pdf["phase"].astype("int64").tolist()
-        parts = _int_list(pdf["partition"])
-        offsets = _int_list(pdf["offset"])
-        rids = pdf["request_id"].tolist()
-        ats = _micros(pdf["received_at"])
-        sides = _int_list(pdf["side"])
-        prices = _int_list(pdf["price"])
-        sizes = _int_list(pdf["size"])
-        seqs = _int_list(pdf["seq"])
-        i, n = 0, len(symbols)
-        if phases and phases[0] == PHASE_REJECT:
-            stages, reasons = pdf["stage"].tolist(), pdf["reason"].tolist()
+        col = {name: rb.column(i) for i, name in enumerate(rb.schema.names)}
+        symbols = col["symbol"].to_pylist()
+        phases = col["phase"].to_pylist()
+        parts = col["partition"].to_pylist()
+        offsets = col["offset"].to_pylist()
+        rids = col["request_id"].to_pylist()
+        ats = col["received_at"].cast(pa.int64()).to_pylist()
+        sides = col["side"].to_pylist()
+        prices = col["price"].to_pylist()
+        sizes = col["size"].to_pylist()
+        seqs = col["seq"].to_pylist()
+        i = 0
+        if phases[0] == PHASE_REJECT:
+            stages, reasons = col["stage"].to_pylist(), col["reason"].to_pylist()
             while i < n and phases[i] == PHASE_REJECT:
                 out.reject(symbols[i], parts[i], offsets[i], None, rids[i], reasons[i], stages[i])
                 i += 1
@@ -242,11 +259,11 @@ def match_sorted(batches: Iterator[pd.DataFrame], snapshot_every: int = 0, emit_
                                           prices[i:j], sizes[i:j]), snapshot_every)
             i = j
         if len(out):
-            yield out.frame()
+            yield out.record_batch()
     if book is not None and emit_final:
         out.final(book)
     if len(out):
-        yield out.frame()
+        yield out.record_batch()
 
 
 def keyed_rows(requests: DataFrame, restored: DataFrame | None = None) -> DataFrame:
@@ -296,4 +313,4 @@ def match_keyed(keyed: DataFrame, num_partitions: int | None = None, snapshot_ev
             .repartition(n, route)
             .sortWithinPartitions(*SORT_COLUMNS)
             .drop("_lane")
-            .mapInPandas(run, TAGGED))
+            .mapInArrow(run, TAGGED))

@@ -73,8 +73,8 @@ def dirty_requests(events: DataFrame, keep_type: bool = False) -> DataFrame:
         .otherwise(F.concat(F.lit("  "), F.lower("symbol"), F.lit(" ")))
         .alias("symbol"),
         F.when(bad & (k == 4), F.lit(7)).otherwise(F.col("side")).cast("int").alias("side"),
-        F.when(bad & k.isin(0, 2), F.lit(0)).otherwise(F.col("price")).cast("decimal(20,0)").alias("price"),
-        F.when(bad & k.isin(1, 2), F.lit(0)).otherwise(F.col("size")).cast("decimal(20,0)").alias("size"),
+        F.when(bad & k.isin(0, 2), F.lit(0)).otherwise(F.col("price")).cast("long").alias("price"),
+        F.when(bad & k.isin(1, 2), F.lit(0)).otherwise(F.col("size")).cast("long").alias("size"),
         *(["event_type"] if keep_type else []),
     )
 

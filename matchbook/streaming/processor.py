@@ -88,8 +88,7 @@ class BookProcessor(StatefulProcessor):
         book, loaded_seq, changed = self._load(key[0])
         if changed:
             out = TaggedRows()
-            now = pd.Timestamp(timerValues.getCurrentProcessingTimeInMs(), unit="ms").to_datetime64()
-            out.snapshot(book, now.astype("datetime64[us]"))
+            out.snapshot(book, int(timerValues.getCurrentProcessingTimeInMs()) * 1000)
             book.since_snapshot = 0
             self._store(book, loaded_seq, False)
             yield out.frame()
