@@ -55,18 +55,31 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
-def tagged_sink(out_dir: str):
+def tagged_sink(out_dir: str, parallel: bool = True):
     """foreachBatch body: split the tagged batch into executions, snapshots, rejects and the trades table."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        from concurrent.futures import ThreadPoolExecutor
+
         spark = batch.sparkSession
         batch = batch.persist()
         try:
+            batch.count()  # materialise once; the four writes below read the cached batch
             fills = book_ops.executions_with_position(batch)
-            _write_batch(fills, os.path.join(out_dir, "executions"), batch_id)
-            _write_batch(book_ops.snapshots(batch), os.path.join(out_dir, "snapshots"), batch_id)
-            _write_batch(book_ops.engine_rejects(batch), os.path.join(out_dir, "rejects"), batch_id)
-            insert_trades(spark, fills, os.path.join(out_dir, "trades"), batch_id)
+            writes = [
+                lambda: _write_batch(fills, os.path.join(out_dir, "executions"), batch_id),
+                lambda: _write_batch(book_ops.snapshots(batch), os.path.join(out_dir, "snapshots"), batch_id),
+                lambda: _write_batch(book_ops.engine_rejects(batch), os.path.join(out_dir, "rejects"), batch_id),
+                lambda: insert_trades(spark, fills, os.path.join(out_dir, "trades"), batch_id),
+            ]
+            if parallel:
+                # independent jobs: submitted together, Spark runs them side by side
+                with ThreadPoolExecutor(len(writes)) as pool:
+                    for f in [pool.submit(w) for w in writes]:
+                        f.result()
+            else:
+                for w in writes:
+                    w()
         finally:
             batch.unpersist()
 
@@ -75,13 +88,13 @@ def tagged_sink(out_dir: str):
 
 def run_match_stream(requests: DataFrame, out_dir: str, checkpoint: str | None = None,
                      restored: DataFrame | None = None, snapshot_every: int = 0, snapshot_interval_ms: int = 0,
-                     available_now: bool = True):
+                     available_now: bool = True, trigger_interval: str = "1 second"):
     """Start the matcher with the tagged sink; with ``available_now`` runs to the end of the input and returns."""
     spark: SparkSession = requests.sparkSession
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "match-stream", os.path.basename(out_dir.rstrip("/")))
     tagged = match_stream(requests, restored, snapshot_every, snapshot_interval_ms)
     writer = tagged.writeStream.foreachBatch(tagged_sink(out_dir)).option("checkpointLocation", ckpt)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
     query = writer.start()
     if available_now:
         query.awaitTermination()

@@ -78,7 +78,7 @@ class BookProcessor(StatefulProcessor):
                        self.snapshot_every)
         changed = book.since_snapshot > 0 or not self.snapshot_every
         self._store(book, loaded_seq, changed)
-        if self.snapshot_interval_ms > 0 and changed and not self.handle.listTimers():
+        if self.snapshot_interval_ms > 0 and changed and next(iter(self.handle.listTimers()), None) is None:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.snapshot_interval_ms)
         if len(out):
             yield out.frame()
