@@ -48,24 +48,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable by Python workers (the ``--py-files`` step), once per context."""
-    import zipfile
+    """Make this package's code available to Python workers, once per context.
 
+    The package is registered with cloudpickle for by-value pickling: every
+    Python function Spark sends to a worker (``mapInArrow`` bodies, the
+    stateful processor) carries the package code it uses, so executors and the
+    streaming state driver runner need no installed copy and no files are
+    staged on any machine-local disk.
+    """
     sc = spark.sparkContext
     if getattr(sc, "_matchbook_shipped", False):
         return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    fd, path = tempfile.mkstemp(prefix="matchbook-", suffix=".zip")
-    os.close(fd)
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
-        for root, _dirs, files in os.walk(pkg_dir):
-            for name in files:
-                if name.endswith(".py"):
-                    full = os.path.join(root, name)
-                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(path)
-    # Python processes that do not receive py-files (the streaming state driver
-    # runner) still get the code: functions and classes travel by value.
     from pyspark import cloudpickle
 
     import matchbook
