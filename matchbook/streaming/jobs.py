@@ -13,7 +13,7 @@ from ..operators.trades import insert_trades
 from ..operators.validate import engine_checked
 from ..schemas import KIND_FILL, KIND_REJECT, KIND_SNAPSHOT, TAGGED
 from ..session import checkpoint_dir, ship_package
-from .processor import BookProcessor
+from .processor import LANE_BOOK, LANE_REFUSED, REJECT_KEYS, BookProcessor
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -30,23 +30,21 @@ def match_stream(requests: DataFrame, restored: DataFrame | None = None, snapsho
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     checked = engine_checked(requests)
-    valid = checked.filter(F.col("reject_reason").isNull()).select(
-        "symbol", "partition", "offset", "request_id", "received_at", "side", "price", "size")
-    initial = restored.select(*KEYED_COLUMNS).groupBy("symbol") if restored is not None else None
+    # One pass over each micro-batch: refused rows go through the same keyed
+    # operator in their own lane, spread by offset (an empty or NULL symbol
+    # would otherwise be one hot key), and leave state untouched.
+    refused = F.col("reject_reason").isNotNull()
+    lane = F.when(refused, F.lit(LANE_REFUSED)).otherwise(F.lit(LANE_BOOK))
+    key = F.when(refused, F.pmod(F.col("offset"), F.lit(REJECT_KEYS)).cast("string")).otherwise(F.col("symbol"))
+    rows = checked.select(lane.alias("_lane"), key.alias("_key"), "symbol", "partition", "offset", "request_id",
+                          "received_at", "side", "price", "size", "reject_stage", "reject_reason")
+    initial = None
+    if restored is not None:
+        initial = restored.select(F.lit(LANE_BOOK).alias("_lane"), F.col("symbol").alias("_key"),
+                                  *KEYED_COLUMNS).groupBy("_lane", "_key")
     time_mode = "processingTime" if snapshot_interval_ms else "none"
-    tagged = valid.groupBy("symbol").transformWithStateInPandas(
+    return rows.groupBy("_lane", "_key").transformWithStateInPandas(
         BookProcessor(snapshot_every, snapshot_interval_ms), TAGGED, "append", time_mode, initialState=initial)
-    # Refused rows skip the keyed state (a NULL or empty symbol would make one hot key).
-    early = checked.filter(F.col("reject_reason").isNotNull()).select(
-        F.lit(KIND_REJECT).alias("kind"), "symbol", "partition", "offset", F.lit(None).cast("long").alias("seq"),
-        F.lit(None).cast("int").alias("fill_no"), F.lit(None).cast("string").alias("side"),
-        F.lit(None).cast("long").alias("price"), F.lit(None).cast("long").alias("size"), "request_id",
-        F.lit(None).cast("string").alias("bid_request_id"), F.lit(None).cast("string").alias("ask_request_id"),
-        F.lit(None).cast("timestamp_ntz").alias("at"), F.col("reject_reason").alias("reason"),
-        F.col("reject_stage").alias("stage"),
-        F.lit(None).cast(TAGGED["bids"].dataType).alias("bids"),
-        F.lit(None).cast(TAGGED["asks"].dataType).alias("asks"))
-    return tagged.unionByName(early)
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:

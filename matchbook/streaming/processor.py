@@ -24,6 +24,12 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ..operators.matching import PHASE_BOOK, Book, TaggedRows, _micros, apply_requests
 from ..schemas import SIDE_BUY, SIDE_SELL
 
+# Grouping key is (lane, key): lane 0 carries refused rows, spread over
+# REJECT_KEYS keys by offset and passed through without state; lane 1 is keyed
+# by symbol and holds the books.
+LANE_REFUSED, LANE_BOOK = 0, 1
+REJECT_KEYS = 1024
+
 META_SCHEMA = "seq long, last_offset long, partition int, since_snapshot int, changed boolean, resting long"
 ORDER_SCHEMA = "side int, price long, seq long, id string, size long"
 
@@ -66,8 +72,15 @@ class BookProcessor(StatefulProcessor):
 
     # -- callbacks ------------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        symbol = key[0]
+        lane, symbol = key[0], key[1]
         pdf = pd.concat(list(rows), ignore_index=True)
+        if lane == LANE_REFUSED:
+            out = TaggedRows()
+            for r in pdf.itertuples(index=False):
+                out.reject(r.symbol, None if pd.isna(r.partition) else int(r.partition), int(r.offset), None,
+                           r.request_id, r.reject_reason, r.reject_stage)
+            yield out.frame()
+            return
         pdf = pdf.sort_values(["partition", "offset"], kind="stable")
         book, loaded_seq, _changed = self._load(symbol)
         out = TaggedRows()
@@ -85,7 +98,7 @@ class BookProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Interval snapshot: emitted only if the book changed since the last snapshot."""
-        book, loaded_seq, changed = self._load(key[0])
+        book, loaded_seq, changed = self._load(key[1])
         if changed:
             out = TaggedRows()
             out.snapshot(book, int(timerValues.getCurrentProcessingTimeInMs()) * 1000)

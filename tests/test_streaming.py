@@ -98,3 +98,14 @@ def test_interval_snapshot_only_after_change(spark, scratch):
         assert spark.sql(f"SELECT count(*) AS n FROM {name}").first().n == 1
     finally:
         q.stop()
+
+
+def test_refused_rows_pass_through_the_stream(spark, scratch):
+    data = rows(BASIC[:5] + [("", 1, 100, 1), ("GOOG", 1, 0, 1), ("GOOG", 7, 100, 1)])
+    src, out = os.path.join(scratch, "src"), os.path.join(scratch, "out")
+    write_files(src, data, per_file=4)
+    run_match_stream(stream(spark, src), out, checkpoint=os.path.join(scratch, "ckpt"))
+    rej = {(r.offset, r.stage, r.reason) for r in read_stream_output(spark, out, "rejects").collect()}
+    assert rej == {(6, "engine", "empty_symbol"), (7, "engine", "price_or_size"), (8, "engine", "unknown_side")}
+    batch = book.executions(book.match_batch(spark.createDataFrame(data, REQUEST)))
+    assert exec_tuples(read_stream_output(spark, out)) == exec_tuples(batch)
