@@ -11,7 +11,7 @@ from ..operators import book as book_ops
 from ..operators.matching import KEYED_COLUMNS
 from ..operators.trades import insert_trades
 from ..operators.validate import engine_checked
-from ..schemas import KIND_FILL, KIND_REJECT, KIND_SNAPSHOT, TAGGED
+from ..schemas import TAGGED
 from ..session import checkpoint_dir, ship_package
 from .processor import LANE_BOOK, LANE_REFUSED, REJECT_KEYS, BookProcessor
 
