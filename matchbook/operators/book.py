@@ -13,13 +13,21 @@ from .validate import STAGE_ENGINE, engine_checked
 
 
 def match_batch(requests: DataFrame, restored: DataFrame | None = None, snapshot_every: int = 0,
-                num_partitions: int | None = None, emit_final: bool = True) -> DataFrame:
+                num_partitions: int | None = None, emit_final: bool = True,
+                symbols: list[str] | None = None) -> DataFrame:
     """Run the books over a bounded request table; returns tagged rows (schemas.TAGGED).
 
     One pass over the input: rows failing the engine checks (or refused
     upstream, see ``validate.ingest_tagged``) travel through the same shuffle,
-    spread by offset, and come back as ``kind = 'reject'`` rows.
+    spread by offset, and come back as ``kind = 'reject'`` rows. ``symbols``
+    restricts the run to some books; the filter is applied before the
+    shuffle, where Catalyst can push it into the scan (it cannot pass the
+    Python operator by itself).
     """
+    if symbols is not None:
+        requests = requests.filter(F.col("symbol").isin(symbols))
+        if restored is not None:
+            restored = restored.filter(F.col("symbol").isin(symbols))
     return match_keyed(keyed_rows(engine_checked(requests), restored), num_partitions, snapshot_every, emit_final)
 
 

@@ -19,7 +19,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def match_stream(requests: DataFrame, restored: DataFrame | None = None, snapshot_every: int = 0,
-                 snapshot_interval_ms: int = 0) -> DataFrame:
+                 snapshot_interval_ms: int = 0, symbols: list[str] | None = None) -> DataFrame:
     """Streaming tagged rows (schemas.TAGGED) from a streaming request DataFrame.
 
     ``restored`` is a batch DataFrame of restore rows (``operators.snapshots.restore_rows``)
@@ -29,6 +29,10 @@ def match_stream(requests: DataFrame, restored: DataFrame | None = None, snapsho
     ship_package(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    if symbols is not None:  # before the keyed operator, so it reaches the source
+        requests = requests.filter(F.col("symbol").isin(symbols))
+        if restored is not None:
+            restored = restored.filter(F.col("symbol").isin(symbols))
     checked = engine_checked(requests)
     # One pass over each micro-batch: refused rows go through the same keyed
     # operator in their own lane, spread by offset (an empty or NULL symbol

@@ -106,3 +106,13 @@ def test_epochs_equal_one_pass(spark, scratch):
     for f in (book.executions, book.resting_orders, book.snapshots, book.book_headers):
         a, b = f(one), f(split)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, f.__name__
+
+
+def test_symbol_filter_reaches_the_scan(spark, scratch):
+    path = scratch + "/req"
+    spark.createDataFrame(rows(BASIC), REQUEST).write.parquet(path)
+    tagged = book.match_batch(spark.read.parquet(path), symbols=["GOOG"])
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "GOOG" in plan and "PushedFilters" in plan
+    assert {r.symbol for r in book.executions(tagged).collect()} == {"GOOG"}
+    assert exec_tuples(tagged) == [t for t in expected_executions(BASIC, BASIC_FILLS) if t[0] == "GOOG"]
