@@ -33,21 +33,31 @@ def epoch_bounds(requests: DataFrame, epochs: int) -> list[tuple[int, int]]:
     return [(a, min(hi, a + width - 1)) for a in range(lo, hi + 1, width)]
 
 
+def _committed(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def match_in_epochs(requests: DataFrame, out_dir: str, epochs: int, snapshot_every: int = 0,
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, resume: bool = True) -> DataFrame:
     """Tagged output equal to ``match_batch(requests)``, computed one offset range at a time.
 
     Fills, snapshots and rejects come from every epoch; ``rest`` and ``book``
-    rows (the final books) from the last one.
+    rows (the final books) from the last one. With ``resume``, epochs already
+    committed in ``out_dir`` (``_SUCCESS`` present) are read back instead of
+    recomputed, so a restarted driver continues after the last finished
+    epoch; ``out_dir`` must then belong to this input and epoch count.
     """
     spark = requests.sparkSession
     ranges = epoch_bounds(requests, epochs)
     restored = None
     for k, (a, b) in enumerate(ranges):
-        part = requests.filter(F.col("offset").between(a, b))
-        tagged = book_ops.match_batch(part, restored, snapshot_every, num_partitions)
         path = os.path.join(out_dir, f"epoch={k}")
-        tagged.write.mode("overwrite").parquet(path)
+        if not (resume and _committed(spark, path)):
+            part = requests.filter(F.col("offset").between(a, b))
+            tagged = book_ops.match_batch(part, restored, snapshot_every, num_partitions)
+            tagged.write.mode("overwrite").parquet(path)
         done = spark.read.schema(TAGGED).parquet(path)
         restored = books_as_restore_rows(book_ops.book_headers(done), book_ops.resting_orders(done))
     last = len(ranges) - 1

@@ -116,3 +116,30 @@ def test_symbol_filter_reaches_the_scan(spark, scratch):
     assert "GOOG" in plan and "PushedFilters" in plan
     assert {r.symbol for r in book.executions(tagged).collect()} == {"GOOG"}
     assert exec_tuples(tagged) == [t for t in expected_executions(BASIC, BASIC_FILLS) if t[0] == "GOOG"]
+
+
+def test_epochs_resume_after_committed_epochs(spark, scratch, monkeypatch):
+    from matchbook.operators import epochs
+
+    flow = order_flow(read_table(spark, "/root/testdata/sf0.001", "events"))
+    full = sorted(map(tuple, book.executions(book.match_batch(flow)).collect()))
+    out = scratch + "/epochs"
+    real, calls = epochs.book_ops.match_batch, []
+
+    def dies_on_fourth(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == 4:
+            raise RuntimeError("driver lost")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(epochs.book_ops, "match_batch", dies_on_fourth)
+    try:
+        epochs.match_in_epochs(flow, out, epochs=4)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(epochs.book_ops, "match_batch", real)
+    resumed_calls = []
+    monkeypatch.setattr(epochs.book_ops, "match_batch", lambda *a, **k: resumed_calls.append(1) or real(*a, **k))
+    again = sorted(map(tuple, book.executions(epochs.match_in_epochs(flow, out, epochs=4)).collect()))
+    assert again == full
+    assert len(resumed_calls) == 1  # only the epoch that never committed ran again
