@@ -7,12 +7,12 @@ by exactly one task; symbols are spread over tasks by a hash shuffle.
 
 Batch plan::
 
-    requests --engine checks--> keyed rows --repartition(n, symbol)
-      --sortWithinPartitions(symbol, phase, partition, offset)--> mapInArrow
+    requests --engine checks--> keyed rows --repartition(n, symbol | offset for refused rows)
+      --sortWithinPartitions(lane, symbol, phase, partition, offset)--> mapInArrow
 
-The Python generator (Arrow batches in and out) holds a single book at a time and streams the sorted
-rows through it, so task memory is one book plus one Arrow batch, never a
-whole symbol's history.
+The Python generator (Arrow batches in and out) holds a single book at a
+time and streams the sorted rows through it, so task memory is one book plus
+one Arrow batch, never a whole symbol's history.
 """
 
 from __future__ import annotations
@@ -118,7 +118,11 @@ class Book:
 
 
 class TaggedRows:
-    """Accumulates tagged output rows and turns them into one pandas frame."""
+    """Accumulates tagged output rows (schemas.TAGGED order).
+
+    ``record_batch`` feeds the batch operator (``mapInArrow``); ``frame``
+    feeds the streaming processor (pandas). ``at`` is epoch microseconds.
+    """
 
     __slots__ = ("rows",)
 
