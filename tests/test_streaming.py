@@ -109,3 +109,14 @@ def test_refused_rows_pass_through_the_stream(spark, scratch):
     assert rej == {(6, "engine", "empty_symbol"), (7, "engine", "price_or_size"), (8, "engine", "unknown_side")}
     batch = book.executions(book.match_batch(spark.createDataFrame(data, REQUEST)))
     assert exec_tuples(read_stream_output(spark, out)) == exec_tuples(batch)
+
+
+def test_dump_stream_runs_to_the_end(spark, scratch):
+    from matchbook.functions.render import dump_stream
+
+    src = os.path.join(scratch, "src")
+    write_files(src, rows(BASIC[:3]), per_file=1)
+    q = dump_stream(stream(spark, src), available_now=True, checkpoint=os.path.join(scratch, "ckpt"))
+    q.awaitTermination(120)
+    assert not q.isActive and q.exception() is None
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 3
