@@ -55,3 +55,28 @@ def test_compact_snapshots_keeps_latest_per_symbol(spark, scratch):
     snapshots.compact_snapshots(log, path)
     got = {r.symbol: r.orderbook_seq for r in read_snapshot_log(spark, path).collect()}
     assert got == {"GOOG": 4, "AAPL": 4, "MSFT": 4}
+
+
+def test_decode_snapshots_skips_bad_rows(spark):
+    from matchbook.schemas import SNAPSHOT
+
+    lines = spark.createDataFrame([
+        (0, 1, '{"created_at":"2024-01-01T00:00:00","symbol":"A","trades_partition":0,"last_offset":5,'
+               '"orderbook_seq":3,"bids":[{"id":"1","price":10,"size":2,"seq":1}],"asks":[]}'),
+        (0, 2, 'not json'),
+    ], "partition int, offset long, value string")
+    good, bad = decode_json(lines, SNAPSHOT)
+    g = good.collect()
+    assert [(r.symbol, r.orderbook_seq, [(o.price, o.size) for o in r.bids]) for r in g] == [("A", 3, [(10, 2)])]
+    assert [r.offset for r in bad.collect()] == [2]
+
+
+def test_read_executions_json(spark, scratch):
+    from matchbook.sources.requests import read_executions_json
+
+    path = os.path.join(scratch, "ex.json")
+    with open(path, "w") as f:
+        f.write('{"symbol":"A","price":5,"size":2,"bid_request_id":"b","ask_request_id":"a",'
+                '"executed_at":"2024-01-01T00:00:01","execution_id":"b-a"}\n')
+    r = read_executions_json(spark, path).first()
+    assert (r.symbol, r.price, r.size, r.execution_id, str(r.executed_at)) == ("A", 5, 2, "b-a", "2024-01-01 00:00:01")
