@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import EXECUTION, SNAPSHOT
+from ..schemas import EXECUTION, MAX_BIGINT, SNAPSHOT
 from .requests import CORRUPT
 
 EVENT_JSON = T.StructType([
@@ -39,11 +39,20 @@ def _reader(spark: SparkSession, servers: str, topic: str, stream: bool, **optio
 
 
 def request_log(spark: SparkSession, servers: str, topic: str, stream: bool = True, **options) -> DataFrame:
-    """Trade requests from oldest offset, keeping partition and offset; REQUEST columns plus decode status."""
+    """Trade requests from oldest offset, keeping partition and offset.
+
+    REQUEST columns plus ``reject_stage`` / ``reject_reason``: undecodable
+    records and 64-bit values above the BIGINT range are refused here and ride
+    the matcher's reject lane.
+    """
     raw = _reader(spark, servers, topic, stream, **options)
     j = F.from_json(F.col("value").cast("string"), EVENT_JSON,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     side = F.col("j.trade.side")
+    price = F.col("j.trade.price").try_cast("decimal(20,0)")
+    size = F.col("j.trade.size").try_cast("decimal(20,0)")
+    undecodable = F.col("j").isNull() | F.col(f"j.{CORRUPT}").isNotNull()
+    too_big = (price > MAX_BIGINT) | (size > MAX_BIGINT)
     return raw.select("partition", "offset", j.alias("j")).select(
         F.col("partition").cast("int"), "offset",
         F.coalesce(F.col("j.request_id"), F.lit("")).alias("request_id"),
@@ -52,11 +61,10 @@ def request_log(spark: SparkSession, servers: str, topic: str, stream: bool = Tr
                F.coalesce(F.col("j.trade.instrument.symbol"), F.lit(""))).alias("symbol"),
         F.coalesce(F.when(F.upper(side) == "BUY", 1).when(F.upper(side) == "SELL", 0)
                    .otherwise(side.try_cast("int")), F.lit(0)).alias("side"),
-        F.col("j.trade.price").try_cast("long").alias("price"),
-        F.col("j.trade.size").try_cast("long").alias("size"),
-        F.when(F.col("j").isNull() | F.col(f"j.{CORRUPT}").isNotNull(), F.lit("decode")).alias("reject_stage"),
-        F.when(F.col("j").isNull() | F.col(f"j.{CORRUPT}").isNotNull(), F.lit("undecodable"))
-        .alias("reject_reason"),
+        F.when(price <= MAX_BIGINT, price.cast("long")).alias("price"),
+        F.when(size <= MAX_BIGINT, size.cast("long")).alias("size"),
+        F.when(undecodable | too_big, F.lit("decode")).alias("reject_stage"),
+        F.when(undecodable, F.lit("undecodable")).when(too_big, F.lit("out_of_range")).alias("reject_reason"),
     )
 
 
