@@ -39,13 +39,17 @@ def _reader(spark: SparkSession, servers: str, topic: str, stream: bool, **optio
 
 
 def request_log(spark: SparkSession, servers: str, topic: str, stream: bool = True, **options) -> DataFrame:
-    """Trade requests from oldest offset, keeping partition and offset.
+    """Trade requests from oldest offset, keeping partition and offset (see ``decode_request_records``)."""
+    return decode_request_records(_reader(spark, servers, topic, stream, **options))
+
+
+def decode_request_records(raw: DataFrame) -> DataFrame:
+    """Log records ``(partition, offset, value)`` holding proto-JSON TradeEvents -> request rows.
 
     REQUEST columns plus ``reject_stage`` / ``reject_reason``: undecodable
     records and 64-bit values above the BIGINT range are refused here and ride
     the matcher's reject lane.
     """
-    raw = _reader(spark, servers, topic, stream, **options)
     j = F.from_json(F.col("value").cast("string"), EVENT_JSON,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     side = F.col("j.trade.side")

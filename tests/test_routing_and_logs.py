@@ -80,3 +80,24 @@ def test_read_executions_json(spark, scratch):
                 '"executed_at":"2024-01-01T00:00:01","execution_id":"b-a"}\n')
     r = read_executions_json(spark, path).first()
     assert (r.symbol, r.price, r.size, r.execution_id, str(r.executed_at)) == ("A", 5, 2, "b-a", "2024-01-01 00:00:01")
+
+
+def test_decode_request_records(spark):
+    from matchbook.operators import book as book_ops
+    from matchbook.sources.kafka import decode_request_records
+
+    ev = '{"trade":{"instrument":{"symbol":"GOOG"},"side":"%s","price":"%s","size":%s},' \
+         '"received_at":"2024-01-01T00:00:0%dZ","request_id":"r%d"}'
+    raw = spark.createDataFrame([
+        (0, 1, ev % ("SELL", "100", "10", 1, 1)),
+        (0, 2, ev % ("BUY", "100", "4", 2, 2)),
+        (0, 3, '{"trade":'),
+        (0, 4, ev % ("BUY", "18446744073709551615", "1", 4, 4)),
+    ], "partition int, offset long, value string")
+    rows = {r.offset: r for r in decode_request_records(raw).collect()}
+    assert (rows[1].side, rows[1].price, rows[1].size, rows[2].side) == (0, 100, 10, 1)
+    assert (rows[3].reject_reason, rows[4].reject_reason) == ("undecodable", "out_of_range")
+    tagged = book_ops.match_batch(decode_request_records(raw))
+    assert [(r.price, r.size) for r in book_ops.executions(tagged).collect()] == [(100, 4)]
+    assert {(r.offset, r.stage, r.reason) for r in book_ops.engine_rejects(tagged).collect()} == {
+        (3, "decode", "undecodable"), (4, "decode", "out_of_range")}
