@@ -35,15 +35,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set here only when the session has none (local tests); on a cluster the
-    cluster's setting is used as is.
+    A folder is made here only for a local master that has none (tests); on a cluster the
+    cluster's setting is used as is, and a missing one is an error.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="matchbook-ckpt-", dir=os.environ.get("MATCHBOOK_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 
