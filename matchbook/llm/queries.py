@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchbook.llm import decontaminate as _decontaminate
 from matchbook.llm import exact_dedup as _exact
 from matchbook.llm import language_id as _language
 from matchbook.llm import quality as _quality
+from matchbook.llm import substring_dedup as _substring
 from matchbook.llm import toxicity as _toxicity
 from matchbook.llm import url_filter as _urls
 from matchbook.llm.common import table
@@ -17,10 +19,18 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _substring.substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact.exact_dedup(table(spark, sf_dir, "documents")).drop("row_no")
 
@@ -35,7 +45,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_url_filter": op5_url_filter,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
     "op10_quality": op10_quality,
