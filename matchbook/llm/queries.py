@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from matchbook.llm import decontaminate as _decontaminate
 from matchbook.llm import exact_dedup as _exact
 from matchbook.llm import language_id as _language
+from matchbook.llm import near_dedup as _near
 from matchbook.llm import quality as _quality
 from matchbook.llm import substring_dedup as _substring
 from matchbook.llm import toxicity as _toxicity
@@ -39,6 +40,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _language.language_id(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _near.near_dedup(table(spark, sf_dir, "documents")).drop("oid", "tkey")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality": op10_quality,
 }
 
