@@ -10,6 +10,7 @@ from matchbook.llm import exact_dedup as _exact
 from matchbook.llm import language_id as _language
 from matchbook.llm import near_dedup as _near
 from matchbook.llm import quality as _quality
+from matchbook.llm import sentencepiece as _pieces
 from matchbook.llm import substring_dedup as _substring
 from matchbook.llm import toxicity as _toxicity
 from matchbook.llm import url_filter as _urls
@@ -20,6 +21,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pieces.encoded_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,6 +55,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_url_filter": op5_url_filter,
     "op6_substring_dedup": op6_substring_dedup,
