@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchbook.llm import exact_dedup, language_id
+from matchbook.llm import decontaminate, exact_dedup, language_id, near_dedup, sentencepiece
 from matchbook.llm.common import kept, table
 
 
@@ -22,12 +22,30 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return exact_dedup.drop_copies(docs)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the least doc_id stays."""
+    return near_dedup.drop_near(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of ``benchmark`` go."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, digest of the token ids, digest of the text decoded from them."""
+    return sentencepiece.encoded_digests(docs)
+
+
 STAGES = [
     ("language_id", known_language),
     ("exact_dedup", without_copies),
+    ("near_dedup", without_near_copies),
+    ("benchmark_decontamination", without_benchmark),
+    ("sentencepiece", tokenized),
 ]
 
-#: The trained network of the first stage can't be expressed in SQL.
+#: Neither the trained network of the first stage nor piece merging can be expressed in SQL.
 ORACLE_SQL = None
 
 

@@ -9,6 +9,7 @@ from matchbook.llm import decontaminate as _decontaminate
 from matchbook.llm import exact_dedup as _exact
 from matchbook.llm import language_id as _language
 from matchbook.llm import near_dedup as _near
+from matchbook.llm import pii as _pii
 from matchbook.llm import quality as _quality
 from matchbook.llm import sentencepiece as _pieces
 from matchbook.llm import substring_dedup as _substring
@@ -25,6 +26,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces.encoded_digests(table(spark, sf_dir, "documents"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pii.digested(_pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -56,6 +61,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_personal_data": op3_personal_data,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_url_filter": op5_url_filter,
     "op6_substring_dedup": op6_substring_dedup,
