@@ -7,12 +7,16 @@ element that arrived first; a process ends as soon as its arrival is later than
 Two texts agree in a register with their probability-Jaccard similarity. ``ROWS`` registers make a band;
 ``BANDS`` equal-band chances lose a pair at similarity 0.8 with probability 6e-5.
 
-Texts with equal words are one member (the least doc_id stands for all). Members with an equal band make a
-bucket. No bucket is spread into all its pairs: a first round pairs each bucket's least member with its others, verifies
-the pairs by the exact Jaccard similarity of the shingle sets (0.8 or more) and merges classes. Where members
-remain outside that class, the next rounds take ``LEADERS`` of them at a time, against every member of another
-class, until a bucket is one class or all its members have led or joined a leader. So each pair of a bucket is
-compared unless both are in one class already, or each has joined an earlier leader of another class.
+Texts with equal words are one member (the least doc_id stands for all). Members with an equal band and sizes
+that allow the similarity make a bucket. No bucket is spread into all its pairs. First each bucket's least
+member is paired with its others; the pairs are verified by the exact Jaccard similarity of the shingle sets (0.8
+or more) and classes merged. The members of buckets that are not one class by then (most share a frequent
+passage and little else) go through an exact prefix filter: in any fixed order of all shingles, two sets with
+similarity t share one of their first ``n - ceil(t n) + 1``. The order takes shingles that few of these members
+have first, so a frequent passage brings nobody together. Members with an equal prefix shingle make the new
+buckets; in rounds, ``LEADERS`` members of each that holds several classes meet its members of other classes,
+until every bucket is one class or all its members have led or joined a leader's class. So each pair of a
+bucket is compared unless both are in one class already, or each has joined an earlier leader of another class.
 
 Classes are the connected components of the links. Results: doc_id, class_id (least doc_id of the class),
 class_size (documents), n_links (verified links of the text that stands for the document), kept (the class's
@@ -35,8 +39,11 @@ THRESHOLD = 0.8
 ROWS = 6
 BANDS = 32
 REGISTERS = ROWS * BANDS
-#: Members of a bucket that lead in one round, after the first.
-LEADERS = 16
+#: Members of a bucket that lead in one round of the prefix filter.
+LEADERS = 8
+#: Cells in which the frequency of shingles is counted for the order of the prefix filter.
+CELLS = 1 << 18
+FREQUENT = 8
 LAST = 2**63 - 1
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -171,51 +178,85 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     both = pairs.join(left, "a").join(right, "b").filter(small >= threshold * large)
     both = both.withColumn("same", F.size(F.array_intersect("sa", "sb")))
     sim = F.col("same") / (F.size("sa") + F.size("sb") - F.col("same"))
-    return both.select("a", "b", sim.alias("sim")).filter(F.col("sim") >= threshold)
+    return both.select("a", "b", sim.alias("sim")).filter(F.col("sim") >= threshold).distinct()
+
+
+def sized(buckets: DataFrame, threshold: float) -> DataFrame:
+    """Buckets (band, member, size) cut by size: members whose sizes allow the similarity share one of two keys."""
+    step = F.floor(F.log("size") / float(np.log(1 / threshold)) + 1e-9).cast("bigint")
+    keys = buckets.select("member", "size", F.explode(F.array(step, step + 1)).alias("step"), "band")
+    keys = keys.select(F.xxhash64("band", "step").alias("band"), "member", "size")
+    several = keys.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    return keys.join(several, "band")
+
+
+def classed(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` with the class of each member so far (its own number: none)."""
+    return rows.join(classes, "member", "left").withColumn("class", F.coalesce("class", "member"))
+
+
+def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """band, member, size: the shingles of each set that the prefix filter looks at, rare ones first."""
+    cell = F.pmod(F.col("shingle"), F.lit(CELLS)).cast("int")
+    often = sets.select(F.explode("set").alias("shingle")).groupBy(cell.alias("cell")).count().filter(F.col("count") >= FREQUENT)
+    table = np.zeros(CELLS, np.int64)
+    got = often.toArrow()  # at most CELLS numbers
+    table[got.column("cell").to_numpy()] = got.column("count").to_numpy()
+    table = sets.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        for batch in batches:
+            for member, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                x = x.values.to_numpy()
+                order = np.lexsort((x, table.value[np.mod(x, CELLS)]))
+                first = x[order[: len(x) - int(np.ceil(threshold * len(x) - 1e-9)) + 1]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first), pa.array(np.full(len(first), member)), pa.array(np.full(len(first), len(x)))],
+                    names=["band", "member", "size"],
+                )
+
+    rows = sets.select("member", "set").mapInArrow(run, "band bigint, member bigint, size bigint").distinct()
+    several = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
+    return rows.join(several, "band")
 
 
 def links(buckets: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(links a, b, sim; classes member, class) among the members of buckets (band, member, size)."""
-    spark = buckets.sparkSession
-    found = spark.createDataFrame([], "a bigint, b bigint, sim double")
-    classes = spark.createDataFrame([], "member bigint, class bigint")
-    tried = spark.createDataFrame([], "a bigint, b bigint")
-    live, n = buckets.withColumn("led", F.lit(False)), 1
+    alike = F.least("size", "lsize") >= threshold * F.greatest("size", "lsize")
+    leaders = buckets.groupBy("band").agg(F.min("member").alias("leader"), F.min_by("size", "member").alias("lsize"))
+    pairs = buckets.join(leaders, "band").filter((F.col("member") != F.col("leader")) & alike)
+    tried = kept(pairs.select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct(), "pairs")
+    found = kept(verified(tried, sets, threshold), "found")
+    classes = components(found)
+    mixed_bands = classed(buckets, classes).groupBy("band").agg(F.min("class").alias("c1"), F.max("class").alias("c2"))
+    rest = buckets.join(mixed_bands.filter("c1 <> c2").select("band"), "band").select("member").distinct()
+    left = kept(sets.join(rest, "member"), "rest")
+    if not left.limit(1).count():
+        return found, classes
+    live = prefixes(left, threshold).withColumn("led", F.lit(False))
     while True:
+        # only buckets of several classes where someone hasn't led go on
+        live = kept(classed(live, classes), "live")
+        state = live.groupBy("band").agg(F.min("class").alias("c1"), F.max("class").alias("c2"), F.min("led").alias("done"))
+        live = kept(live.join(state.filter("c1 <> c2 and not done").select("band"), "band"), "live")
+        if not live.limit(1).count():
+            return found, classes
         rank = F.row_number().over(Window.partitionBy("band").orderBy("member"))
-        open_ = live.filter("not led")
-        if n == 1:
-            leaders = open_.groupBy("band").agg(F.min("member").alias("leader"))
-        else:
-            leaders = open_.withColumn("rank", rank).filter(F.col("rank") <= n).select("band", F.col("member").alias("leader"))
-        leaders = leaders.join(live.select("band", F.col("member").alias("leader"), F.col("size").alias("lsize")), ["band", "leader"])
-        alike = F.least("size", "lsize") >= threshold * F.greatest("size", "lsize")
-        pairs = live.join(leaders, "band").filter((F.col("member") != F.col("leader")) & alike)
+        leaders = live.filter("not led").withColumn("rank", rank).filter(F.col("rank") <= LEADERS)
+        leaders = leaders.select("band", F.col("member").alias("leader"), F.col("size").alias("lsize"), F.col("class").alias("lclass"))
+        pairs = live.join(leaders, "band").filter((F.col("class") != F.col("lclass")) & alike)
         pairs = pairs.select(F.least("member", "leader").alias("a"), F.greatest("member", "leader").alias("b")).distinct()
-        if n > 1:
-            of_a = classes.select(F.col("member").alias("a"), F.col("class").alias("ca"))
-            of_b = classes.select(F.col("member").alias("b"), F.col("class").alias("cb"))
-            pairs = pairs.join(tried, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
-            pairs = pairs.filter("ca is null or cb is null or ca <> cb").select("a", "b")
-        pairs = kept(pairs, "pairs")
-        new = kept(verified(pairs, sets, threshold), "found")
+        pairs = kept(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        new = kept(verified(pairs, left, threshold), "found")
+        tried = tried.unionByName(pairs)
         if new.limit(1).count():
-            found, tried = found.unionByName(new), tried.unionByName(pairs)
+            found = found.unionByName(new)
             classes = components(found)
-        else:
-            tried = tried.unionByName(pairs)
         # who has led, or is in the class of a leader of the bucket, leads no more
-        of_member = classes.select("member", F.col("class").alias("cm"))
-        of_leader = classes.select(F.col("member").alias("leader"), F.col("class").alias("cl"))
-        heads = leaders.select("band", "leader").join(of_leader, "leader", "left").select(
-            "band", F.coalesce("cl", "leader").alias("cm"), F.lit(True).alias("joined")
-        ).distinct()
-        step = live.join(of_member, "member", "left").withColumn("cm", F.coalesce("cm", "member")).join(heads, ["band", "cm"], "left")
-        step = step.select("band", "member", "size", (F.col("led") | F.col("joined").isNotNull()).alias("led"))
-        unled = step.groupBy("band").agg(F.min("led").alias("done")).filter("not done").select("band")
-        live, n = kept(step.join(unled, "band"), "buckets"), LEADERS
-        if not live.limit(1).count():
-            return found, classes
+        heads = classed(leaders.select("band", F.col("leader").alias("member")), classes)
+        heads = heads.select("band", "class").distinct().withColumn("joined", F.lit(True))
+        step = classed(live.drop("class"), classes).join(heads, ["band", "class"], "left")
+        live = step.select("band", "member", "size", (F.col("led") | F.col("joined").isNotNull()).alias("led"))
 
 
 def near_dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -231,9 +272,9 @@ def near_dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     first = scan.join(texts.select(F.col("member").alias("row_no")), "row_no", "left_semi")
     bands = first.select(F.col("row_no").alias("member"), "size", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    buckets = kept(bands.join(shared, "band").select("band", "member", "size"), "buckets")
+    buckets = kept(sized(bands.join(shared, "band").select("band", "member", "size"), threshold), "buckets")
     involved = scan.select(F.col("row_no").alias("member"), "oid", "tkey").join(buckets.select("member").distinct(), "member")
-    sets = kept(shingle_sets(rows.select("oid", "tkey", "text").join(involved, ["oid", "tkey"]).dropDuplicates(["member"])), "sets")
+    sets = kept(shingle_sets(rows.select("oid", "tkey", "text").join(involved, ["oid", "tkey"])), "sets")
     found, classes = links(buckets, sets, threshold)
     degree = found.select(F.explode(F.array("a", "b")).alias("member")).groupBy("member").agg(F.count("*").alias("n_links"))
     member = (
