@@ -8,15 +8,14 @@ Two texts agree in a register with their probability-Jaccard similarity. ``ROWS`
 ``BANDS`` equal-band chances lose a pair at similarity 0.8 with probability 6e-5.
 
 Texts with equal words are one member (the least doc_id stands for all). Members with an equal band and sizes
-that allow the similarity make a bucket. No bucket is spread into all its pairs. First each bucket's least
-member is paired with its others; the pairs are verified by the exact Jaccard similarity of the shingle sets (0.8
-or more) and classes merged. The members of buckets that are not one class by then (most share a frequent
-passage and little else) go through an exact prefix filter: in any fixed order of all shingles, two sets with
-similarity t share one of their first ``n - ceil(t n) + 1``. The order takes shingles that few of these members
-have first, so a frequent passage brings nobody together. Members with an equal prefix shingle make the new
-buckets; in rounds, ``LEADERS`` members of each that holds several classes meet its members of other classes,
-until every bucket is one class or all its members have led or joined a leader's class. So each pair of a
-bucket is compared unless both are in one class already, or each has joined an earlier leader of another class.
+that allow the similarity make a bucket. No bucket is spread into all its pairs. First each bucket's
+leader, the member that meets most others in all its buckets (the text that others were made from, rather than
+one of its copies), is paired with its others; the pairs are verified by the exact Jaccard similarity of the shingle sets (0.8
+or more) and classes merged. Buckets that are not one class by then are
+joined into families (connected through shared buckets), and a family is compared exactly: its members are dealt
+into blocks of about ``BLOCK``, members of one class together, and each two blocks that are not of one class
+meet in a task, which counts common shingles by a matrix product and gives back only true links. So every pair
+with an equal band is compared unless both are in one class already, and no group is ever whole in one task.
 
 Classes are the connected components of the links. Results: doc_id, class_id (least doc_id of the class),
 class_size (documents), n_links (verified links of the text that stands for the document), kept (the class's
@@ -39,11 +38,8 @@ THRESHOLD = 0.8
 ROWS = 6
 BANDS = 32
 REGISTERS = ROWS * BANDS
-#: Members of a bucket that lead in one round of the prefix filter.
-LEADERS = 8
-#: Cells in which the frequency of shingles is counted for the order of the prefix filter.
-CELLS = 1 << 18
-FREQUENT = 8
+#: Members of a family that are compared with as many others in one task.
+BLOCK = 400
 LAST = 2**63 - 1
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -186,8 +182,15 @@ def sized(buckets: DataFrame, threshold: float) -> DataFrame:
     step = F.floor(F.log("size") / float(np.log(1 / threshold)) + 1e-9).cast("bigint")
     keys = buckets.select("member", "size", F.explode(F.array(step, step + 1)).alias("step"), "band")
     keys = keys.select(F.xxhash64("band", "step").alias("band"), "member", "size")
-    several = keys.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    return keys.join(several, "band")
+    return met(keys)
+
+
+def met(keys: DataFrame) -> DataFrame:
+    """The buckets (band, member, size) of several members, with each member's ``weight``: how many rows its buckets
+    have together. A member has a bounded number of buckets."""
+    several = keys.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    own = Window.partitionBy("member")
+    return keys.join(several, "band").withColumn("weight", F.sum("n").over(own)).drop("n")
 
 
 def classed(rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -195,68 +198,72 @@ def classed(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.join(classes, "member", "left").withColumn("class", F.coalesce("class", "member"))
 
 
-def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
-    """band, member, size: the shingles of each set that the prefix filter looks at, rare ones first."""
-    cell = F.pmod(F.col("shingle"), F.lit(CELLS)).cast("int")
-    often = sets.select(F.explode("set").alias("shingle")).groupBy(cell.alias("cell")).count().filter(F.col("count") >= FREQUENT)
-    table = np.zeros(CELLS, np.int64)
-    got = often.toArrow()  # at most CELLS numbers
-    table[got.column("cell").to_numpy()] = got.column("count").to_numpy()
-    table = sets.sparkSession.sparkContext.broadcast(table)
+def similar(t: pa.Table, threshold: float) -> pa.Table:
+    """Links between members of different classes among the rows (member, class, set) of two blocks."""
+    member, place = np.unique(t.column("member").to_numpy(), return_index=True)
+    cls = t.column("class").to_numpy()[place]
+    lists = t.column("set").combine_chunks().take(pa.array(place))
+    size = np.diff(lists.offsets.to_numpy())
+    owner = np.repeat(np.arange(len(member)), size)
+    shingle, code, n = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    shared = np.cumsum(n > 1) - 1
+    use = n[code] > 1
+    owner, code, width = owner[use], shared[code[use]], int((n > 1).sum())
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    common = np.zeros((len(member),) * 2, np.float32)
+    for begin in range(0, width, 4096):
+        a, b = np.searchsorted(code, [begin, begin + 4096])
+        table = np.zeros((len(member), min(4096, width - begin)), np.float32)
+        table[owner[a:b], code[a:b] - begin] = 1
+        common += table @ table.T
+    sim = common / (size[:, None] + size[None, :] - common)
+    a, b = np.nonzero(np.triu((sim >= threshold - 1e-6) & (cls[:, None] != cls[None, :]), 1))
+    return pa.table({"a": pa.array(member[a]), "b": pa.array(member[b]), "sim": pa.array(sim[a, b].astype(np.float64))})
+
+
+def family_links(members: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """a, b, sim: the links between different classes of each family; members: member, family, class, set."""
+    alone = F.count("*").over(Window.partitionBy("family", "class")) == 1
+    group = members.select("member", "family", "class").withColumn("group", F.when(alone, F.lit(-1)).otherwise(F.col("class")))
+    sizes = group.groupBy("family", "group").agg(F.ceil(F.count("*") / block).alias("n"))
+    dealt = group.join(sizes, ["family", "group"]).withColumn("block", F.pmod(F.xxhash64("member"), F.col("n")))
+    dealt = kept(dealt.select("member", "family", "class", "group", "block"), "blocks")
+    blocks = dealt.select("family", F.struct("group", "block").alias("x")).distinct()
+    pairs = blocks.join(blocks.withColumnRenamed("x", "y"), "family").filter(
+        (F.col("x") <= F.col("y")) & ((F.col("x.group") != F.col("y.group")) | (F.col("x.group") == -1))
+    )
+    sides = pairs.select("family", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("side"))
+    sides = sides.select(F.xxhash64("family", "x", "y").alias("pair"), "family", F.col("side.group").alias("group"), F.col("side.block").alias("block"))
+    rows = sides.join(dealt, ["family", "group", "block"]).select("pair", "member", "class").join(members.select("member", "set"), "member")
 
-    def run(batches):
-        for batch in batches:
-            for member, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                x = x.values.to_numpy()
-                order = np.lexsort((x, table.value[np.mod(x, CELLS)]))
-                first = x[order[: len(x) - int(np.ceil(threshold * len(x) - 1e-9)) + 1]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(first), pa.array(np.full(len(first), member)), pa.array(np.full(len(first), len(x)))],
-                    names=["band", "member", "size"],
-                )
+    def compare(t: pa.Table) -> pa.Table:
+        return similar(t, threshold)
 
-    rows = sets.select("member", "set").mapInArrow(run, "band bigint, member bigint, size bigint").distinct()
-    several = rows.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    return rows.join(several, "band")
+    return rows.groupBy("pair").applyInArrow(compare, "a bigint, b bigint, sim double").distinct()
 
 
 def links(buckets: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(links a, b, sim; classes member, class) among the members of buckets (band, member, size)."""
+    """(links a, b, sim; classes member, class) among the members of buckets (band, member, size, weight)."""
     alike = F.least("size", "lsize") >= threshold * F.greatest("size", "lsize")
-    leaders = buckets.groupBy("band").agg(F.min("member").alias("leader"), F.min_by("size", "member").alias("lsize"))
+    leaders = buckets.groupBy("band").agg(F.max_by("member", "weight").alias("leader"))
+    leaders = kept(leaders.join(buckets.select("band", F.col("member").alias("leader"), F.col("size").alias("lsize")), ["band", "leader"]), "leaders")
     pairs = buckets.join(leaders, "band").filter((F.col("member") != F.col("leader")) & alike)
-    tried = kept(pairs.select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct(), "pairs")
+    tried = kept(pairs.select(F.least("member", "leader").alias("a"), F.greatest("member", "leader").alias("b")).distinct(), "pairs")
     found = kept(verified(tried, sets, threshold), "found")
     classes = components(found)
     mixed_bands = classed(buckets, classes).groupBy("band").agg(F.min("class").alias("c1"), F.max("class").alias("c2"))
-    rest = buckets.join(mixed_bands.filter("c1 <> c2").select("band"), "band").select("member").distinct()
-    left = kept(sets.join(rest, "member"), "rest")
-    if not left.limit(1).count():
+    rest = kept(buckets.join(mixed_bands.filter("c1 <> c2").select("band"), "band").select("band", "member"), "rest")
+    if not rest.limit(1).count():
         return found, classes
-    live = prefixes(left, threshold).withColumn("led", F.lit(False))
-    while True:
-        # only buckets of several classes where someone hasn't led go on
-        live = kept(classed(live, classes), "live")
-        state = live.groupBy("band").agg(F.min("class").alias("c1"), F.max("class").alias("c2"), F.min("led").alias("done"))
-        live = kept(live.join(state.filter("c1 <> c2 and not done").select("band"), "band"), "live")
-        if not live.limit(1).count():
-            return found, classes
-        rank = F.row_number().over(Window.partitionBy("band").orderBy("member"))
-        leaders = live.filter("not led").withColumn("rank", rank).filter(F.col("rank") <= LEADERS)
-        leaders = leaders.select("band", F.col("member").alias("leader"), F.col("size").alias("lsize"), F.col("class").alias("lclass"))
-        pairs = live.join(leaders, "band").filter((F.col("class") != F.col("lclass")) & alike)
-        pairs = pairs.select(F.least("member", "leader").alias("a"), F.greatest("member", "leader").alias("b")).distinct()
-        pairs = kept(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        new = kept(verified(pairs, left, threshold), "found")
-        tried = tried.unionByName(pairs)
-        if new.limit(1).count():
-            found = found.unionByName(new)
-            classes = components(found)
-        # who has led, or is in the class of a leader of the bucket, leads no more
-        heads = classed(leaders.select("band", F.col("leader").alias("member")), classes)
-        heads = heads.select("band", "class").distinct().withColumn("joined", F.lit(True))
-        step = classed(live.drop("class"), classes).join(heads, ["band", "class"], "left")
-        live = step.select("band", "member", "size", (F.col("led") | F.col("joined").isNotNull()).alias("led"))
+    heads = rest.groupBy("band").agg(F.min("member").alias("a"))
+    family = components(rest.join(heads, "band").select("a", F.col("member").alias("b"))).withColumnRenamed("class", "family")
+    members = kept(classed(sets.join(family, "member"), classes).select("member", "family", "class", "set"), "families")
+    new = kept(family_links(members, threshold), "found")
+    if new.limit(1).count():
+        found = found.unionByName(new)
+        classes = components(found)
+    return found, classes
 
 
 def near_dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
