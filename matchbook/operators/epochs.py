@@ -13,6 +13,7 @@ its own folder. Offset-range filters reach the Parquet scan.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame
@@ -33,6 +34,13 @@ def epoch_bounds(requests: DataFrame, epochs: int) -> list[tuple[int, int]]:
     return [(a, min(hi, a + width - 1)) for a in range(lo, hi + 1, width)]
 
 
+def fingerprint(requests: DataFrame, ranges: list[tuple[int, int]], snapshot_every: int) -> str:
+    """Name of a run: row count and order-free hash of the input, and what shapes the output."""
+    row = F.xxhash64(*[F.col(c) for c in requests.columns]).cast("decimal(38,0)")
+    n, total = requests.agg(F.count(F.lit(1)), F.sum(row)).first()
+    return hashlib.md5(repr((n, str(total), ranges, snapshot_every)).encode()).hexdigest()[:16]
+
+
 def _committed(spark, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     marker = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
@@ -44,13 +52,16 @@ def match_in_epochs(requests: DataFrame, out_dir: str, epochs: int, snapshot_eve
     """Tagged output equal to ``match_batch(requests)``, computed one offset range at a time.
 
     Fills, snapshots and rejects come from every epoch; ``rest`` and ``book``
-    rows (the final books) from the last one. With ``resume``, epochs already
-    committed in ``out_dir`` (``_SUCCESS`` present) are read back instead of
-    recomputed, so a restarted driver continues after the last finished
-    epoch; ``out_dir`` must then belong to this input and epoch count.
+    rows (the final books) from the last one. The epochs of a run lie in a
+    folder of ``out_dir`` named after the input's fingerprint, the ranges and
+    the snapshot cadence. With ``resume``, epochs already committed there
+    (``_SUCCESS`` present) are read back instead of recomputed, so a restarted
+    driver continues after the last finished epoch; folders of another input
+    or epoch count are never read.
     """
     spark = requests.sparkSession
     ranges = epoch_bounds(requests, epochs)
+    out_dir = os.path.join(out_dir, f"run-{fingerprint(requests, ranges, snapshot_every)}")
     restored = None
     for k, (a, b) in enumerate(ranges):
         path = os.path.join(out_dir, f"epoch={k}")
@@ -62,5 +73,7 @@ def match_in_epochs(requests: DataFrame, out_dir: str, epochs: int, snapshot_eve
         restored = books_as_restore_rows(book_ops.book_headers(done), book_ops.resting_orders(done))
     last = len(ranges) - 1
     with_epoch = T.StructType(TAGGED.fields + [T.StructField("epoch", T.IntegerType())])
+    if not ranges:
+        return spark.createDataFrame([], TAGGED)
     out = spark.read.schema(with_epoch).parquet(out_dir)
     return out.filter(~F.col("kind").isin(KIND_REST, KIND_BOOK) | (F.col("epoch") == last)).drop("epoch")

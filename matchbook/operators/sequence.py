@@ -29,6 +29,9 @@ def with_sequence(requests: DataFrame, chunk: int = DEFAULT_CHUNK, start: int =
         Window.unboundedPreceding, -1)
     bases = sizes.select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     local = keyed.withColumn("_local", F.row_number().over(Window.partitionBy(*group).orderBy("offset")))
-    return (local.join(bases, group)
+    # NULL keys are keys like any other
+    bases = bases.select(*[F.col(c).alias(f"_b{c}") for c in group], "_base")
+    same = [F.col(c).eqNullSafe(F.col(f"_b{c}")) for c in group]
+    return (local.join(bases, same).drop(*[f"_b{c}" for c in group])
             .withColumn("seq", (F.lit(start) + F.col("_base") + F.col("_local")).cast("long"))
             .drop("_chunk", "_base", "_local"))

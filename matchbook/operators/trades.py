@@ -21,8 +21,6 @@ from pyspark.sql import types as T
 from ..schemas import TRADES_COLUMNS, TRADES_TABLE
 
 ID_BUCKETS = 16
-# Fixed values of the table DDL: VARCHAR(255) ids, VARCHAR(50) symbol.
-ID_MAX_LEN, SYMBOL_MAX_LEN = 255, 50
 EPOCH = "1970-01-01 00:00:00"
 
 # Stored layout: table columns plus the two partition columns.
@@ -31,20 +29,17 @@ STORED = T.StructType(TRADES_TABLE.fields + [T.StructField("batch_id", T.LongTyp
 
 
 def table_rows(executions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Project executions to table columns; split off rows the table would refuse."""
+    """Project executions to table columns; split off rows without a symbol, price or size.
+
+    The stored columns are STRING, so texts of any length are kept.
+    """
     rows = executions.select(
         "execution_id", "symbol", "price", "size", "bid_request_id", "ask_request_id",
         F.coalesce(F.col("executed_at").cast("timestamp_ntz"), F.lit(EPOCH).cast("timestamp_ntz"))
         .alias("executed_at"),
         *[c for c in ("partition", "offset", "fill_no") if c in executions.columns],
     )
-    bad: Column = (
-        F.col("symbol").isNull() | F.col("price").isNull() | F.col("size").isNull()
-        | (F.length("symbol") > SYMBOL_MAX_LEN)
-        | (F.coalesce(F.length("execution_id"), F.lit(0)) > ID_MAX_LEN)
-        | (F.coalesce(F.length("bid_request_id"), F.lit(0)) > ID_MAX_LEN)
-        | (F.coalesce(F.length("ask_request_id"), F.lit(0)) > ID_MAX_LEN)
-    )
+    bad: Column = F.col("symbol").isNull() | F.col("price").isNull() | F.col("size").isNull()
     return rows.filter(~bad), rows.filter(bad)
 
 
@@ -71,7 +66,7 @@ def insert_trades(spark: SparkSession, executions: DataFrame, path: str, batch_i
                   buckets: int = ID_BUCKETS) -> DataFrame:
     """Append one batch of executions to the table at ``path``, skipping ids already stored.
 
-    Returns the rejected rows (NOT NULL / length violations) for the quarantine.
+    Returns the rejected rows (NOT NULL violations) for the quarantine.
     Safe to call again with the same ``batch_id`` (a replay rewrites itself).
     """
     good, bad = table_rows(executions)

@@ -109,7 +109,7 @@ def engine_reason(df: DataFrame) -> Column:
     return (
         F.when(F.col("symbol").isNull(), F.lit(ENGINE_REASONS[0]))
         .when(F.col("symbol") == "", F.lit(ENGINE_REASONS[1]))
-        .when((F.coalesce(F.col("price"), F.lit(0)) == 0) | (F.coalesce(F.col("size"), F.lit(0)) == 0),
+        .when((F.coalesce(F.col("price"), F.lit(0)) <= 0) | (F.coalesce(F.col("size"), F.lit(0)) <= 0),
               F.lit(ENGINE_REASONS[2]))
         .when(F.coalesce(F.col("request_id"), F.lit("")) == "", F.lit(ENGINE_REASONS[3]))
     )

@@ -156,27 +156,18 @@ def restore_and_resume(spark, sf_dir):
 
 # ---- trades table ----------------------------------------------------------
 
-# Trades tables this session has built, by input folder: the read queries
-# (count, recent trades) read the table the sink wrote instead of rebuilding it.
-_BUILT_TABLES: dict[tuple[str, str], str] = {}
-
-
 def _build_trades_table(spark, sf_dir) -> str:
     """Executions inserted as batch 0, then the replay after the restore as batch 1; returns the folder."""
     path = trades.table_folder(spark, "trades")
     trades.insert_trades(spark, book.executions_with_position(book.match_batch(_flow(spark, sf_dir),
                                                                                 emit_final=False)), path, 0)
     trades.insert_trades(spark, book.executions_with_position(_resumed(spark, sf_dir)), path, 1)
-    _BUILT_TABLES[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))] = path
     return path
 
 
 def _trades_table(spark, sf_dir) -> DataFrame:
-    """The trades table for this input: the one already built in this session, else built now."""
-    path = _BUILT_TABLES.get((spark.sparkContext.applicationId, sf_dir.rstrip("/")))
-    if path is None or not trades._exists(spark, path):
-        path = _build_trades_table(spark, sf_dir)
-    return trades.read_trades(spark, path)
+    """The trades table for this input; every query pays for its own."""
+    return trades.read_trades(spark, _build_trades_table(spark, sf_dir))
 
 
 def trades_after_replay(spark, sf_dir):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import EXECUTION, MAX_BIGINT, SNAPSHOT
-from .requests import CORRUPT
+from .requests import CORRUPT, bad_fields, side_code
 
 EVENT_JSON = T.StructType([
     T.StructField("trade", T.StructType([
@@ -55,7 +55,8 @@ def decode_request_records(raw: DataFrame) -> DataFrame:
     side = F.col("j.trade.side")
     price = F.col("j.trade.price").try_cast("decimal(20,0)")
     size = F.col("j.trade.size").try_cast("decimal(20,0)")
-    undecodable = F.col("j").isNull() | F.col(f"j.{CORRUPT}").isNotNull()
+    undecodable = (F.col("j").isNull() | F.col(f"j.{CORRUPT}").isNotNull()
+                   | bad_fields(side, F.col("j.trade.price"), F.col("j.trade.size")))
     too_big = (price > MAX_BIGINT) | (size > MAX_BIGINT)
     return raw.select("partition", "offset", j.alias("j")).select(
         F.col("partition").cast("int"), "offset",
@@ -63,8 +64,7 @@ def decode_request_records(raw: DataFrame) -> DataFrame:
         F.to_timestamp(F.col("j.received_at")).cast("timestamp_ntz").alias("received_at"),
         F.when(F.col("j.trade.instrument").isNotNull(),
                F.coalesce(F.col("j.trade.instrument.symbol"), F.lit(""))).alias("symbol"),
-        F.coalesce(F.when(F.upper(side) == "BUY", 1).when(F.upper(side) == "SELL", 0)
-                   .otherwise(side.try_cast("int")), F.lit(0)).alias("side"),
+        F.coalesce(side_code(side), F.lit(0)).alias("side"),
         F.when(price <= MAX_BIGINT, price.cast("long")).alias("price"),
         F.when(size <= MAX_BIGINT, size.cast("long")).alias("size"),
         F.when(undecodable | too_big, F.lit("decode")).alias("reject_stage"),

@@ -99,3 +99,26 @@ def test_dump_renders_defaults(spark):
     assert dump_requests(df).first().json == (
         '{"trade":{"instrument":{"symbol":"GOOG"},"side":"SELL","price":"100","size":"5"},'
         '"received_at":"2024-01-01T00:00:07.179575Z","request_id":"r1"}')
+
+
+def test_bad_field_values_are_undecodable(spark):
+    """Unknown side names, fractions, signs and words in a number fail the message; absent fields don't."""
+    trade = '{"trade":{"instrument":{"symbol":"A"}%s}}'
+    good = ["", ',"side":"BUY","price":"1","size":2', ',"side":7']
+    bad = [',"side":"BUYY"', ',"side":"buy"', ',"price":"1.5"', ',"size":"-4"', ',"size":"abc"']
+    lines = spark.createDataFrame([("s", i, trade % x) for i, x in enumerate(good + bad)], "source string, offset long, value string")
+    from matchbook.sources.requests import decode_submit_json
+
+    decoded, rejects = decode_submit_json(lines)
+    assert sorted(r.offset for r in decoded.collect()) == list(range(len(good)))
+    assert {r.reason for r in rejects.collect()} == {"undecodable"} and rejects.count() == len(bad)
+
+
+def test_sequence_keeps_null_keys_and_engine_refuses_negative_values(spark):
+    from matchbook.operators.sequence import with_sequence
+    from matchbook.operators.validate import engine_reason
+
+    df = spark.createDataFrame([("A", None, i) for i in range(3)], "symbol string, partition int, offset long")
+    assert sorted(r.seq for r in with_sequence(df).collect()) == [1, 2, 3]
+    row = spark.createDataFrame([("A", "r", -4, 1), ("A", "r", 4, 1)], "symbol string, request_id string, price long, size long")
+    assert [r.x is None for r in row.select("price", engine_reason(row).alias("x")).orderBy("price").collect()] == [False, True]
