@@ -22,12 +22,17 @@ BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD1342543DE82EF95
 WORD_BASE_2 = 0xAF251AF3B0F025B5
 #: Bytes hashed at once; a longer document is hashed in several pieces.
-PIECE = 1 << 21
+PIECE = 1 << 18
+#: Rows of an Arrow batch, at most.
+BATCH_ROWS = 1000
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Ship the package to the Python workers; every operator that runs Python calls this first."""
+    """Ship the package to the Python workers and bound the rows of an Arrow batch (whole texts are wide rows;
+    a batch lies in the JVM and in the worker at once). Every operator that runs Python calls this first."""
     ship_package(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
 
