@@ -62,20 +62,29 @@ def text_blocks(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> I
     Yields (rows, bytes, offsets): the row slice, its texts' UTF-8 bytes, and where each text begins.
     A null text has no bytes.
     """
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        texts = pc.fill_null(batch.column(batch.schema.get_field_index(column)).cast(pa.large_string()), "")
-        buffers = texts.buffers()
-        at = np.frombuffer(buffers[1], np.int64)[texts.offset : texts.offset + n + 1]
-        data = np.frombuffer(buffers[2] if buffers[2] is not None else b"", np.uint8)
-        begin = 0
-        while begin < n:
-            end = int(np.searchsorted(at, at[begin] + limit, "right")) - 1
-            end = min(n, max(end, begin + 1))
-            yield batch.slice(begin, end - begin), data[at[begin] : at[end]], at[begin : end + 1] - at[begin]
-            begin = end
+    try:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            texts = pc.fill_null(batch.column(batch.schema.get_field_index(column)).cast(pa.large_string()), "")
+            buffers = texts.buffers()
+            at = np.frombuffer(buffers[1], np.int64)[texts.offset : texts.offset + n + 1]
+            data = np.frombuffer(buffers[2] if buffers[2] is not None else b"", np.uint8)
+            begin = 0
+            while begin < n:
+                end = int(np.searchsorted(at, at[begin] + limit, "right")) - 1
+                end = min(n, max(end, begin + 1))
+                yield batch.slice(begin, end - begin), data[at[begin] : at[end]], at[begin : end + 1] - at[begin]
+                begin = end
+    finally:  # a worker is used again: give back what this task no longer holds
+        released()
+
+
+def released() -> None:
+    """Return freed memory of Arrow's pools and of the allocator to the system."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
 
 
 def powers(base: int, n: int) -> np.ndarray:

@@ -41,7 +41,8 @@ CHUNK = 8192
 #: Texts longer than this are cut into chunks; chunks whose matrices one task combines.
 GIANT = 4 * CHUNK
 SCAN = 256
-MEMO = 400_000
+#: Stretches, and pairs of pieces, that a worker remembers.
+MEMO = 1 << 16
 #: Longest stretch that is solved by merging and remembered; longer ones are solved along the lattice.
 SHORT = 64
 NEVER = float("-inf")
