@@ -41,8 +41,13 @@ def request_messages(requests: DataFrame) -> DataFrame:
                            trade_event_json(requests).alias("value"), F.col("partition"))
 
 
-def write_request_log(requests: DataFrame, path: str, n: int = 3) -> None:
-    """File form of the request topic: one folder per request partition, offset order inside."""
-    (with_route(requests, n).repartitionById(n, F.col("partition"))
-     .sortWithinPartitions("partition", "offset")
-     .write.mode("append").partitionBy("partition").parquet(path))
+def write_request_log(requests: DataFrame, path: str, n: int = 3, batch_id: int = 0, width: int = 1 << 20) -> None:
+    """File form of the request topic: one folder per request partition and batch, offset order inside each file.
+
+    A request partition is written by as many tasks as it has offset ranges of ``width``, not by one. Writing a
+    batch again replaces that batch alone.
+    """
+    ranged = with_route(requests, n).withColumn("_range", F.floor(F.col("offset") / width))
+    (ranged.repartition("partition", "_range").sortWithinPartitions("partition", "offset").drop("_range")
+     .withColumn("batch_id", F.lit(batch_id).cast("long"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("partition", "batch_id").parquet(path))

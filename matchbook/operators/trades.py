@@ -1,9 +1,10 @@
 """Trades table: insert-if-absent by execution id, and the queries over it.
 
-The table is plain Parquet partitioned by ``batch_id`` and ``id_bucket``
-(hash of the execution id). A micro-batch is written with dynamic partition
-overwrite, so replaying the same batch rewrites only its own partitions; ids
-already present from *other* batches are removed by an anti-join on
+The table is plain Parquet partitioned by ``run_id``, ``batch_id``
+and ``id_bucket`` (hash of the execution id). A micro-batch is written with dynamic
+partition overwrite, so replaying the same batch of the same run rewrites only its own
+partitions; another run, whose batch ids start at 0 again, never touches them. Ids
+already present from *other* batches or runs are removed by an anti-join on
 ``(id_bucket, execution_id)`` first. Within a batch the first row per id wins
 (by stream position), chosen with an aggregate, not a window: the map-side
 partial aggregate collapses copies of an id before the shuffle.
@@ -23,9 +24,11 @@ from ..schemas import TRADES_COLUMNS, TRADES_TABLE
 ID_BUCKETS = 16
 EPOCH = "1970-01-01 00:00:00"
 
-# Stored layout: table columns plus the two partition columns.
-STORED = T.StructType(TRADES_TABLE.fields + [T.StructField("batch_id", T.LongType()),
+# Stored layout: table columns plus the partition columns.
+STORED = T.StructType(TRADES_TABLE.fields + [T.StructField("run_id", T.StringType()),
+                                             T.StructField("batch_id", T.LongType()),
                                              T.StructField("id_bucket", T.IntegerType())])
+STAGE_TABLE = "table"
 
 
 def table_rows(executions: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -43,6 +46,15 @@ def table_rows(executions: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.filter(~bad), rows.filter(bad)
 
 
+def table_rejects(executions: DataFrame) -> DataFrame:
+    """Quarantine rows (REJECT columns) of the executions that the table refuses."""
+    bad = table_rows(executions)[1]
+    place = [F.col(c) if c in bad.columns else F.lit(None).cast(t).alias(c)
+             for c, t in (("partition", "int"), ("offset", "long"))]
+    return bad.select(F.lit(STAGE_TABLE).alias("stage"), F.lit("not_null").alias("reason"), *place,
+                      F.col("execution_id").alias("raw"))
+
+
 def first_per_id(rows: DataFrame, order_by: list[str]) -> DataFrame:
     """First row per execution id in ``order_by`` order (insert-if-absent within one batch)."""
     value_cols = [c for c in rows.columns if c != "execution_id"]
@@ -63,22 +75,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def insert_trades(spark: SparkSession, executions: DataFrame, path: str, batch_id: int,
-                  buckets: int = ID_BUCKETS) -> DataFrame:
+                  buckets: int = ID_BUCKETS, run_id: str = "0") -> DataFrame:
     """Append one batch of executions to the table at ``path``, skipping ids already stored.
 
-    Returns the rejected rows (NOT NULL violations) for the quarantine.
-    Safe to call again with the same ``batch_id`` (a replay rewrites itself).
+    Returns the rejected rows (NOT NULL violations) for the quarantine (see ``table_rejects``).
+    Safe to call again with the same ``run_id`` and ``batch_id`` (a replay rewrites itself).
+    One task writes each bucket of a batch.
     """
     good, bad = table_rows(executions)
     order = [c for c in ("partition", "offset", "fill_no") if c in good.columns] or ["executed_at"]
     rows = _with_bucket(first_per_id(good, order), buckets).select(*TRADES_COLUMNS, "id_bucket")
     if _exists(spark, path):
-        stored = (spark.read.schema(STORED).parquet(path).filter(F.col("batch_id") != F.lit(batch_id))
+        stored = (spark.read.schema(STORED).parquet(path).filter((F.col("run_id") != F.lit(run_id)) | (F.col("batch_id") != F.lit(batch_id)))
                   .select("id_bucket", "execution_id"))
         rows = rows.join(stored, ["id_bucket", "execution_id"], "left_anti")
-    (rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id", "id_bucket").parquet(path))
+    (rows.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long")})
+     .repartition(buckets, "id_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id", "batch_id", "id_bucket").parquet(path))
     return bad
 
 
@@ -88,8 +101,8 @@ def ensure_trades_table(spark: SparkSession, path: str, name: str = "trades") ->
         CREATE TABLE IF NOT EXISTS {name} (
           execution_id STRING, symbol STRING, price BIGINT, size BIGINT,
           bid_request_id STRING, ask_request_id STRING, executed_at TIMESTAMP_NTZ,
-          batch_id BIGINT, id_bucket INT)
-        USING parquet PARTITIONED BY (batch_id, id_bucket) LOCATION '{path}'""")
+          run_id STRING, batch_id BIGINT, id_bucket INT)
+        USING parquet PARTITIONED BY (run_id, batch_id, id_bucket) LOCATION '{path}'""")
 
 
 def read_trades(spark: SparkSession, path: str) -> DataFrame:

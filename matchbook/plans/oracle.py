@@ -71,9 +71,9 @@ steps(symbol, seq, "offset", "partition", received_at, bids, asks, fills) AS (
   UNION ALL
   SELECT symbol, seq, "offset", "partition", received_at,
          CASE WHEN side = 1 THEN (CASE WHEN rem > 0 THEN list_sort(list_append(bids, {{'k': -price, 's': seq, 'id': request_id, 'q': rem}})) ELSE bids END)
-              ELSE kept END,
+              WHEN side = 0 THEN kept ELSE bids END,
          CASE WHEN side = 1 THEN kept
-              ELSE (CASE WHEN rem > 0 THEN list_sort(list_append(asks, {{'k': price, 's': seq, 'id': request_id, 'q': rem}})) ELSE asks END) END,
+              WHEN side = 0 AND rem > 0 THEN list_sort(list_append(asks, {{'k': price, 's': seq, 'id': request_id, 'q': rem}})) ELSE asks END,
          CAST(list_filter(list_transform(opp, lambda x, i: {{'n': CAST(i - 1 AS INTEGER), 'price': CASE WHEN side = 1 THEN x.k ELSE -x.k END,
                  'q': alloc[i], 'bid': CASE WHEN side = 1 THEN request_id ELSE x.id END,
                  'ask': CASE WHEN side = 1 THEN x.id ELSE request_id END}}), lambda f: f.q > 0) AS {_FILL}[])
@@ -85,7 +85,7 @@ steps(symbol, seq, "offset", "partition", received_at, bids, asks, fills) AS (
       FROM (
         SELECT st.symbol, o.seq, o."offset", o."partition", o.received_at, o.side, o.price, o.size, o.request_id,
                st.bids, st.asks,
-               CASE WHEN o.side = 1 THEN st.asks ELSE st.bids END AS opp,
+               CASE o.side WHEN 1 THEN st.asks WHEN 0 THEN st.bids ELSE CAST([] AS {_ORDER}[]) END AS opp,
                CASE WHEN o.side = 1 THEN o.price ELSE -o.price END AS lim
         FROM steps st JOIN {source} o ON o.symbol = st.symbol AND o.seq = st.seq + 1
       )
@@ -118,13 +118,14 @@ EXECUTIONS = with_match(_EXEC_ROWS)
 _LAST = """
 last AS (SELECT * FROM steps QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY seq DESC) = 1)"""
 
-RESTING = with_match("""
+_RESTING_ROWS = """
 SELECT symbol, 'BUY' AS side, b.id AS id, -b.k AS price, b.q AS size, b.s AS seq
 FROM (SELECT symbol, unnest(bids) AS b FROM last)
 UNION ALL
 SELECT symbol, 'SELL' AS side, a.id AS id, a.k AS price, a.q AS size, a.s AS seq
 FROM (SELECT symbol, unnest(asks) AS a FROM last)
-""", _LAST)
+"""
+RESTING = with_match(_RESTING_ROWS, _LAST)
 
 TOP_OF_BOOK = with_match("""
 SELECT symbol, bids[1].id AS bid_id, -bids[1].k AS bid_price, bids[1].q AS bid_size,
@@ -253,7 +254,26 @@ flow AS (SELECT * EXCLUDE (event_type, symbol), 'HOT' AS symbol FROM flow_all WH
 
 HOT_EXECUTIONS = (f"WITH RECURSIVE {_HOT_FLOW}, {FLOW_P}, {SEQD}, {match_cte('seqd')}\n" + _EXEC_ROWS)
 
+_ALL_REQUESTS = _DIRTY + f""",
+flow_p AS (
+  SELECT "offset", md5('events|' || CAST("offset" AS VARCHAR)) AS request_id, received_at, nsym AS symbol, side,
+         price, size, {lex_bucket_sql('nsym', 3)} AS "partition"
+  FROM ing WHERE reason IS NULL
+)"""
+ALL_EXECUTIONS = f"WITH RECURSIVE {_ALL_REQUESTS}, {SEQD}, {match_cte('seqd')}\n{_EXEC_ROWS}"
+ALL_RESTING = f"WITH RECURSIVE {_ALL_REQUESTS}, {SEQD}, {match_cte('seqd')}, {_LAST}\n{_RESTING_ROWS}"
+
+REQUEST_LOG = f"WITH {FLOW}, {FLOW_P}\nSELECT * FROM flow_p"
+SYMBOL_SNAPSHOTS = f"SELECT * FROM ({LATEST_SNAPSHOTS}) WHERE symbol = 'AAA'"
+
 ORACLE = {
+    "trades_two_runs": EXECUTIONS,
+    "all_requests_executions": ALL_EXECUTIONS,
+    "all_requests_resting": ALL_RESTING,
+    "execution_round_trip": EXECUTIONS,
+    "snapshot_round_trip": BOOK_SNAPSHOTS,
+    "request_log_round_trip": REQUEST_LOG,
+    "symbol_snapshots": SYMBOL_SNAPSHOTS,
     "ingest_accepted": INGEST_ACCEPTED,
     "ingest_rejects": INGEST_REJECTS,
     "reject_counts": REJECT_COUNTS,

@@ -15,8 +15,10 @@ from ..operators import book, snapshots, trades
 from ..operators.sequence import with_sequence
 from ..operators.validate import engine_checked, ingest, ingest_tagged
 from ..sources import dirty_requests, hot_flow, order_flow, read_table
-from ..sources.requests import decode_submit_json
-from ..functions.render import trade_event_json
+from ..sources.requests import decode_json, decode_submit_json
+from ..functions.render import execution_json, snapshot_json, trade_event_json
+from ..operators.routing import write_request_log
+from ..schemas import EXECUTION, EXECUTION_COLUMNS, REQUEST, REQUEST_COLUMNS, SNAPSHOT
 
 SNAPSHOT_EVERY = 10
 
@@ -212,7 +214,6 @@ def match_stream(spark, sf_dir):
 
     Output: the executions the stream's sink wrote; must equal ``match_executions``.
     """
-    from ..schemas import EXECUTION_COLUMNS
     from ..streaming.jobs import read_stream_output, run_match_stream
 
     schema = _events(spark, sf_dir).schema
@@ -223,7 +224,79 @@ def match_stream(spark, sf_dir):
     return read_stream_output(spark, out).select(*EXECUTION_COLUMNS)
 
 
+def trades_two_runs(spark, sf_dir):
+    """A run that ends at the crash point, then a restored run with a fresh checkpoint into the same folders;
+    the trades table must hold each execution once."""
+    from ..streaming.jobs import read_stream_output, run_match_stream
+
+    schema = _events(spark, sf_dir).schema
+    stream = order_flow(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    cut = _flow(spark, sf_dir).select((F.max("offset") / 2).cast("long")).first()[0] or 0
+    out = trades.table_folder(spark, "two-runs")
+    run_match_stream(stream.filter(F.col("offset") <= cut), out, out + "-first", snapshot_every=SNAPSHOT_EVERY)
+    latest = snapshots.latest_snapshots(read_stream_output(spark, out, "snapshots"))
+    run_match_stream(stream, out, out + "-second", restored=snapshots.restore_rows(latest))
+    return trades.read_trades(spark, f"{out}/trades")
+
+
+# ---- every event, bad ones included ----------------------------------------
+
+def _all_requests(spark, sf_dir) -> DataFrame:
+    """All events through the front end and the books: refused rows and unknown sides ride along."""
+    return book.match_batch(ingest_tagged(dirty_requests(_events(spark, sf_dir))))
+
+
+def all_requests_executions(spark, sf_dir):
+    return book.executions(_all_requests(spark, sf_dir))
+
+
+def all_requests_resting(spark, sf_dir):
+    """Final books; ``seq`` shows the numbers that orders of unknown side took."""
+    return book.resting_orders(_all_requests(spark, sf_dir))
+
+
+# ---- messages and logs -----------------------------------------------------
+
+def execution_round_trip(spark, sf_dir):
+    """Executions encoded as messages and decoded again."""
+    ex = book.executions_with_position(book.match_batch(_flow(spark, sf_dir), emit_final=False))
+    lines = ex.select("partition", "offset", execution_json(ex).alias("value"))
+    return decode_json(lines, EXECUTION)[0].select(*EXECUTION_COLUMNS)
+
+
+def snapshot_round_trip(spark, sf_dir):
+    """Book snapshots encoded as messages and decoded again."""
+    log = _snapshot_log(spark, sf_dir)
+    lines = log.select(F.col("last_offset").alias("offset"), snapshot_json(log).alias("value"))
+    return snapshots.flatten_snapshots(decode_json(lines, SNAPSHOT)[0])
+
+
+def request_log_round_trip(spark, sf_dir):
+    """The request log written twice (a retried batch), then read back."""
+    path = trades.table_folder(spark, "request-log")
+    for _ in range(2):
+        write_request_log(_flow(spark, sf_dir), path)
+    return spark.read.schema(REQUEST).parquet(path).select(*REQUEST_COLUMNS)
+
+
+#: The symbol that ``symbol_snapshots`` asks for.
+ONE_SYMBOL = "AAA"
+
+
+def symbol_snapshots(spark, sf_dir):
+    """Latest snapshot of one symbol's book; the filter goes in front of the matcher."""
+    tagged = book.match_batch(_flow(spark, sf_dir), snapshot_every=SNAPSHOT_EVERY, emit_final=False, symbols=[ONE_SYMBOL])
+    return snapshots.flatten_snapshots(snapshots.latest_snapshots(book.snapshots(tagged)))
+
+
 QUERIES = {
+    "trades_two_runs": trades_two_runs,
+    "all_requests_executions": all_requests_executions,
+    "all_requests_resting": all_requests_resting,
+    "execution_round_trip": execution_round_trip,
+    "snapshot_round_trip": snapshot_round_trip,
+    "request_log_round_trip": request_log_round_trip,
+    "symbol_snapshots": symbol_snapshots,
     "ingest_accepted": ingest_accepted,
     "ingest_rejects": ingest_rejects,
     "reject_counts": reject_counts,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import EXECUTION, MAX_BIGINT, SNAPSHOT
-from .requests import CORRUPT, bad_fields, side_code
+from .requests import CORRUPT, bad_fields, decode_json, side_code
 
 EVENT_JSON = T.StructType([
     T.StructField("trade", T.StructType([
@@ -74,15 +74,13 @@ def decode_request_records(raw: DataFrame) -> DataFrame:
 
 def execution_log(spark: SparkSession, servers: str, topic: str, stream: bool = True, **options) -> DataFrame:
     raw = _reader(spark, servers, topic, stream, **options)
-    return raw.select("partition", "offset", F.from_json(F.col("value").cast("string"), EXECUTION).alias("e")) \
-        .filter(F.col("e").isNotNull()).select("partition", "offset", "e.*")
+    return decode_json(raw.select("partition", "offset", F.col("value").cast("string").alias("value")), EXECUTION)[0]
 
 
 def snapshot_log(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
     """Bounded read of the whole snapshot log (earliest to latest), undecodable records skipped."""
     raw = _reader(spark, servers, topic, False, **options)
-    return raw.select(F.from_json(F.col("value").cast("string"), SNAPSHOT).alias("s")) \
-        .filter(F.col("s").isNotNull()).select("s.*")
+    return decode_json(raw.select("offset", F.col("value").cast("string").alias("value")), SNAPSHOT)[0].drop("offset")
 
 
 def write_kafka(messages: DataFrame, servers: str, topic: str, checkpoint: str | None = None):

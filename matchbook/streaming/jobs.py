@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import book as book_ops
 from ..operators.matching import KEYED_COLUMNS
-from ..operators.trades import insert_trades
+from ..operators.trades import _exists, insert_trades, table_rejects
 from ..operators.validate import engine_checked
 from ..schemas import TAGGED
 from ..session import checkpoint_dir, ship_package
@@ -51,14 +52,26 @@ def match_stream(requests: DataFrame, restored: DataFrame | None = None, snapsho
         BookProcessor(snapshot_every, snapshot_interval_ms), TAGGED, "append", time_mode, initialState=initial)
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Append one micro-batch idempotently: its own ``batch_id`` partition is overwritten on replay."""
-    (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+def _write_batch(df: DataFrame, path: str, batch_id: int, run_id: str) -> None:
+    """Append one micro-batch idempotently: only its own (run, batch) partition is overwritten on replay."""
+    (df.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long")})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch_id").parquet(path))
 
 
-def tagged_sink(out_dir: str, parallel: bool = True):
-    """foreachBatch body: split the tagged batch into executions, snapshots, rejects and the trades table."""
+def checkpoint_run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the run that owns a checkpoint, kept inside it: a restart from the checkpoint has the same id, a
+    fresh checkpoint (whose batch ids start at 0 again) a new one."""
+    path = os.path.join(checkpoint, "run-id")
+    if not _exists(spark, os.path.join(path, "_SUCCESS")):
+        spark.range(1).select(F.lit(uuid.uuid4().hex).alias("value")).write.mode("overwrite").text(path)
+    return spark.read.text(path).first().value
+
+
+def tagged_sink(out_dir: str, parallel: bool = True, run_id: str = "0"):
+    """foreachBatch body: split the tagged batch into executions, snapshots, rejects and the trades table.
+
+    Executions that the table refuses go to the rejects of the same batch, so no row disappears.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         from concurrent.futures import ThreadPoolExecutor
@@ -69,10 +82,11 @@ def tagged_sink(out_dir: str, parallel: bool = True):
             batch.count()  # materialise once; the four writes below read the cached batch
             fills = book_ops.executions_with_position(batch)
             writes = [
-                lambda: _write_batch(fills, os.path.join(out_dir, "executions"), batch_id),
-                lambda: _write_batch(book_ops.snapshots(batch), os.path.join(out_dir, "snapshots"), batch_id),
-                lambda: _write_batch(book_ops.engine_rejects(batch), os.path.join(out_dir, "rejects"), batch_id),
-                lambda: insert_trades(spark, fills, os.path.join(out_dir, "trades"), batch_id),
+                lambda: _write_batch(fills, os.path.join(out_dir, "executions"), batch_id, run_id),
+                lambda: _write_batch(book_ops.snapshots(batch), os.path.join(out_dir, "snapshots"), batch_id, run_id),
+                lambda: _write_batch(book_ops.engine_rejects(batch).unionByName(table_rejects(fills)),
+                                     os.path.join(out_dir, "rejects"), batch_id, run_id),
+                lambda: insert_trades(spark, fills, os.path.join(out_dir, "trades"), batch_id, run_id=run_id),
             ]
             if parallel:
                 # independent jobs: submitted together, Spark runs them side by side
@@ -95,7 +109,7 @@ def run_match_stream(requests: DataFrame, out_dir: str, checkpoint: str | None =
     spark: SparkSession = requests.sparkSession
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "match-stream", os.path.basename(out_dir.rstrip("/")))
     tagged = match_stream(requests, restored, snapshot_every, snapshot_interval_ms)
-    writer = tagged.writeStream.foreachBatch(tagged_sink(out_dir)).option("checkpointLocation", ckpt)
+    writer = tagged.writeStream.foreachBatch(tagged_sink(out_dir, run_id=checkpoint_run_id(spark, ckpt))).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
     query = writer.start()
     if available_now:
@@ -109,7 +123,7 @@ def _output_schemas():
     from ..operators.trades import STORED
     from ..schemas import EXECUTION, REJECT, SNAPSHOT
 
-    batch = [T.StructField("batch_id", T.LongType())]
+    batch = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
     position = [T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()),
                 T.StructField("fill_no", T.IntegerType())]
     return {

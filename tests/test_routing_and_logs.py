@@ -101,3 +101,22 @@ def test_decode_request_records(spark):
     assert [(r.price, r.size) for r in book_ops.executions(tagged).collect()] == [(100, 4)]
     assert {(r.offset, r.stage, r.reason) for r in book_ops.engine_rejects(tagged).collect()} == {
         (3, "decode", "undecodable"), (4, "decode", "out_of_range")}
+
+
+def test_bad_execution_values_are_undecodable(spark):
+    one = '{"symbol":"A","price":%s,"size":%s,"execution_id":"x","executed_at":%s}'
+    values = [("1.5", "2", "null"), ("-4", "2", "null"), ('"abc"', "2", "null"), ("1", "9223372036854775808", "null"),
+              ("1", "2", '"noon"'), ('"7"', "2", '"2024-01-01T00:00:01.5Z"'), ("null", "2", "null")]
+    lines = spark.createDataFrame([(i, one % v) for i, v in enumerate(values)], "offset long, value string")
+    good, bad = decode_json(lines, EXECUTION)
+    assert sorted(r.offset for r in bad.collect()) == [0, 1, 2, 3, 4]
+    got = {r.offset: (r.price, r.size, r.bid_request_id, str(r.executed_at)) for r in good.collect()}
+    assert got == {5: (7, 2, "", "2024-01-01 00:00:01.500000"), 6: (0, 2, "", "None")}
+
+
+def test_request_log_batches_are_idempotent(spark, scratch):
+    path = os.path.join(scratch, "requests")
+    flow = spark.createDataFrame(rows(BASIC), REQUEST)
+    for batch in (0, 0, 1):
+        write_request_log(flow, path, 3, batch_id=batch, width=4)
+    assert spark.read.parquet(path).groupBy("batch_id").count().orderBy("batch_id").collect() == [(0, 15), (1, 15)]

@@ -71,3 +71,20 @@ def test_ensure_table_reads_inserted_rows(spark, scratch):
     spark.sql("MSCK REPAIR TABLE trades_t")
     assert spark.sql("SELECT count(*) AS n FROM trades_t").first().n == 1
     spark.sql("DROP TABLE trades_t")
+
+
+def test_runs_do_not_overwrite_each_other(spark, scratch):
+    """A new run's batch ids start at 0 again; a replay of a run rewrites only that run."""
+    path = os.path.join(scratch, "trades")
+    first = ex(spark, [("A", 1, 1, "b1", "a1", t(1), "b1-a1", 0, 1, 0)])
+    second = ex(spark, [("A", 1, 1, "b1", "a1", t(1), "b1-a1", 0, 1, 0), ("A", 2, 2, "b2", "a2", t(2), "b2-a2", 0, 2, 0)])
+    for _ in range(2):
+        trades.insert_trades(spark, first, path, 0, run_id="r1")
+        trades.insert_trades(spark, second, path, 0, run_id="r2")
+    assert sorted(r.execution_id for r in trades.read_trades(spark, path).collect()) == ["b1-a1", "b2-a2"]
+
+
+def test_table_rejects_name_the_refused_rows(spark):
+    rows = ex(spark, [("A", 1, 1, "b1", "a1", t(1), "b1-a1", 0, 1, 0), (None, 1, 1, "b2", "a2", t(1), "b2-a2", 0, 2, 0)])
+    got = [tuple(r) for r in trades.table_rejects(rows).collect()]
+    assert got == [("table", "not_null", 0, 2, "b2-a2")]
