@@ -4,8 +4,12 @@ A text's elements are its shingles of ``SHINGLE`` consecutive words (all its wor
 with weight ``1 + ln(count)``. Every element is a Poisson process whose rate is its weight: its arrivals come
 at exponential gaps and each picks a register at random, all from the element's hash. A register keeps the
 element that arrived first; a process ends as soon as its arrival is later than what every register holds.
-Two texts agree in a register with their probability-Jaccard similarity. ``ROWS`` registers make a band;
-``BANDS`` equal-band chances lose a pair at similarity 0.8 with probability 6e-5.
+Two texts agree in a register with their probability-Jaccard similarity. ``ROWS`` registers make a band.
+That similarity falls below the verified one where shingles repeat unequally, so a text with repeated shingles is
+signed with unit weights too (without repeats the two signatures are the same), and the bands of both are its
+bands. With unit weights two texts agree in a register with the Jaccard similarity of their shingle sets, which
+is what is verified: ``BANDS`` equal-band chances lose a pair of Jaccard similarity 0.8 with probability 6e-5,
+whatever the counts; the weighted bands only add candidates.
 
 Texts with equal words are one member (the least doc_id stands for all). Members with an equal band and sizes
 that allow the similarity make a bucket. No bucket is spread into all its pairs. First each bucket's
@@ -97,6 +101,22 @@ def band_hashes(signature: np.ndarray) -> np.ndarray:
     return out
 
 
+def bands_of(text: np.ndarray, element: np.ndarray, count: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(band hashes by text, how many each of n texts has): those of the weights 1 + ln(count), and those of unit
+    weights where they differ. A text without shingles has none."""
+    weighted = band_hashes(registers(text, element, 1.0 + np.log(count), n))
+    unit = weighted.copy()
+    odd = np.zeros(n, bool)
+    odd[text[count > 1]] = True
+    if odd.any():
+        use = odd[text]
+        place = (np.cumsum(odd) - 1)[text[use]]
+        unit[odd] = band_hashes(registers(place, element[use], np.ones(int(use.sum())), int(odd.sum())))
+    worded = np.bincount(text, minlength=n) > 0
+    fresh = np.concatenate([np.ones(weighted.shape, bool), unit != weighted], 1) & worded[:, None]
+    return np.concatenate([weighted, unit], 1)[fresh], fresh.sum(1)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text, and the pair that names a row's content: the id (null: the largest) and a hash of the text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -115,15 +135,15 @@ def signed(rows: DataFrame) -> DataFrame:
         hasher = PhraseHasher()
         for block, data, offsets in text_blocks(batches, "text", 1 << 19):
             text, element, count, n, whole = shingles(hasher, data, offsets)
-            bands = band_hashes(registers(text, element, 1.0 + np.log(count), len(n))).view(np.int64)[n > 0]
-            edge = np.concatenate([[0], np.cumsum((n > 0) * BANDS)]).astype(np.int32)
+            bands, each = bands_of(text, element, count, len(n))
+            edge = np.concatenate([[0], np.cumsum(each)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(block.column(i) for i in range(3)),
                     *(pa.array(w.view(np.int64)) for w in whole),
                     pa.array(n.astype(np.int64)),
                     pa.array(np.bincount(text, minlength=len(n)).astype(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(edge), pa.array(bands.ravel())),
+                    pa.ListArray.from_arrays(pa.array(edge), pa.array(bands.view(np.int64))),
                 ],
                 names=["doc_id", "oid", "tkey", "d1", "d2", "n_words", "size", "bands"],
             )

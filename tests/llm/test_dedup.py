@@ -2,6 +2,8 @@
 
 import hashlib
 
+import corpus_pipeline
+
 from matchbook.llm import exact_dedup, near_dedup, substring_dedup
 
 
@@ -55,6 +57,31 @@ def test_near_chain_and_family(spark):
     assert [(r.a, r.b) for r in got] == [(0, 5)]
 
 
+def brute_classes(rows):
+    """Least id of each row's class: components of Jaccard >= 0.8 of five-word shingles."""
+    sets = {d: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for d, w in ((d, t.split()) for d, t in rows)}
+    of = {d: d for d in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and of[a] != of[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((of[a], of[b]))
+                of = {d: low if c == high else c for d, c in of.items()}
+    return of
+
+
+def test_near_unequal_repeats(spark):
+    """Texts whose lines repeat a different number of times share most shingles but not their weights."""
+    rows = []
+    for i in range(30):
+        head, line = ([f"{k}{i}x{j}" for j in range(n)] for k, n in (("h", 100), ("l", 20)))
+        rows += [(2 * i, " ".join(head + line)), (2 * i + 1, " ".join(head + line * 300))]
+    want = brute_classes(rows)
+    assert all(want[d] == d - d % 2 for d in want)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: r.class_id for r in near_dedup.near_dedup(df).collect()} == want
+    assert sorted(r.doc_id for r in corpus_pipeline.without_near_copies(spark, df, "").collect()) == sorted(set(want.values()))
+
+
 def test_near_stage(docs):
     left = near_dedup.drop_near(docs)
     assert left.columns == docs.columns
