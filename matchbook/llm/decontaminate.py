@@ -7,14 +7,17 @@ the item, all within ``k`` diagonals of one another. So for every text position
 the diagonal (text position less item position) is counted in two overlapping bands of ``2 (k + 1)``
 diagonals; bands that reach the bound are aligned by dynamic programming within the band.
 
-The benchmark is cut by hash into blocks of about ``BLOCK_CHARS`` characters; the index of one block is
-sent to the tasks at a time (its size is bounded by the block), and every document is scanned once for
-each block. There is no shuffle of documents.
+The benchmark's distinct (item_id, text) rows are cut by hash into blocks of about ``BLOCK_CHARS`` characters;
+the index of one block is sent to the tasks at a time (its size is bounded by the block), and every document is
+scanned once for each block. There is no shuffle of documents. Every text of an item_id is searched; the best
+region of an item_id is taken in the task, and over the blocks by an aggregate of the matches where an item_id
+has several texts and there are several blocks.
 
 Defined results: null or empty texts match nothing; null or blank items, and items under ``MIN_CHARS``
-characters, are in no document; repeated rows of either table are judged alike, repeated items reported
-once for each item_id; an empty table on either side gives no matches. Extra columns of any name are
-ignored.
+characters, are in no document; repeated rows of either table are judged alike; different texts of one item_id
+are all searched and the item_id is reported once for each document row, with its best region (least edits, then
+begin, then end); items whose item_id is null are searched too and count as texts of one item_id, null; an empty
+table on either side gives no matches. Extra columns of any name are ignored.
 """
 
 from __future__ import annotations
@@ -207,8 +210,9 @@ def indexes(items: list[tuple[int, str]], rate: float) -> list[GramIndex]:
 
 
 def scan(data: np.ndarray, offsets: np.ndarray, found: list[GramIndex]):
-    """(text, item_id, edits, begin, end) of the best region of every item in every text."""
+    """(text, item_id, edits, begin, end) of the best region of every item_id in every text."""
     x, begin = normal(data, offsets)
+    whole: dict[tuple[int, int | None], tuple] = {}
     for index in found:
         best: dict[tuple[int, int], tuple] = {}
         for text, item, band in index.candidates(x, begin).tolist():
@@ -218,8 +222,17 @@ def scan(data: np.ndarray, offsets: np.ndarray, found: list[GramIndex]):
             got = index.verified(x[begin[text] : begin[text + 1]], item, low)
             if got and got < best.get((text, item), (1 << 20,)):
                 best[text, item] = got
-        for (text, item), (edits, a, b) in sorted(best.items()):
-            yield text, index.ids[item], edits, a, b
+        for (text, item), got in best.items():
+            key = text, index.ids[item]
+            whole[key] = min(got, whole.get(key, got))
+    for (text, item_id), got in whole.items():
+        yield text, item_id, *got
+
+
+def distinct_items(benchmark: DataFrame) -> DataFrame:
+    """item_id, text: the distinct rows that have a text."""
+    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
+    return rows.filter(F.col("text").isNotNull()).distinct()
 
 
 def blocks(benchmark: DataFrame, block_chars: int) -> int:
@@ -227,50 +240,64 @@ def blocks(benchmark: DataFrame, block_chars: int) -> int:
     return int(total // block_chars) + 1 if total else 0
 
 
-def block_items(benchmark: DataFrame, n: int, block: int) -> list[tuple[int, str]]:
-    """The items of one block, brought to the driver: about BLOCK_CHARS characters."""
-    rows = (
-        benchmark.filter(F.col("text").isNotNull() & (F.pmod(F.xxhash64("item_id"), F.lit(n)) == block))
-        .groupBy("item_id").agg(F.max("text").alias("text")).orderBy("item_id")
-    )
+def block_items(items: DataFrame, n: int, block: int) -> list[tuple[int | None, str]]:
+    """The distinct items of one block, brought to the driver: about BLOCK_CHARS characters."""
+    rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block).orderBy("item_id", "text")
     return [(r.item_id, r.text) for r in rows.collect()]
 
 
+def best_of_blocks(found: DataFrame) -> DataFrame:
+    """The best region of each item_id over all blocks. A block gives one match for each item_id and document row;
+    rows of equal id and text are told by their number in a block."""
+    region = F.struct("edits", "begin", "end")
+    best = found.groupBy("doc_id", "tkey", "item_id", "block").agg(F.min(region).alias("region"), F.count("*").alias("copies"))
+    best = best.groupBy("doc_id", "tkey", "item_id").agg(F.min("region").alias("region"), F.max("copies").alias("copies"))
+    best = best.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
+    return best.select("doc_id", "item_id", "region.*")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, edits, begin, end: for each item that a document holds, its best region (in the
     document's normal form)."""
     spark = prepared(docs.sparkSession)
     schema = "doc_id bigint, item_id bigint, edits int, begin bigint, end bigint"
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    benchmark = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
-    n, out = blocks(benchmark, block_chars), None
+    items = distinct_items(benchmark)
+    n, out = blocks(items, block_chars), None
+    spread = n > 1 and items.groupBy("item_id").count().filter("count > 1").limit(1).count() > 0
+    text = F.col("text").cast("string")
+    tkey = F.xxhash64(text) if spread else F.lit(0).cast("bigint")
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), tkey.alias("tkey"))
     for block in range(n):
-        index = spark.sparkContext.broadcast(indexes(block_items(benchmark, n, block), rate))
+        index = spark.sparkContext.broadcast(indexes(block_items(items, n, block), rate))
 
         def run(batches, index=index):
             for batch in batches:
                 rows = []
                 for block, data, offsets in text_blocks([batch], "text", SCAN_CHARS):
-                    rows += [(block.column(0)[t].as_py(), *rest) for t, *rest in scan(data, offsets, index.value)]
-                cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+                    keys = block.column(0), block.column(2)
+                    rows += [(*(k[t].as_py() for k in keys), *rest) for t, *rest in scan(data, offsets, index.value)]
+                cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "item_id", "edits", "begin", "end"]
+                    [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                    names=["doc_id", "tkey", "item_id", "edits", "begin", "end"],
                 )
 
-        part = source.mapInArrow(run, schema)
+        part = source.mapInArrow(run, "doc_id bigint, tkey bigint" + schema.removeprefix("doc_id bigint")).withColumn("block", F.lit(block))
         out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+    if out is None:
+        return spark.createDataFrame([], schema)
+    return best_of_blocks(out) if spread else out.drop("tkey", "block")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, rate: float = EDIT_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents that hold no benchmark item, with their own columns; one scan for each block."""
     spark = prepared(docs.sparkSession)
-    benchmark = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
-    n = blocks(benchmark, block_chars)
+    items = distinct_items(benchmark)
+    n = blocks(items, block_chars)
     schema = docs.schema
     for block in range(n):
-        index = spark.sparkContext.broadcast(indexes(block_items(benchmark, n, block), rate))
+        index = spark.sparkContext.broadcast(indexes(block_items(items, n, block), rate))
 
         def run(batches, index=index):
             for batch in batches:

@@ -25,6 +25,23 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.matches(docs, bench.limit(0)).count() == 0 and decontaminate.matches(empty, bench).count() == 0
 
 
+def test_items_of_one_id(spark):
+    """Every text of an item_id is searched, also of a null one; a document row reports an item_id once, at its best."""
+    other = "pack my box with forty bags of rare coffee beans and then sail slowly home across the quiet bay"
+    third, fourth = "zebra crossings hum beneath the copper moon tonight", "an old lighthouse keeper counts the ships at dawn"
+    edited = ITEM.replace("lazy", "lzy").replace("seven", "sevven")
+    texts = [f"a {ITEM} b", f"a {other} b", f"{edited} and {other}", f"x {third}", f"y {fourth}", "clean of all"]
+    rows = [*((40 + i, t) for i, t in enumerate(texts)), (42, texts[2]), (None, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, ITEM), (1, other), (None, third), (None, fourth), (1, ITEM)], "item_id bigint, text string")
+    want = [(-1, -1, 0), (40, 1, 0), (41, 1, 0), (42, 1, 0), (42, 1, 0), (43, -1, 0), (44, -1, 0)]
+    for chars in (1 << 20, 40):
+        got = [(-1 if r.doc_id is None else r.doc_id, -1 if r.item_id is None else r.item_id, r.edits)
+               for r in decontaminate.matches(docs, bench, block_chars=chars).collect()]
+        assert sorted(got) == want
+        assert [r.doc_id for r in decontaminate.keep_clean(docs, bench, block_chars=chars).collect()] == [45]
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
