@@ -5,8 +5,13 @@ window goes through a byte embedding, filters of several widths, a rectified max
 and a softmax; a text's score for a language is the mean over its windows, weighted by their bytes, so
 every byte of the whole text counts.
 
-Training takes at most ``TRAIN_DOCS`` documents with a language outside the held-out fold and
-``TRAIN_WINDOWS`` windows of each, spread evenly over the text. Applying is one scan without a shuffle.
+Training takes documents with a language outside the held-out fold: all of them up to ``TRAIN_DOCS``; of more,
+every language has its own share, ``TRAIN_DOCS`` divided by the number of languages but at least
+``LANGUAGE_DOCS``. A language with fewer documents gives all of them; one with more gives a hash sample of about
+nine tenths of its share, and its document of least hash always. Languages are counted over all training rows,
+so the set of labels doesn't depend on the sample. Of a document ``TRAIN_WINDOWS`` windows are taken, spread
+evenly over the text; in a sample, equal windows of rows with equal id and text are one. Applying is one scan without a
+shuffle.
 Defined results: a null text or one without a letter is ``und`` with score 0, as is every text if nothing
 was learnt; with one learnt language every other text gets it; repeated rows are judged alike; equal
 scores fall to the language first in text order. Extra columns of any name are ignored.
@@ -28,6 +33,8 @@ from matchbook.llm.scoring import adam, scored
 
 WINDOW = 256
 TRAIN_DOCS = 3000
+#: Documents of each language at least, however many languages there are.
+LANGUAGE_DOCS = 30
 TRAIN_WINDOWS = 4
 EMBED = 6
 WIDTHS = (2, 3, 4)
@@ -139,13 +146,28 @@ def fit_net(rows: np.ndarray, labels: np.ndarray, languages: list[str], steps: i
     return net
 
 
+def training_rows(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[DataFrame, bool]:
+    """text, lang, key of the training documents, and whether they are a sample: with more than ``train_docs`` of
+    them, each language gives about 0.9 of its share at most, and one document at least."""
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", 3) != 1))
+    known = known.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), "doc_id")
+    known = known.select("text", "lang", F.xxhash64("doc_id", "text").alias("key"))
+    place = F.pmod("key", F.lit(1 << 30))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("least")).collect()
+    if sum(r.n for r in sizes) <= train_docs:
+        return known, False
+    share = max(LANGUAGE_DOCS, train_docs // len(sizes))
+    cuts = {r.lang: max(int(0.9 * share / r.n * (1 << 30)), r.least + 1) for r in sizes if r.n > share}
+    if not cuts:
+        return known, True
+    bounds = F.create_map(*[F.lit(x) for pair in sorted(cuts.items()) for x in pair])
+    return known.filter(place < F.coalesce(bounds[F.col("lang")], F.lit(1 << 30))), True
+
+
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> ByteNet:
-    """Learn from text and language of at most ``train_docs`` documents outside the fold crc32(doc_id) mod 3 = 1."""
+    """Learn from text and language of bounded documents of every language outside the fold crc32(doc_id) mod 3 = 1."""
     prepared(docs.sparkSession)
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", 3) != 1))
-    n = known.count()
-    share = int(min(1.0, 0.9 * train_docs / max(1, n)) * (1 << 30)) if n > train_docs else 1 << 30
-    sample = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share).select("text", F.col("lang").cast("string").alias("lang"))
+    sample, cut_down = training_rows(docs, train_docs)
 
     def cut(batches):
         for block, data, offsets in text_blocks(batches, "text", 1 << 20):
@@ -159,11 +181,12 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> ByteNet:
             ]
             pick = np.asarray(pick, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r.tobytes() for r in rows[pick]], pa.binary()), block.column(1).take(pa.array(text[pick]))],
-                names=["window", "lang"],
+                [pa.array([r.tobytes() for r in rows[pick]], pa.binary()), *(block.column(i).take(pa.array(text[pick])) for i in (1, 2))],
+                names=["window", "lang", "key"],
             )
 
-    got = sample.mapInArrow(cut, "window binary, lang string").limit(train_docs * TRAIN_WINDOWS).toArrow()
+    cuts = sample.mapInArrow(cut, "window binary, lang string, key bigint")
+    got = (cuts.distinct() if cut_down else cuts).select("window", "lang").toArrow()
     lang = got.column("lang").to_pylist()
     raw = got.column("window").to_pylist()
     order = sorted(range(len(raw)), key=lambda i: (raw[i], lang[i]))

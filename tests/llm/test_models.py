@@ -1,6 +1,7 @@
 """Trained operators: held-out accuracy on the small tables, and defined results on odd rows."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from matchbook.llm import language_id, quality, toxicity, url_filter
 
@@ -20,6 +21,19 @@ def test_language_held_out(spark):
     assert sum(r.lang == r.lang_pred for r in rows) / len(rows) >= 0.98
 
 
+def test_rare_languages(spark):
+    """Every language of the training rows is learnt, however rare; null ids and repeated rows don't hide or swell one."""
+    rows = [(i, f"common words of text {i}", "en") for i in range(3000)]
+    rows += [(10_000 + i, f"palabras raras {i}", f"r{i // 12}") for i in range(96)]
+    rows += [(None, "sans numéro", "fr")] * 500 + [(30_002, "immer derselbe text", "de")] * 500
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    net = language_id.fit(df, train_docs=200)
+    assert net.languages == sorted({r[2] for r in rows})
+    sample, sampled = language_id.training_rows(df, train_docs=200)
+    sizes = {r.lang: r.n for r in sample.distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert sampled and sizes["en"] <= 2 * language_id.LANGUAGE_DOCS and sizes["fr"] == sizes["de"] == 1
+
+
 def test_odd_rows(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1, 0), (3, 0, 1), (None, 1, 1), (9, None, None)], "doc_id bigint, toxic int, quality int")
     for op in (toxicity.toxicity, quality.quality):
