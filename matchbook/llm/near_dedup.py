@@ -14,7 +14,7 @@ whatever the counts; the weighted bands only add candidates.
 Texts with equal words are one member (the least doc_id stands for all). Members with an equal band and sizes
 that allow the similarity make a bucket. No bucket is spread into all its pairs. First each bucket's
 leader, the member that meets most others in all its buckets (the text that others were made from, rather than
-one of its copies), is paired with its others; the pairs are verified by the exact Jaccard similarity of the shingle sets (0.8
+one of its copies; of equals the one with the largest number), is paired with its others; the pairs are verified by the exact Jaccard similarity of the shingle sets (0.8
 or more) and classes merged. Buckets that are not one class by then are
 joined into families (connected through shared buckets), and a family is compared exactly: its members are dealt
 into blocks of about ``BLOCK``, members of one class together, and each two blocks that are not of one class
@@ -22,7 +22,8 @@ meet in a task, which counts common shingles by a matrix product and gives back
 with an equal band is compared unless both are in one class already, and no group is ever whole in one task.
 
 Classes are the connected components of the links. Results: doc_id, class_id (least doc_id of the class),
-class_size (documents), n_links (verified links of the text that stands for the document), kept (the class's
+class_size (documents), n_links (of the verified links that were used to join the class, those of the text that
+stands for the document: no degree, as members of one class are not compared again), kept (the class's
 first row). Defined results: null and blank texts have no shingle and each is a class of its own; a null
 doc_id counts as larger than every other; an empty table gives an empty table. Extra columns of any name are
 ignored.
@@ -266,7 +267,7 @@ def family_links(members: DataFrame, threshold: float, block: int = BLOCK) -> Da
 def links(buckets: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(links a, b, sim; classes member, class) among the members of buckets (band, member, size, weight)."""
     alike = F.least("size", "lsize") >= threshold * F.greatest("size", "lsize")
-    leaders = buckets.groupBy("band").agg(F.max_by("member", "weight").alias("leader"))
+    leaders = buckets.groupBy("band").agg(F.max(F.struct("weight", "member"))["member"].alias("leader"))
     leaders = kept(leaders.join(buckets.select("band", F.col("member").alias("leader"), F.col("size").alias("lsize")), ["band", "leader"]), "leaders")
     pairs = buckets.join(leaders, "band").filter((F.col("member") != F.col("leader")) & alike)
     tried = kept(pairs.select(F.least("member", "leader").alias("a"), F.greatest("member", "leader").alias("b")).distinct(), "pairs")

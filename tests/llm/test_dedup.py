@@ -82,6 +82,16 @@ def test_near_unequal_repeats(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.without_near_copies(spark, df, "").collect()) == sorted(set(want.values()))
 
 
+def test_near_links_of_ties(spark):
+    """Members that meet equally many others: the leader, and so n_links, doesn't depend on the order of the rows."""
+    sets = spark.createDataFrame([(m, list(range(20))) for m in range(5)], "member bigint, set array<bigint>")
+    for order in (1, -1):
+        rows = [(7, m, 20, 5) for m in range(5)][::order]
+        buckets = spark.createDataFrame(rows, "band bigint, member bigint, size bigint, weight bigint").coalesce(1)
+        found, _ = near_dedup.links(buckets, sets)
+        assert sorted((r.a, r.b) for r in found.collect()) == [(m, 4) for m in range(4)]
+
+
 def test_near_stage(docs):
     left = near_dedup.drop_near(docs)
     assert left.columns == docs.columns
