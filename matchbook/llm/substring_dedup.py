@@ -1,10 +1,11 @@
-"""Substring dedup by relative Lempel-Ziv parsing against an index of everything with a smaller doc_id.
+"""Substring dedup by minimizer runs, grouped by hash, against an index of everything with a smaller doc_id.
 
 A window is ``WINDOW`` consecutive words of one text (words: maximal runs without ASCII white space). A word
 goes if a window that covers it also stands in a document with a smaller doc_id; windows are judged on the
-input. Each text is parsed greedily, left to right, into factors: maximal runs of windows that share their
+input. Each text is cut, left to right, into factors: maximal runs of windows that share their
 anchor, the least hash of ``ANCHOR`` consecutive words in a window. The anchor depends on a window's words
-alone, so an equal window elsewhere lies in a factor with the same anchor. The reference is not a string that
+alone, so an equal window elsewhere lies in a factor with the same anchor. This stands in place of a relative
+Lempel-Ziv parse: no factor is a match in a reference or is extended to the longest one. The reference is not a string that
 every document is held against (that would be documents times blocks): it is the index of all factors, cut into
 hash blocks that Spark deals out by anchor. Three steps:
 
