@@ -51,6 +51,17 @@ def kept(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def looked_up(rows: DataFrame, found: DataFrame, key: str, copies: str, total: int, share: int = 1000) -> DataFrame:
+    """``rows`` joined to ``found``, which has one row for each value of ``key`` and counts its rows in ``copies``.
+
+    A key of more than 1 / ``share`` of all ``total`` rows would be one long task of a shuffle: there are at most
+    ``share`` such keys, whose rows are broadcast; the other keys are joined by a shuffle. ``rows`` is read twice.
+    """
+    often = F.col(copies) > max(total // share, 1)
+    heavy = F.broadcast(found.filter(often))
+    return rows.join(heavy, key).unionByName(rows.join(heavy.select(key), key, "left_anti").join(found.filter(~often), key))
+
+
 def fold(doc_id: str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n

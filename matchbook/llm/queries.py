@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from matchbook.llm import alignment as _alignment
 from matchbook.llm import decontaminate as _decontaminate
 from matchbook.llm import exact_dedup as _exact
 from matchbook.llm import language_id as _language
+from matchbook.llm import lexical_search as _search
 from matchbook.llm import near_dedup as _near
 from matchbook.llm import pii as _pii
 from matchbook.llm import quality as _quality
 from matchbook.llm import sentencepiece as _pieces
+from matchbook.llm import simhash as _simhash
 from matchbook.llm import substring_dedup as _substring
 from matchbook.llm import toxicity as _toxicity
 from matchbook.llm import url_filter as _urls
@@ -58,6 +60,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search.lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _simhash.simhash_dedup(table(spark, sf_dir, "documents"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _alignment.align(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_sentencepiece": op2_sentencepiece,
@@ -69,9 +83,13 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_quality": op10_quality,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_simhash_near_dedup": op12_simhash_near_dedup,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 ORACLE = {
+    "op11_lexical_search": _search.SQL,
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
