@@ -63,3 +63,20 @@ def route(symbol: Column | str, fallback_key: Column | str, n: int) -> Column:
     s = _col(symbol)
     hashed = F.pmod(F.xxhash64(_col(fallback_key)), F.lit(n)).cast("int")
     return F.when(F.coalesce(F.length(s), F.lit(0)) == 0, hashed).otherwise(lex_bucket(s, n))
+
+
+# Fixed values of the 32-bit FNV-1a hash.
+FNV_BASIS, FNV_PRIME = 2166136261, 16777619
+
+
+def hash_bucket(key: Column | str, n: int) -> Column:
+    """Partition of a keyed message in [0, n): 32-bit FNV-1a of the key's UTF-8 bytes, taken as a signed number, its
+    remainder without the sign."""
+    data = F.hex(F.encode(_col(key), "UTF-8"))
+    places = F.sequence(F.lit(0), F.greatest(F.length(data) / 2 - 1, F.lit(0)).cast("int"))
+    byte = lambda i: F.conv(F.substring(data, i * 2 + 1, F.lit(2)), 16, 10).cast("long")
+    step = lambda h, i: (h.bitwiseXOR(byte(i)) * FNV_PRIME).bitwiseAND(F.lit((1 << 32) - 1))
+    start = F.lit(FNV_BASIS).cast("long")
+    hashed = F.when(F.length(data) == 0, start).otherwise(F.aggregate(places, start, step))
+    signed = F.when(hashed >= 1 << 31, hashed - (1 << 32)).otherwise(hashed)
+    return F.abs(signed % n).cast("int")

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import execution_id
 from ..schemas import (EXECUTION_COLUMNS, KIND_BOOK, KIND_FILL, KIND_REJECT, KIND_REST, KIND_SNAPSHOT,
-                       SIDE_NAMES, SIDE_BUY, SIDE_SELL, SNAPSHOT_COLUMNS)
-from .matching import keyed_rows, match_keyed
+                       SIDE_NAMES, SIDE_BUY, SIDE_SELL, SNAPSHOT_HEADER_COLUMNS)
+from .matching import Cadence, keyed_rows, match_keyed
 from .validate import STAGE_ENGINE, engine_checked
 
 
 def match_batch(requests: DataFrame, restored: DataFrame | None = None, snapshot_every: int = 0,
                 num_partitions: int | None = None, emit_final: bool = True,
-                symbols: list[str] | None = None) -> DataFrame:
+                symbols: list[str] | None = None, snapshot_interval_us: int = 0, steps: bool | None = None) -> DataFrame:
     """Run the books over a bounded request table; returns tagged rows (schemas.TAGGED).
 
     One pass over the input: rows failing the engine checks (or refused
@@ -22,13 +22,16 @@ def match_batch(requests: DataFrame, restored: DataFrame | None = None, snapshot
     spread by offset, and come back as ``kind = 'reject'`` rows. ``symbols``
     restricts the run to some books; the filter is applied before the
     shuffle, where Catalyst can push it into the scan (it cannot pass the
-    Python operator by itself).
+    Python operator by itself). ``snapshot_every`` orders, and ``snapshot_interval_us`` of
+    receive time, set when a book's snapshot header is written; ``steps`` adds the order log
+    (by default with either).
     """
     if symbols is not None:
         requests = requests.filter(F.col("symbol").isin(symbols))
         if restored is not None:
             restored = restored.filter(F.col("symbol").isin(symbols))
-    return match_keyed(keyed_rows(engine_checked(requests), restored), num_partitions, snapshot_every, emit_final)
+    return match_keyed(keyed_rows(engine_checked(requests), restored), num_partitions,
+                       Cadence(snapshot_every, snapshot_interval_us, steps), emit_final)
 
 
 def executions(tagged: DataFrame) -> DataFrame:
@@ -57,15 +60,15 @@ def book_headers(tagged: DataFrame) -> DataFrame:
     """One row per book at the end of the input."""
     return tagged.filter(F.col("kind") == KIND_BOOK).select(
         "symbol", F.col("partition").alias("trades_partition"), F.col("offset").alias("last_offset"),
-        F.col("seq").alias("orderbook_seq"), F.col("size").alias("since_snapshot"))
+        F.col("seq").alias("orderbook_seq"), F.col("size").alias("since_snapshot"), F.col("price").alias("interval_no"))
 
 
 def snapshots(tagged: DataFrame) -> DataFrame:
-    """OrderBookSnapshot rows emitted by the operator (bids/asks in priority order)."""
+    """Headers of the book snapshots that the run took; ``operators.lifetimes`` has their orders."""
     return tagged.filter(F.col("kind") == KIND_SNAPSHOT).select(
         F.col("at").alias("created_at"), "symbol", F.col("partition").alias("trades_partition"),
-        F.col("offset").alias("last_offset"), F.col("seq").alias("orderbook_seq"), "bids", "asks",
-    ).select(*SNAPSHOT_COLUMNS)
+        F.col("offset").alias("last_offset"), F.col("seq").alias("orderbook_seq"),
+    ).select(*SNAPSHOT_HEADER_COLUMNS)
 
 
 def engine_rejects(tagged: DataFrame) -> DataFrame:

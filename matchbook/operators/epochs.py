@@ -25,20 +25,20 @@ from . import book as book_ops
 from .snapshots import books_as_restore_rows
 
 
-def epoch_bounds(requests: DataFrame, epochs: int) -> list[tuple[int, int]]:
-    """Inclusive offset ranges of equal width covering the log (one scalar aggregate to the driver)."""
-    lo, hi = requests.agg(F.min("offset"), F.max("offset")).first()
-    if lo is None:
-        return []
-    width = max(1, -(-(hi - lo + 1) // max(1, epochs)))
-    return [(a, min(hi, a + width - 1)) for a in range(lo, hi + 1, width)]
+def epoch_bounds(lo: int, hi: int, width: int) -> list[tuple[int, int]]:
+    """Inclusive offset ranges of ``width`` that cover lo .. hi; their edges don't move when the log grows."""
+    return [(a, a + width - 1) for a in range(lo // width * width, hi + 1, width)]
 
 
-def fingerprint(requests: DataFrame, ranges: list[tuple[int, int]], snapshot_every: int) -> str:
-    """Name of a run: row count and order-free hash of the input, and what shapes the output."""
-    row = F.xxhash64(*[F.col(c) for c in requests.columns]).cast("decimal(38,0)")
-    n, total = requests.agg(F.count(F.lit(1)), F.sum(row)).first()
-    return hashlib.md5(repr((n, str(total), ranges, snapshot_every)).encode()).hexdigest()[:16]
+def log_extent(requests: DataFrame, version: str | None) -> tuple[int | None, int | None, str]:
+    """(least offset, greatest offset, version) of the log, in one pass. ``version``, where the caller has one that
+    names the input (a table version, a list of files), spares the hash of the rows: only offsets are read then."""
+    parts = [F.min("offset"), F.max("offset")]
+    if version is None:
+        row = F.xxhash64(*[F.col(c) for c in requests.columns]).cast("decimal(38,0)")
+        parts += [F.count(F.lit(1)), F.sum(row)]
+    lo, hi, *rest = requests.agg(*parts).first()
+    return lo, hi, version if version is not None else repr([str(x) for x in rest])
 
 
 def _committed(spark, path: str) -> bool:
@@ -47,21 +47,24 @@ def _committed(spark, path: str) -> bool:
     return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
-def match_in_epochs(requests: DataFrame, out_dir: str, epochs: int, snapshot_every: int = 0,
-                    num_partitions: int | None = None, resume: bool = True) -> DataFrame:
-    """Tagged output equal to ``match_batch(requests)``, computed one offset range at a time.
+def match_in_epochs(requests: DataFrame, out_dir: str, width: int, snapshot_every: int = 0,
+                    num_partitions: int | None = None, resume: bool = True, version: str | None = None) -> DataFrame:
+    """Tagged output equal to ``match_batch(requests)``, computed one offset range of ``width`` at a time, so that what a
+    range costs does not grow with the log.
 
     Fills, snapshots and rejects come from every epoch; ``rest`` and ``book``
     rows (the final books) from the last one. The epochs of a run lie in a
-    folder of ``out_dir`` named after the input's fingerprint, the ranges and
-    the snapshot cadence. With ``resume``, epochs already committed there
+    folder of ``out_dir`` named after the input's version (see ``log_extent``), the ranges
+    and the snapshot cadence. With ``resume``, epochs already committed there
     (``_SUCCESS`` present) are read back instead of recomputed, so a restarted
     driver continues after the last finished epoch; folders of another input
-    or epoch count are never read.
+    or width are never read.
     """
     spark = requests.sparkSession
-    ranges = epoch_bounds(requests, epochs)
-    out_dir = os.path.join(out_dir, f"run-{fingerprint(requests, ranges, snapshot_every)}")
+    lo, hi, version = log_extent(requests, version)
+    ranges = epoch_bounds(lo, hi, width) if lo is not None else []
+    name = hashlib.md5(repr((version, ranges, snapshot_every)).encode()).hexdigest()[:16]
+    out_dir = os.path.join(out_dir, f"run-{name}")
     restored = None
     for k, (a, b) in enumerate(ranges):
         path = os.path.join(out_dir, f"epoch={k}")

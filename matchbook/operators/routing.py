@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.render import trade_event_json
-from ..functions.symbols import route
+from ..functions.symbols import hash_bucket, route
 
 
 def with_route(requests: DataFrame, n: int, key: str = "symbol", fallback: str = "request_id") -> DataFrame:
@@ -25,9 +25,19 @@ def route_requests(requests: DataFrame, n: int) -> DataFrame:
     return with_route(requests, n).repartitionById(n, F.col("partition"))
 
 
-def hash_by_symbol(df: DataFrame, n: int) -> DataFrame:
-    """Hash partitioning by key, as for the execution and snapshot logs."""
-    return df.repartition(n, "symbol")
+def keyed_messages(df: DataFrame, value, n: int, fallback: str) -> DataFrame:
+    """key, value, partition: messages of a log with ``n`` partitions dealt by hash of the key (executions, snapshots).
+
+    An empty symbol gives no key; its partition comes from the ``fallback`` column. One symbol stays in one partition.
+    """
+    key = F.nullif(F.col("symbol"), F.lit(""))
+    return df.select(key.alias("key"), value.alias("value"), hash_bucket(F.coalesce(key, F.col(fallback)), n).alias("partition"))
+
+
+def write_message_log(messages: DataFrame, path: str, batch_id: int = 0, run_id: str = "0") -> None:
+    """File form of a keyed topic: one folder for each batch and message partition; a replayed batch rewrites itself."""
+    (messages.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long")})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch_id", "partition").parquet(path))
 
 
 def encode_messages(df: DataFrame, value) -> DataFrame:

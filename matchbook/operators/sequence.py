@@ -35,3 +35,19 @@ def with_sequence(requests: DataFrame, chunk: int = DEFAULT_CHUNK, start: int =
     return (local.join(bases, same).drop(*[f"_b{c}" for c in group])
             .withColumn("seq", (F.lit(start) + F.col("_base") + F.col("_local")).cast("long"))
             .drop("_chunk", "_base", "_local"))
+
+
+def offset_gaps(log: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """partition, first_missing, last_missing: the ranges between a partition's least and greatest offset that no row has.
+
+    Rows are compared with the next offset inside their chunk (a bounded window); the edges of the (few) chunks are
+    compared with each other. A repeated offset is no gap.
+    """
+    keyed = log.select("partition", "offset", F.floor(F.col("offset") / F.lit(chunk)).cast("long").alias("_chunk"))
+    inside = Window.partitionBy("partition", "_chunk").orderBy("offset")
+    within = keyed.withColumn("_next", F.lead("offset").over(inside))
+    edges = keyed.groupBy("partition", "_chunk").agg(F.min("offset").alias("_lo"), F.max("offset").alias("offset"))
+    across = edges.withColumn("_next", F.lead("_lo").over(Window.partitionBy("partition").orderBy("_chunk")))
+    both = within.select("partition", "offset", "_next").unionByName(across.select("partition", "offset", "_next"))
+    return both.filter(F.col("_next") > F.col("offset") + 1).select(
+        "partition", (F.col("offset") + 1).alias("first_missing"), (F.col("_next") - 1).alias("last_missing"))

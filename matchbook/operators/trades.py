@@ -8,6 +8,11 @@ already present from *other* batches or runs are removed by an anti-join on
 ``(id_bucket, execution_id)`` first. Within a batch the first row per id wins
 (by stream position), chosen with an aggregate, not a window: the map-side
 partial aggregate collapses copies of an id before the shuffle.
+
+Beside the table lies an id index: for each batch and bucket, pages of ``PAGE_BITS`` bits (built-in bitmap aggregates)
+in which ``HASHES`` bits are set for each stored id. A new batch asks the index which stored batches may hold one of its
+ids and reads the ids of those alone; a batch of new ids reads none. The index has no false negatives, so the result
+is that of the full anti-join. It is written before the rows it speaks of.
 """
 
 from __future__ import annotations
@@ -16,10 +21,10 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
-from ..schemas import TRADES_COLUMNS, TRADES_TABLE
+from ..functions.unsigned import is_wide
+from ..schemas import MAX_BIGINT, TRADES_COLUMNS, TRADES_TABLE
 
 ID_BUCKETS = 16
 EPOCH = "1970-01-01 00:00:00"
@@ -29,10 +34,22 @@ STORED = T.StructType(TRADES_TABLE.fields + [T.StructField("run_id", T.StringTyp
                                              T.StructField("batch_id", T.LongType()),
                                              T.StructField("id_bucket", T.IntegerType())])
 STAGE_TABLE = "table"
+#: Folder of the id index inside the table's folder (a leading underscore hides it from the table).
+ID_INDEX = "_ids"
+INDEX = T.StructType([T.StructField("id_bucket", T.IntegerType()), T.StructField("pages", T.LongType()),
+                      T.StructField("page", T.LongType()), T.StructField("bits", T.BinaryType()),
+                      T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())])
+#: Bits of a page (that of the built-in bitmap), bits set for an id, ids meant for a page (1 in 500 others pass).
+PAGE_BITS = 1 << 15
+HASHES = 4
+IDS_PER_PAGE = 1 << 11
+#: Stored batches that are named one by one in a filter; beyond that every stored id is read.
+OPEN_AT_ONCE = 1000
 
 
 def table_rows(executions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Project executions to table columns; split off rows without a symbol, price or size.
+    """Project executions to table columns; split off rows without a symbol, price or size, and those whose price or
+    size is beyond BIGINT (only executions that carry ``decimal(20,0)`` can have such).
 
     The stored columns are STRING, so texts of any length are kept.
     """
@@ -42,8 +59,14 @@ def table_rows(executions: DataFrame) -> tuple[DataFrame, DataFrame]:
         .alias("executed_at"),
         *[c for c in ("partition", "offset", "fill_no") if c in executions.columns],
     )
-    bad: Column = F.col("symbol").isNull() | F.col("price").isNull() | F.col("size").isNull()
-    return rows.filter(~bad), rows.filter(bad)
+    empty: Column = F.col("symbol").isNull() | F.col("price").isNull() | F.col("size").isNull()
+    beyond = F.lit(False)
+    for c in ("price", "size"):
+        if is_wide(rows, c):
+            beyond = beyond | F.coalesce(F.col(c) > MAX_BIGINT, F.lit(False))
+    judged = rows.withColumn("reason", F.when(empty, F.lit("not_null")).when(beyond, F.lit("out_of_range")))
+    good = judged.filter("reason is null").drop("reason").withColumns({c: F.col(c).cast("long") for c in ("price", "size") if is_wide(rows, c)})
+    return good, judged.filter("reason is not null")
 
 
 def table_rejects(executions: DataFrame) -> DataFrame:
@@ -51,7 +74,7 @@ def table_rejects(executions: DataFrame) -> DataFrame:
     bad = table_rows(executions)[1]
     place = [F.col(c) if c in bad.columns else F.lit(None).cast(t).alias(c)
              for c, t in (("partition", "int"), ("offset", "long"))]
-    return bad.select(F.lit(STAGE_TABLE).alias("stage"), F.lit("not_null").alias("reason"), *place,
+    return bad.select(F.lit(STAGE_TABLE).alias("stage"), "reason", *place,
                       F.col("execution_id").alias("raw"))
 
 
@@ -74,27 +97,98 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def _bit_places() -> list[Column]:
+    """The places of an id's bits within its page."""
+    h = F.xxhash64("execution_id", F.lit("bits"))
+    return [F.shiftrightunsigned(h, 15 * k).bitwiseAND(F.lit(PAGE_BITS - 1)) for k in range(HASHES)]
+
+
+def _page(pages: Column) -> Column:
+    """An id's page; another hash than that of its bucket, which would put a bucket's ids into one page."""
+    return F.pmod(F.xxhash64("execution_id", F.lit("page")), pages)
+
+
+def id_pages(rows: DataFrame, pages: int) -> DataFrame:
+    """id_bucket, pages, page, bits: the index of the ids in ``rows``, ``pages`` pages for each bucket."""
+    bits = rows.select("id_bucket", F.lit(pages).cast("long").alias("pages"), _page(F.lit(pages)).alias("page"), F.explode(F.array(*_bit_places())).alias("place"))
+    return bits.groupBy("id_bucket", "pages", "page").agg(F.bitmap_construct_agg("place").alias("bits"))
+
+
+def batches_that_may_hold(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """run_id, batch_id of the index's batches that may hold an id of ``rows`` (execution_id, id_bucket)."""
+    sizes = [r.pages for r in index.select("pages").distinct().collect()]  # powers of two: a few values
+    if not sizes:
+        return index.select("run_id", "batch_id")
+    asked = rows.select("execution_id", "id_bucket", F.explode(F.array(*[F.lit(n).cast("long") for n in sizes])).alias("pages"))
+    asked = asked.withColumn("page", _page(F.col("pages")))
+    asked = asked.select("id_bucket", "pages", "page", F.array(*_bit_places()).alias("places"))
+    byte = "cast(conv(hex(substring(bits, cast(p div 8 as int) + 1, 1)), 16, 10) as int)"
+    held = F.expr(f"forall(places, p -> (shiftright({byte}, cast(p % 8 as int)) & 1) = 1)")
+    return asked.join(index, ["id_bucket", "pages", "page"]).filter(held).select("run_id", "batch_id").distinct()
+
+
+def _stored_ids(spark: SparkSession, path: str, rows: DataFrame, other: Column) -> DataFrame | None:
+    """id_bucket, execution_id of the stored batches (those that ``other`` admits) that may hold an id of ``rows``."""
+    index = spark.read.schema(INDEX).parquet(os.path.join(path, ID_INDEX)).filter(other)
+    found = batches_that_may_hold(rows, index).limit(OPEN_AT_ONCE + 1).collect()
+    if not found or not _exists(spark, path):
+        return None
+    stored = spark.read.schema(STORED).parquet(path).filter(other)
+    if len(found) <= OPEN_AT_ONCE:
+        runs: dict[str, list[int]] = {}
+        for r in found:
+            runs.setdefault(r.run_id, []).append(r.batch_id)
+        named = F.lit(False)
+        for run, batches in runs.items():
+            named = named | ((F.col("run_id") == run) & F.col("batch_id").isin(batches))
+        stored = stored.filter(named)
+    return stored.select("id_bucket", "execution_id")
+
+
 def insert_trades(spark: SparkSession, executions: DataFrame, path: str, batch_id: int,
-                  buckets: int = ID_BUCKETS, run_id: str = "0") -> DataFrame:
+                  buckets: int = ID_BUCKETS, run_id: str = "0", table: str | None = None) -> DataFrame:
     """Append one batch of executions to the table at ``path``, skipping ids already stored.
 
-    Returns the rejected rows (NOT NULL violations) for the quarantine (see ``table_rejects``).
+    Returns the rejected rows (NOT NULL and BIGINT violations) for the quarantine (see ``table_rejects``).
     Safe to call again with the same ``run_id`` and ``batch_id`` (a replay rewrites itself).
-    One task writes each bucket of a batch.
+    One task writes each bucket of a batch. With ``table`` the batch's partitions are also added to the catalog
+    table of that name (made if absent), so that it shows the batch as soon as it is written.
     """
     good, bad = table_rows(executions)
     order = [c for c in ("partition", "offset", "fill_no") if c in good.columns] or ["executed_at"]
-    rows = _with_bucket(first_per_id(good, order), buckets).select(*TRADES_COLUMNS, "id_bucket")
-    if _exists(spark, path):
-        stored = (spark.read.schema(STORED).parquet(path).filter((F.col("run_id") != F.lit(run_id)) | (F.col("batch_id") != F.lit(batch_id)))
-                  .select("id_bucket", "execution_id"))
-        rows = rows.join(stored, ["id_bucket", "execution_id"], "left_anti")
-    (rows.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long")})
-     .repartition(buckets, "id_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_id", "batch_id", "id_bucket").parquet(path))
+    rows = _with_bucket(first_per_id(good, order), buckets).select(*TRADES_COLUMNS, "id_bucket").persist()
+    fresh = rows
+    try:
+        pages = 1 << max(0, (max(rows.count(), 1) // (buckets * IDS_PER_PAGE)).bit_length())
+        index = os.path.join(path, ID_INDEX)
+        if _exists(spark, index):
+            stored = _stored_ids(spark, path, rows, (F.col("run_id") != F.lit(run_id)) | (F.col("batch_id") != F.lit(batch_id)))
+            if stored is not None:
+                fresh = rows.join(stored, ["id_bucket", "execution_id"], "left_anti").persist()
+        own = {"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long")}
+        (id_pages(fresh, pages).withColumns(own).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run_id", "batch_id").parquet(index))
+        placed = fresh.withColumns(own).select(*[f.name for f in STORED.fields]).repartition(buckets, "id_bucket")
+        (placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run_id", "batch_id", "id_bucket").parquet(path))
+        if table is not None:
+            _commit_partitions(spark, fresh, path, table, run_id, batch_id)
+    finally:
+        fresh.unpersist()
+        rows.unpersist()
     return bad
 
 
+def _commit_partitions(spark: SparkSession, rows: DataFrame, path: str, table: str, run_id: str, batch_id: int) -> None:
+    """Tell the catalog which partitions a batch wrote (at most one for each bucket); known ones stay."""
+    ensure_trades_table(spark, path, table)
+    run = run_id.replace("\\", "\\\\").replace("'", "\\'")
+    named = [f"PARTITION (run_id='{run}', batch_id={int(batch_id)}, id_bucket={r.id_bucket})" for r in rows.select("id_bucket").distinct().collect()]
+    if named:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(named)}")
+    spark.catalog.refreshTable(table)
+
+
 def ensure_trades_table(spark: SparkSession, path: str, name: str = "trades") -> None:
     """CREATE TABLE IF NOT EXISTS over the table folder (columns per the trades DDL)."""
     spark.sql(f"""

@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from ..functions.ids import request_id as derive_request_id
 from ..functions.symbols import lex_bucket, normalise_symbol
-from ..schemas import MAX_BIGINT, REQUEST_COLUMNS
+from ..functions.unsigned import WIDE, is_wide, whole
+from ..schemas import MAX_UNSIGNED, REQUEST_COLUMNS
 
 # Reject reasons, first failing check wins, in this order.
 INGEST_REASONS = ["missing_instrument", "empty_symbol", "size", "price", "out_of_range"]
@@ -32,18 +33,18 @@ def ingest_checked(raw: DataFrame, partitions: int = 3) -> DataFrame:
     (symbol NULL = instrument missing; side/price/size NULL = absent, i.e. 0).
     Output: REQUEST columns plus ``reject_reason`` (NULL when accepted) and ``raw``.
     Narrow projection only: no shuffle.
+
+    Wire values are unsigned 64-bit: text or decimal input is read, and given on, as ``decimal(20,0)`` in that whole
+    range; integral input is a bigint and checked for its sign only (``decimal(20,0)`` costs an object for each row).
     """
-    # Wire values are unsigned 64-bit. Text or decimal input is checked as
-    # decimal(20,0) against the BIGINT range; integral input only for sign
-    # (decimal(20,0) arithmetic runs on BigDecimal, so it is used only when needed).
     wide = not all(isinstance(raw.schema[c].dataType, T.IntegralType) for c in ("price", "size"))
-    num = "decimal(20,0)" if wide else "long"
+    num = WIDE if wide else "long"
     price = F.coalesce(F.col("price").cast(num), F.lit(0).cast(num))
     size = F.coalesce(F.col("size").cast(num), F.lit(0).cast(num))
     symbol = normalise_symbol("symbol")
     out_of_range = (size < 0) | (price < 0)
     if wide:
-        out_of_range = out_of_range | (size > MAX_BIGINT) | (price > MAX_BIGINT)
+        out_of_range = out_of_range | (size > whole(MAX_UNSIGNED)) | (price > whole(MAX_UNSIGNED))
     reason = (
         F.when(F.col("symbol").isNull(), F.lit(INGEST_REASONS[0]))
         .when(symbol == "", F.lit(INGEST_REASONS[1]))
@@ -51,7 +52,6 @@ def ingest_checked(raw: DataFrame, partitions: int = 3) -> DataFrame:
         .when(price == 0, F.lit(INGEST_REASONS[3]))
         .when(out_of_range, F.lit(INGEST_REASONS[4]))
     )
-    in_range = (lambda c: F.when(c <= MAX_BIGINT, c.cast("long"))) if wide else (lambda c: c)
     checked = raw.select(
         F.col("source"),
         F.col("offset").cast("long").alias("offset"),
@@ -59,8 +59,8 @@ def ingest_checked(raw: DataFrame, partitions: int = 3) -> DataFrame:
         .alias("received_at"),
         symbol.alias("symbol"),
         F.coalesce(F.col("side").cast("int"), F.lit(0)).alias("side"),
-        in_range(price).alias("price"),
-        in_range(size).alias("size"),
+        price.alias("price"),
+        size.alias("size"),
         reason.alias("reject_reason"),
         _raw_text(raw).alias("raw"),
     )
@@ -122,6 +122,7 @@ def engine_checked(requests: DataFrame) -> DataFrame:
     ``reject_reason``) keep that verdict; the others get the engine checks.
     A row with an unknown side passes (reason NULL): it must still reach the
     keyed operator, where it takes a sequence number and is rejected there.
+    Prices and sizes given as ``decimal(20,0)`` stay so (the upper half of the unsigned range).
     """
     upstream = "reject_reason" in requests.columns
     d = requests.select(
@@ -131,8 +132,7 @@ def engine_checked(requests: DataFrame) -> DataFrame:
         F.col("received_at").cast("timestamp_ntz").alias("received_at"),
         F.col("symbol"),
         F.coalesce(F.col("side").cast("int"), F.lit(0)).alias("side"),
-        F.coalesce(F.col("price").cast("long"), F.lit(0)).alias("price"),
-        F.coalesce(F.col("size").cast("long"), F.lit(0)).alias("size"),
+        *[F.coalesce(F.col(c).cast(WIDE if is_wide(requests, c) else "long"), F.lit(0)).alias(c) for c in ("price", "size")],
         *([F.col("reject_stage"), F.col("reject_reason").alias("upstream_reason")] if upstream else []),
     )
     checked = d.withColumn("engine_reason", engine_reason(d))

@@ -22,8 +22,28 @@ flow_all AS (
          event_type
   FROM events
 )"""
-FLOW = FLOW_ALL + """,
-flow AS (SELECT * EXCLUDE (event_type) FROM flow_all WHERE event_type <> 'error')"""
+
+# All events as submit requests (error events broken in one field), and the front end's verdict on them.
+_DIRTY = FLOW_ALL + r""",
+dirty AS (
+  SELECT 'events' AS source, "offset", received_at,
+         CASE WHEN event_type = 'error' AND "offset" % 5 = 3 THEN '   ' ELSE '  ' || lower(symbol) || ' ' END AS symbol,
+         CAST(CASE WHEN event_type = 'error' AND "offset" % 5 = 4 THEN 7 ELSE side END AS INTEGER) AS side,
+         CAST(CASE WHEN event_type = 'error' AND "offset" % 5 IN (0, 2) THEN 0 ELSE price END AS BIGINT) AS price,
+         CAST(CASE WHEN event_type = 'error' AND "offset" % 5 IN (1, 2) THEN 0 ELSE size END AS BIGINT) AS size,
+         event_type
+  FROM flow_all
+),
+norm AS (
+  SELECT *, upper(regexp_replace(symbol, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')) AS nsym,
+         concat_ws('|', symbol, CAST(side AS VARCHAR), CAST(price AS VARCHAR), CAST(size AS VARCHAR)) AS raw
+  FROM dirty
+),
+ing AS (
+  SELECT *, CASE WHEN symbol IS NULL THEN 'missing_instrument' WHEN nsym = '' THEN 'empty_symbol'
+                 WHEN size = 0 THEN 'size' WHEN price = 0 THEN 'price' END AS reason
+  FROM norm
+)"""
 
 
 def lex_position_sql(expr: str) -> str:
@@ -46,9 +66,13 @@ def lex_bucket_sql(expr: str, n: int) -> str:
     return f"CAST(least(floor({lex_position_sql(expr)} * {float(n)!r}), {n - 1}) AS INTEGER)"
 
 
+# What the front end accepts.
+FLOW = _DIRTY
 FLOW_P = f"""
 flow_p AS (
-  SELECT *, {lex_bucket_sql('symbol', 3)} AS "partition" FROM flow
+  SELECT "offset", md5('events|' || CAST("offset" AS VARCHAR)) AS request_id, received_at, nsym AS symbol, side,
+         price, size, {lex_bucket_sql('nsym', 3)} AS "partition"
+  FROM ing WHERE reason IS NULL
 )"""
 
 _ORDER = "STRUCT(k BIGINT, s BIGINT, id VARCHAR, q BIGINT)"
@@ -134,11 +158,15 @@ FROM last WHERE len(bids) > 0 OR len(asks) > 0
 """, _LAST)
 
 _FLAT_ORDER = "STRUCT(side VARCHAR, id VARCHAR, price BIGINT, size BIGINT, seq BIGINT)"
+# Every tenth order of a known side; orders of unknown side take a sequence number only.
 _SNAP = """
+counted AS (
+  SELECT symbol, seq, side, count(*) FILTER (WHERE side IN (0, 1)) OVER (PARTITION BY symbol ORDER BY seq) AS known FROM seqd
+),
 snap AS (
   SELECT symbol, seq AS orderbook_seq, "offset" AS last_offset, received_at AS created_at,
          "partition" AS trades_partition, bids, asks
-  FROM steps WHERE seq > 0 AND seq % 10 = 0
+  FROM steps JOIN counted USING (symbol, seq) WHERE side IN (0, 1) AND known % 10 = 0
 )"""
 
 
@@ -158,11 +186,10 @@ LATEST_SNAPSHOTS = with_match(_flatten("latest"), _SNAP + """,
 latest AS (SELECT * FROM snap QUALIFY row_number() OVER (
   PARTITION BY symbol ORDER BY created_at DESC, orderbook_seq DESC, trades_partition DESC, last_offset DESC) = 1)""")
 
-_CUT = """
-cut AS (SELECT max("offset") // 2 AS c FROM flow),
+_CUT = _SNAP + """,
+cut AS (SELECT max("offset") // 2 AS c FROM flow_all),
 snapcut AS (
-  SELECT symbol, max(seq) AS sseq FROM steps
-  WHERE seq > 0 AND seq % 10 = 0 AND "offset" <= (SELECT c FROM cut) GROUP BY symbol
+  SELECT symbol, max(orderbook_seq) AS sseq FROM snap WHERE last_offset <= (SELECT c FROM cut) GROUP BY symbol
 )"""
 
 RESTORE_AND_RESUME = with_match("""
@@ -184,27 +211,6 @@ ORDER BY executed_at DESC NULLS LAST, execution_id LIMIT 30""", _EX)
 
 # ---- ingest, validation, routing -------------------------------------------
 
-_DIRTY = FLOW_ALL + r""",
-dirty AS (
-  SELECT 'events' AS source, "offset", received_at,
-         CASE WHEN event_type = 'error' AND "offset" % 5 = 3 THEN '   ' ELSE '  ' || lower(symbol) || ' ' END AS symbol,
-         CAST(CASE WHEN event_type = 'error' AND "offset" % 5 = 4 THEN 7 ELSE side END AS INTEGER) AS side,
-         CAST(CASE WHEN event_type = 'error' AND "offset" % 5 IN (0, 2) THEN 0 ELSE price END AS BIGINT) AS price,
-         CAST(CASE WHEN event_type = 'error' AND "offset" % 5 IN (1, 2) THEN 0 ELSE size END AS BIGINT) AS size,
-         event_type
-  FROM flow_all
-),
-norm AS (
-  SELECT *, upper(regexp_replace(symbol, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')) AS nsym,
-         concat_ws('|', symbol, CAST(side AS VARCHAR), CAST(price AS VARCHAR), CAST(size AS VARCHAR)) AS raw
-  FROM dirty
-),
-ing AS (
-  SELECT *, CASE WHEN symbol IS NULL THEN 'missing_instrument' WHEN nsym = '' THEN 'empty_symbol'
-                 WHEN size = 0 THEN 'size' WHEN price = 0 THEN 'price' END AS reason
-  FROM norm
-)"""
-
 INGEST_ACCEPTED = f"""WITH {_DIRTY}
 SELECT {lex_bucket_sql('nsym', 3)} AS "partition", "offset", md5('events|' || CAST("offset" AS VARCHAR)) AS request_id,
        received_at, nsym AS symbol, side, price, size
@@ -221,10 +227,10 @@ SELECT stage, reason, count(*) AS n FROM (
   SELECT 'engine' AS stage, 'unknown_side' AS reason FROM ing WHERE reason IS NULL AND side NOT IN (0, 1)
 ) GROUP BY stage, reason"""
 
-LEX_PARTITION = f"""WITH {FLOW}
+LEX_PARTITION = f"""WITH {FLOW}, {FLOW_P}
 SELECT symbol, {lex_position_sql('symbol')} AS position, {lex_bucket_sql('symbol', 3)} AS bucket_3,
        {lex_bucket_sql('symbol', 8)} AS bucket_8
-FROM (SELECT DISTINCT symbol FROM flow)"""
+FROM (SELECT DISTINCT symbol FROM flow_p)"""
 
 ENGINE_VALIDATE = f"""WITH {_DIRTY}
 SELECT "offset", symbol, side, price, size,
@@ -237,36 +243,135 @@ FROM dirty"""
 ORDER_SEQUENCE = f"""WITH {FLOW}, {FLOW_P}, {SEQD}
 SELECT symbol, "partition", "offset", seq FROM seqd"""
 
-DUMP_REQUESTS = f"""WITH {FLOW}
+DUMP_REQUESTS = f"""WITH {FLOW}, {FLOW_P}
 SELECT "offset",
   '{{"trade":{{"instrument":{{"symbol":"' || symbol || '"}},"side":"'
   || CASE side WHEN 1 THEN 'BUY' WHEN 0 THEN 'SELL' ELSE CAST(side AS VARCHAR) END
   || '","price":"' || CAST(price AS VARCHAR) || '","size":"' || CAST(size AS VARCHAR)
   || '"}},"received_at":"' || strftime(received_at, '%Y-%m-%dT%H:%M:%S.%fZ')
   || '","request_id":"' || request_id || '"}}' AS json
-FROM flow"""
-
-DECODE_BAD_ROWS = """
-SELECT 'decode' AS stage, 'undecodable' AS reason, event_id AS "offset" FROM events WHERE event_type = 'error'"""
+FROM flow_p"""
 
-_HOT_FLOW = FLOW_ALL + """,
-flow AS (SELECT * EXCLUDE (event_type, symbol), 'HOT' AS symbol FROM flow_all WHERE event_type <> 'error')"""
-
-HOT_EXECUTIONS = (f"WITH RECURSIVE {_HOT_FLOW}, {FLOW_P}, {SEQD}, {match_cte('seqd')}\n" + _EXEC_ROWS)
+DECODE_BAD_ROWS = f"""WITH {_DIRTY}
+SELECT CASE WHEN event_type = 'error' THEN 'decode' END AS stage, CASE WHEN event_type = 'error' THEN 'undecodable' END AS reason,
+       "offset", CASE WHEN event_type <> 'error' THEN symbol END AS symbol, CASE WHEN event_type <> 'error' THEN side END AS side,
+       CASE WHEN event_type <> 'error' THEN price END AS price, CASE WHEN event_type <> 'error' THEN size END AS size
+FROM dirty"""
 
-_ALL_REQUESTS = _DIRTY + f""",
-flow_p AS (
-  SELECT "offset", md5('events|' || CAST("offset" AS VARCHAR)) AS request_id, received_at, nsym AS symbol, side,
-         price, size, {lex_bucket_sql('nsym', 3)} AS "partition"
-  FROM ing WHERE reason IS NULL
-)"""
-ALL_EXECUTIONS = f"WITH RECURSIVE {_ALL_REQUESTS}, {SEQD}, {match_cte('seqd')}\n{_EXEC_ROWS}"
-ALL_RESTING = f"WITH RECURSIVE {_ALL_REQUESTS}, {SEQD}, {match_cte('seqd')}, {_LAST}\n{_RESTING_ROWS}"
+_RECORD = """'{"trade":{"instrument":{"symbol":"' || symbol || '"},"side":"' || side_text || '","price":"' || price_text
+  || '","size":"' || size_text || '"},"received_at":"' || at_text || '","request_id":"' || request_id || '"}'"""
+DECODE_BAD_VALUES = f"""WITH {FLOW_ALL},
+named AS (
+  SELECT *, event_type = 'error' AS bad, "offset" % 5 AS kind FROM flow_all
+),
+texts AS (
+  SELECT *, CASE WHEN bad AND kind = 0 THEN 'noon' ELSE strftime(received_at, '%Y-%m-%dT%H:%M:%S.%fZ') END AS at_text,
+         CASE WHEN bad AND kind = 1 THEN 'HOLD' WHEN side = 1 THEN 'BUY' ELSE 'SELL' END AS side_text,
+         CAST(price AS VARCHAR) || CASE WHEN bad AND kind = 2 THEN '.5' ELSE '' END AS price_text,
+         CASE WHEN bad AND kind = 3 THEN '-' ELSE '' END || CAST(size AS VARCHAR) AS size_text
+  FROM named
+),
+whole AS (SELECT *, {_RECORD} AS record FROM texts)
+SELECT "offset", CASE WHEN bad THEN 'decode' END AS reject_stage, CASE WHEN bad THEN 'undecodable' END AS reject_reason,
+       CASE WHEN bad AND kind = 4 THEN left(record, length(record) // 2) WHEN bad THEN record ELSE request_id END AS request_id,
+       CASE WHEN NOT bad THEN received_at END AS received_at, CASE WHEN NOT bad THEN symbol END AS symbol,
+       CASE WHEN NOT bad THEN side END AS side, CASE WHEN NOT bad THEN price END AS price, CASE WHEN NOT bad THEN size END AS size
+FROM whole"""
+
+_HOT_P = f"""
+hot AS (SELECT * REPLACE (CASE WHEN symbol < 'J' THEN 'HOT' ELSE symbol END AS symbol) FROM flow_p),
+hot_p AS (SELECT * REPLACE ({lex_bucket_sql('symbol', 3)} AS "partition") FROM hot)"""
+HOT_EXECUTIONS = (f"WITH RECURSIVE {FLOW}, {FLOW_P}, {_HOT_P}, {SEQD.replace('flow_p', 'hot_p')}, {match_cte('seqd')}\n" + _EXEC_ROWS)
+
+ALL_EXECUTIONS = EXECUTIONS
+ALL_RESTING = RESTING
+
+# Everything that a run over the log with a redelivered slice refuses.
+DUPLICATE_OFFSETS = f"""WITH {FLOW}, {FLOW_P},
+twice AS (SELECT *, 1 AS copy FROM ing UNION ALL
+          SELECT *, 2 FROM ing WHERE "offset" * 4 > (SELECT max("offset") FROM ing) AND "offset" * 2 <= (SELECT max("offset") FROM ing)),
+judged AS (SELECT *, CASE WHEN reason IS NOT NULL THEN reason WHEN copy = 2 THEN 'duplicate_offset'
+                          WHEN side NOT IN (0, 1) THEN 'unknown_side' END AS verdict FROM twice)
+SELECT CASE WHEN reason IS NOT NULL THEN 'ingest' ELSE 'engine' END AS stage, verdict AS reason, {lex_bucket_sql('nsym', 3)} AS "partition",
+       "offset", md5('events|' || CAST("offset" AS VARCHAR)) AS raw
+FROM judged WHERE verdict IS NOT NULL"""
+
+OFFSET_GAPS = f"""WITH {FLOW}, {FLOW_P},
+ahead AS (SELECT "offset", lead("offset") OVER (ORDER BY "offset") AS following FROM flow_p)
+SELECT 0 AS "partition", "offset" + 1 AS first_missing, following - 1 AS last_missing FROM ahead WHERE following > "offset" + 1"""
+
+INGEST_STREAM = f"""
+SELECT "partition", "offset", request_id, received_at, symbol, side, price, size, NULL AS stage, NULL AS reason, NULL AS raw FROM ({INGEST_ACCEPTED})
+UNION ALL
+SELECT "partition", "offset", NULL, NULL, NULL, NULL, NULL, NULL, stage, reason, raw FROM ({INGEST_REJECTS})"""
+
+# The state of a book before the first order of a later six-hour interval.
+INTERVAL_SNAPSHOTS = f"""WITH {FLOW}, {FLOW_P}, {SEQD},
+timed AS (SELECT *, epoch_us(received_at) // 21600000000 AS this FROM seqd),
+topped AS (SELECT *, max(this) OVER (PARTITION BY symbol ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top,
+                  lag("offset") OVER own AS before, lag("partition") OVER own AS part FROM timed
+           WINDOW own AS (PARTITION BY symbol ORDER BY seq))
+SELECT make_timestamp((top + 1) * 21600000000) AS created_at, symbol, part AS trades_partition, before AS last_offset, seq - 1 AS orderbook_seq
+FROM topped WHERE this > top"""
+
+
+
+def hash_bucket_sql(key: str, n: int) -> str:
+    """32-bit FNV-1a of the key's bytes as a signed number, its remainder without the sign."""
+    data = f"hex(encode({key}))"
+    codes = f"list_transform(range(0, length({data}) // 2), lambda i: CAST('0x' || substr({data}, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))"
+    hashed = f"list_reduce(list_prepend(CAST(2166136261 AS BIGINT), {codes}), lambda h, b: (xor(h, b) * 16777619) & 4294967295)"
+    return f"CAST(abs((CASE WHEN {hashed} >= 2147483648 THEN {hashed} - 4294967296 ELSE {hashed} END) % {n}) AS INTEGER)"
+
+
+HASH_PARTITION = f"""WITH {FLOW}, {FLOW_P}
+SELECT CASE WHEN "offset" % 7 <> 0 THEN symbol END AS key, request_id,
+       {hash_bucket_sql('CASE WHEN "offset" % 7 <> 0 THEN symbol ELSE request_id END', 8)} AS "partition" FROM flow_p"""
+
+PUBLISHED = f"""
+SELECT symbol AS key, {hash_bucket_sql('symbol', 8)} AS "partition",
+       '{{"symbol":"' || symbol || '","price":"' || CAST(price AS VARCHAR) || '","size":"' || CAST(size AS VARCHAR) || '","bid_request_id":"'
+       || bid_request_id || '","ask_request_id":"' || ask_request_id || '","executed_at":"' || strftime(executed_at, '%Y-%m-%dT%H:%M:%S.%fZ')
+       || '","execution_id":"' || execution_id || '"}}' AS value
+FROM ({EXECUTIONS})"""
+
+# The same matching in 128-bit numbers; 0 stays 0, so the front end refuses the same rows.
+_WIDE_P = """
+wide_p AS (SELECT * REPLACE (CAST(price AS HUGEINT) + 9223372036749775808 AS price, CAST(size AS HUGEINT) + 9223372036854775803 AS size) FROM flow_p)"""
+WIDE_VALUES = (f"WITH RECURSIVE {FLOW}, {FLOW_P}, {_WIDE_P}, {SEQD.replace('flow_p', 'wide_p')}, "
+               + match_cte("seqd").replace("k BIGINT", "k HUGEINT").replace("q BIGINT", "q HUGEINT").replace("price BIGINT", "price HUGEINT")
+               + f""", ex AS ({_EXEC_ROWS})
+SELECT execution_id, symbol, CAST(price AS VARCHAR) AS price, CAST(size AS VARCHAR) AS size, executed_at,
+       CASE WHEN price > 9223372036854775807 OR size > 9223372036854775807 THEN 'out_of_range' END AS reason FROM ex""")
 
 REQUEST_LOG = f"WITH {FLOW}, {FLOW_P}\nSELECT * FROM flow_p"
 SYMBOL_SNAPSHOTS = f"SELECT * FROM ({LATEST_SNAPSHOTS}) WHERE symbol = 'AAA'"
 
+# A run of steps in which an order rests with one size (the steps hold whole books; the engine writes changes only).
+ORDER_LIFETIMES = with_match("""
+SELECT symbol, side, id, price, seq, size, min(bseq) AS from_seq,
+       CASE WHEN max(bseq) = any_value(last_seq) THEN NULL ELSE max(bseq) + 1 END AS to_seq
+FROM rested JOIN ends USING (symbol) GROUP BY symbol, side, id, price, seq, size""", """
+rested AS (
+  SELECT symbol, seq AS bseq, 'BUY' AS side, b.id AS id, -b.k AS price, b.s AS seq, b.q AS size FROM (SELECT symbol, seq, unnest(bids) AS b FROM steps)
+  UNION ALL
+  SELECT symbol, seq, 'SELL', a.id, a.k, a.s, a.q FROM (SELECT symbol, seq, unnest(asks) AS a FROM steps)
+),
+ends AS (SELECT symbol, max(seq) AS last_seq FROM steps GROUP BY symbol)""")
+
 ORACLE = {
+    "published_executions": PUBLISHED,
+    "hash_partition": HASH_PARTITION,
+    "wide_values": WIDE_VALUES,
+    "duplicate_offsets": DUPLICATE_OFFSETS,
+    "duplicate_offsets_stream": DUPLICATE_OFFSETS,
+    "offset_gaps": OFFSET_GAPS,
+    "ingest_stream": INGEST_STREAM,
+    "persist_stream": EXECUTIONS,
+    "compacted_snapshots": LATEST_SNAPSHOTS,
+    "interval_snapshots": INTERVAL_SNAPSHOTS,
+    "decode_bad_values": DECODE_BAD_VALUES,
+    "order_lifetimes": ORDER_LIFETIMES,
     "trades_two_runs": EXECUTIONS,
     "all_requests_executions": ALL_EXECUTIONS,
     "all_requests_resting": ALL_RESTING,

@@ -49,10 +49,12 @@ def _order_columns(events: DataFrame) -> DataFrame:
     )
 
 
-def order_flow(events: DataFrame) -> DataFrame:
-    """Valid-only order flow: one request row per non-error event (REQUEST schema)."""
-    o = _order_columns(events.filter(F.col("event_type") != "error"))
-    return o.withColumn("partition", lex_bucket("symbol", REQUEST_PARTITIONS)).select(*REQUEST_COLUMNS)
+def order_flow(events: DataFrame, keep_type: bool = False) -> DataFrame:
+    """Valid-only order flow: one request row per non-error event (REQUEST schema); with ``keep_type`` every event,
+    and its type."""
+    o = _order_columns(events if keep_type else events.filter(F.col("event_type") != "error"))
+    columns = REQUEST_COLUMNS + (["event_type"] if keep_type else [])
+    return o.withColumn("partition", lex_bucket("symbol", REQUEST_PARTITIONS)).select(*columns)
 
 
 def dirty_requests(events: DataFrame, keep_type: bool = False) -> DataFrame:
@@ -79,11 +81,12 @@ def dirty_requests(events: DataFrame, keep_type: bool = False) -> DataFrame:
     )
 
 
-# Fixed value: the one symbol of the hot-symbol view.
+# Fixed values of the skewed view: symbols before this letter (about a third of all) trade as one.
+HOT_BEFORE = "J"
 HOT_SYMBOL = "HOT"
 
 
-def hot_flow(events: DataFrame) -> DataFrame:
-    """The valid-only order flow with every order on one symbol (worst-case skew)."""
-    o = _order_columns(events.filter(F.col("event_type") != "error")).withColumn("symbol", F.lit(HOT_SYMBOL))
-    return o.withColumn("partition", lex_bucket("symbol", REQUEST_PARTITIONS)).select(*REQUEST_COLUMNS)
+def hot_flow(requests: DataFrame) -> DataFrame:
+    """The request flow with about a third of its rows on one symbol (skew); other symbols are as they were."""
+    hot = requests.withColumn("symbol", F.when(F.col("symbol") < HOT_BEFORE, F.lit(HOT_SYMBOL)).otherwise(F.col("symbol")))
+    return hot.withColumn("partition", lex_bucket("symbol", REQUEST_PARTITIONS)).select(*requests.columns)

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import EXECUTION, MAX_BIGINT, SNAPSHOT
+from ..functions.unsigned import WIDE, whole
+from ..schemas import EXECUTION, MAX_BIGINT, MAX_UNSIGNED, SNAPSHOT
 from .requests import CORRUPT, bad_fields, decode_json, side_code
 
 EVENT_JSON = T.StructType([
@@ -38,35 +39,42 @@ def _reader(spark: SparkSession, servers: str, topic: str, stream: bool, **optio
     return r.load()
 
 
-def request_log(spark: SparkSession, servers: str, topic: str, stream: bool = True, **options) -> DataFrame:
+def request_log(spark: SparkSession, servers: str, topic: str, stream: bool = True, wide: bool = False, **options) -> DataFrame:
     """Trade requests from oldest offset, keeping partition and offset (see ``decode_request_records``)."""
-    return decode_request_records(_reader(spark, servers, topic, stream, **options))
+    return decode_request_records(_reader(spark, servers, topic, stream, **options), wide)
 
 
-def decode_request_records(raw: DataFrame) -> DataFrame:
+def decode_request_records(raw: DataFrame, wide: bool = False) -> DataFrame:
     """Log records ``(partition, offset, value)`` holding proto-JSON TradeEvents -> request rows.
 
     REQUEST columns plus ``reject_stage`` / ``reject_reason``: undecodable
-    records and 64-bit values above the BIGINT range are refused here and ride
-    the matcher's reject lane.
+    records (a bad time too) and values beyond unsigned 64 bits are refused here and ride
+    the matcher's reject lane; such a row keeps the record's text in place of its request id.
+    ``wide`` gives prices and sizes as ``decimal(20,0)``, all unsigned 64-bit values; without it they
+    are bigints and values above that range are refused.
     """
     j = F.from_json(F.col("value").cast("string"), EVENT_JSON,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     side = F.col("j.trade.side")
     price = F.col("j.trade.price").try_cast("decimal(20,0)")
     size = F.col("j.trade.size").try_cast("decimal(20,0)")
+    at = F.col("j.received_at").try_cast("timestamp")
     undecodable = (F.col("j").isNull() | F.col(f"j.{CORRUPT}").isNotNull()
-                   | bad_fields(side, F.col("j.trade.price"), F.col("j.trade.size")))
-    too_big = (price > MAX_BIGINT) | (size > MAX_BIGINT)
-    return raw.select("partition", "offset", j.alias("j")).select(
+                   | bad_fields(side, F.col("j.trade.price"), F.col("j.trade.size"))
+                   | (F.col("j.received_at").isNotNull() & at.isNull()))
+    most = whole(MAX_UNSIGNED if wide else MAX_BIGINT)
+    too_big = F.coalesce((price > most) | (size > most), F.lit(False))
+    number = WIDE if wide else "long"
+    text = F.col("value").cast("string")
+    return raw.select("partition", "offset", "value", j.alias("j")).select(
         F.col("partition").cast("int"), "offset",
-        F.coalesce(F.col("j.request_id"), F.lit("")).alias("request_id"),
-        F.to_timestamp(F.col("j.received_at")).cast("timestamp_ntz").alias("received_at"),
+        F.when(undecodable | too_big, text).otherwise(F.coalesce(F.col("j.request_id"), F.lit(""))).alias("request_id"),
+        at.cast("timestamp_ntz").alias("received_at"),
         F.when(F.col("j.trade.instrument").isNotNull(),
                F.coalesce(F.col("j.trade.instrument.symbol"), F.lit(""))).alias("symbol"),
         F.coalesce(side_code(side), F.lit(0)).alias("side"),
-        F.when(price <= MAX_BIGINT, price.cast("long")).alias("price"),
-        F.when(size <= MAX_BIGINT, size.cast("long")).alias("size"),
+        F.when(price <= most, price.cast(number)).alias("price"),
+        F.when(size <= most, size.cast(number)).alias("size"),
         F.when(undecodable | too_big, F.lit("decode")).alias("reject_stage"),
         F.when(undecodable, F.lit("undecodable")).when(too_big, F.lit("out_of_range")).alias("reject_reason"),
     )

@@ -1,17 +1,15 @@
 """Keyed stateful matching for Structured Streaming (``transformWithStateInPandas``).
 
 State per symbol (RocksDB state store):
-  * ``meta``   value state: book seq, last offset, partition, orders since the
-               last snapshot, and whether the book changed since the last one;
-  * ``orders`` list state: the resting orders (side, price, seq, id, size).
-
-Each micro-batch loads the book once (one list read), replays the key's rows
-in (partition, offset) order through the shared ``Book`` logic, and writes
-the book back with one ``put`` if it changed. Matching needs the whole book
-in memory anyway, so one bulk read and one bulk write per touched symbol
-beat one state-server round trip per order. Offsets at or below the stored
-last offset are redeliveries and are skipped, which also makes
-restore-then-replay safe.
+  * ``meta``   value state: book seq, last offset, partition, orders since the last snapshot, receive-time interval,
+               whether the book changed since the last snapshot, and the prices of its levels;
+  * ``levels`` map state: (side, price) -> the orders that rest at that price, in arrival order.
+
+A micro-batch replays the key's rows in (partition, offset) order through the shared ``Book``. A level is read when an
+order reaches its price, and only levels that changed are written back, so what a micro-batch reads and writes follows
+the levels its orders touch, not the depth of the book. Snapshots are headers (the order log holds their orders), so they
+don't read the book either. Offsets at or below the stored last offset are redeliveries: they come back as refused rows,
+which also makes restore-then-replay safe.
 """
 
 from __future__ import annotations
@@ -21,7 +19,8 @@ from typing import Iterator
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.matching import PHASE_BOOK, Book, TaggedRows, _micros, apply_requests
+from ..functions.unsigned import signed, unsigned
+from ..operators.matching import PHASE_BOOK, Book, Cadence, TaggedRows, _micros, apply_requests, unsigned_values
 from ..schemas import SIDE_BUY, SIDE_SELL
 
 # Grouping key is (lane, key): lane 0 carries refused rows, spread over
@@ -30,45 +29,57 @@ from ..schemas import SIDE_BUY, SIDE_SELL
 LANE_REFUSED, LANE_BOOK = 0, 1
 REJECT_KEYS = 1024
 
-META_SCHEMA = "seq long, last_offset long, partition int, since_snapshot int, changed boolean, resting long"
-ORDER_SCHEMA = "side int, price long, seq long, id string, size long"
+META_SCHEMA = ("seq long, last_offset long, partition int, since_snapshot int, interval_no long, changed boolean, "
+               "bids array<long>, asks array<long>")
+LEVEL_KEY = "side int, price long"
+LEVEL_SCHEMA = "seqs array<long>, ids array<string>, sizes array<long>"
+
+
+def _int(x):
+    return None if x is None or pd.isna(x) else int(x)
 
 
 class BookProcessor(StatefulProcessor):
-    def __init__(self, snapshot_every: int = 0, snapshot_interval_ms: int = 0):
-        self.snapshot_every = int(snapshot_every or 0)
+    def __init__(self, cadence: Cadence | None = None, snapshot_interval_ms: int = 0):
+        self.cadence = cadence or Cadence()
         self.snapshot_interval_ms = int(snapshot_interval_ms or 0)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.meta = handle.getValueState("meta", META_SCHEMA)
-        self.orders = handle.getListState("orders", ORDER_SCHEMA)
+        self.levels = handle.getMapState("levels", LEVEL_KEY, LEVEL_SCHEMA)
 
     # -- state <-> book -------------------------------------------------------
-    def _load(self, symbol: str) -> tuple[Book, int, bool]:
-        """The stored book, its seq at load time (to detect change), and the changed-since-snapshot flag."""
-        book = Book(symbol)
-        changed = False
+    def _fetch(self, side: int, price: int) -> list:
+        seqs, ids, sizes = self.levels.getValue((side, signed(price)))
+        return [[int(s), i, unsigned(int(q))] for s, i, q in zip(seqs, ids, sizes)]
+
+    def _load(self, symbol: str) -> tuple[Book, bool]:
+        """The stored book, whose levels are fetched when they are reached, and the changed-since-snapshot flag."""
+        book = Book(symbol, fetch=self._fetch)
         meta = self.meta.get()
-        if meta is not None:
-            seq, last_offset, partition, since, changed, resting = meta
-            book.seq, book.last_offset, book.partition = int(seq), int(last_offset), partition
-            book.since_snapshot = int(since or 0)
-            if resting:
-                for side, price, seq_, oid, size in self.orders.get():
-                    book.rest(int(side), oid, int(price), int(size), int(seq_))
-        return book, book.seq, bool(changed)
-
-    def _store(self, book: Book, loaded_seq: int, changed: bool) -> None:
-        if book.seq != loaded_seq:
-            orders = [(SIDE_BUY, -k, seq, oid, size) for k, seq, oid, size in book.bids]
-            orders += [(SIDE_SELL, k, seq, oid, size) for k, seq, oid, size in book.asks]
-            if orders:
-                self.orders.put(orders)
-            elif loaded_seq:
-                self.orders.clear()
-        self.meta.update((book.seq, book.last_offset, book.partition, book.since_snapshot, changed,
-                          len(book.bids) + len(book.asks)))
+        if meta is None:
+            return book, False
+        seq, last_offset, partition, since, interval, changed, bids, asks = meta
+        book.seq, book.last_offset, book.partition = int(seq), int(last_offset), _int(partition)
+        book.since_snapshot, book.interval = int(since or 0), _int(interval)
+        book.add_prices(SIDE_BUY, [unsigned(int(p)) for p in bids])
+        book.add_prices(SIDE_SELL, [unsigned(int(p)) for p in asks])
+        return book, bool(changed)
+
+    def _store_meta(self, book: Book, changed: bool) -> None:
+        self.meta.update((book.seq, book.last_offset, book.partition, book.since_snapshot, book.interval, changed,
+                          *([signed(p) for p in sorted(book.prices[side])] for side in (SIDE_BUY, SIDE_SELL))))
+
+    def _store(self, book: Book, had: tuple[set, set], changed: bool) -> None:
+        """Write the levels that changed; ``had``: the prices that state holds."""
+        for side, price in sorted(book.touched):
+            if price in book.prices[side]:
+                seqs, ids, sizes = (list(x) for x in zip(*book.levels[side][price]))
+                self.levels.updateValue((side, signed(price)), (seqs, ids, [signed(q) for q in sizes]))
+            elif price in had[side]:
+                self.levels.removeKey((side, signed(price)))
+        self._store_meta(book, changed)
 
     # -- callbacks ------------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -77,20 +88,21 @@ class BookProcessor(StatefulProcessor):
         if lane == LANE_REFUSED:
             out = TaggedRows()
             for r in pdf.itertuples(index=False):
-                out.reject(r.symbol, None if pd.isna(r.partition) else int(r.partition), int(r.offset), None,
-                           r.request_id, r.reject_reason, r.reject_stage)
+                out.reject(r.symbol, _int(r.partition), int(r.offset), None, r.request_id, r.reject_reason, r.reject_stage)
             yield out.frame()
             return
         pdf = pdf.sort_values(["partition", "offset"], kind="stable")
-        book, loaded_seq, _changed = self._load(symbol)
+        book, changed = self._load(symbol)
+        seen, had = book.last_offset, tuple(set(p) for p in book.prices)
         out = TaggedRows()
         apply_requests(book, out, zip(pdf["partition"].astype("int64").tolist(),
                                       pdf["offset"].astype("int64").tolist(), pdf["request_id"].tolist(),
                                       _micros(pdf["received_at"]), pdf["side"].astype("int64").tolist(),
-                                      pdf["price"].astype("int64").tolist(), pdf["size"].astype("int64").tolist()),
-                       self.snapshot_every)
-        changed = book.since_snapshot > 0 or not self.snapshot_every
-        self._store(book, loaded_seq, changed)
+                                      *(unsigned_values(pdf[c].astype("int64").tolist()) for c in ("price", "size"))),
+                       self.cadence)
+        if book.last_offset != seen:
+            changed = book.since_snapshot > 0 or not self.cadence.every
+            self._store(book, had, changed)
         if self.snapshot_interval_ms > 0 and changed and next(iter(self.handle.listTimers()), None) is None:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.snapshot_interval_ms)
         if len(out):
@@ -98,27 +110,24 @@ class BookProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Interval snapshot: emitted only if the book changed since the last snapshot."""
-        book, loaded_seq, changed = self._load(key[1])
+        book, changed = self._load(key[1])
         if changed:
             out = TaggedRows()
             out.snapshot(book, int(timerValues.getCurrentProcessingTimeInMs()) * 1000)
             book.since_snapshot = 0
-            self._store(book, loaded_seq, False)
+            self._store_meta(book, False)
             yield out.frame()
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         """Rebuild the book from restore rows (header phase 0, resting orders phase 1)."""
-        orders, head = [], None
-        for row in initialState.itertuples(index=False):
+        book = Book(key[1])
+        for row in initialState.sort_values("seq", kind="stable").itertuples(index=False):
             if int(row.phase) == PHASE_BOOK:
-                since = 0 if pd.isna(row.size) else int(row.size)
-                head = (int(row.seq), int(row.offset), None if pd.isna(row.partition) else int(row.partition), since)
+                book.seq, book.last_offset, book.partition = int(row.seq), int(row.offset), _int(row.partition)
+                book.since_snapshot, book.interval = _int(row.size) or 0, _int(row.price)
             else:
-                orders.append((int(row.side), int(row.price), int(row.seq), row.request_id, int(row.size)))
-        if head is not None:
-            self.meta.update(head + (False, len(orders)))
-        if orders:
-            self.orders.put(orders)
+                book.rest(int(row.side), row.request_id, unsigned(int(row.price)), unsigned(int(row.size)), int(row.seq))
+        self._store(book, (set(), set()), False)
 
     def close(self) -> None:
         pass

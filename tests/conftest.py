@@ -12,7 +12,7 @@ sys.path.insert(0, ROOT)
 def spark():
     from matchbook.session import build_session, checkpoint_dir
 
-    s = build_session("local[4]", shuffle_partitions=8, app="matchbook-tests")
+    s = build_session("local[4]", shuffle_partitions=4, app="matchbook-tests")
     checkpoint_dir(s)
     yield s
     s.stop()

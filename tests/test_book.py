@@ -3,7 +3,7 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from matchbook.operators.matching import Book, TaggedRows, apply_requests
+from matchbook.operators.matching import Book, Cadence, TaggedRows, apply_requests
 from matchbook.schemas import TAGGED_COLUMNS
 
 C = {name: i for i, name in enumerate(TAGGED_COLUMNS)}
@@ -70,8 +70,55 @@ def test_snapshot_every_n_orders():
     books, out = run(BASIC, snapshot_every=5)
     snaps = [r for r in out if r[0] == "snapshot"]
     assert [(r[C["symbol"]], r[C["seq"]]) for r in snaps] == [("GOOG", 5), ("AAPL", 5), ("MSFT", 5)]
-    goog = snaps[0]
-    assert [(o["price"], o["size"], o["seq"]) for o in goog[C["bids"]]] == [(100, 2, 4)]
+    state = {}
+    for r in out:  # the order log tells what rests in the book
+        if r[0] == "step" and r[C["symbol"]] == "GOOG" and r[C["book_seq"]] <= 5:
+            state[r[C["seq"]]] = (r[C["side"]], r[C["price"]], r[C["size"]])
+    assert {k: v for k, v in state.items() if v[2]} == {4: ("BUY", 100, 2), 2: ("SELL", 101, 5)}
+
+
+def test_interval_snapshots_close_with_a_later_order():
+    out, b = TaggedRows(), Book("S")
+    cadence = Cadence(interval_us=10_000_000)
+    times = [3, 9, 12, 11, 35, None, 36]  # seconds; an earlier time closes nothing, a missing one neither
+    for i, t in enumerate(times):
+        apply_requests(b, out, [(0, i, str(i), None if t is None else t * 1_000_000, SELL, 100 + i, 1)], cadence)
+    got = [(r[C["at"]] // 1_000_000, r[C["seq"]], r[C["offset"]]) for r in out.rows if r[0] == "snapshot"]
+    assert got == [(10, 2, 1), (20, 4, 3)]
+
+
+def test_redeliveries_come_back_as_refused_rows():
+    out, b = TaggedRows(), Book("S")
+    rows_ = [(0, 1, "a", 0, SELL, 100, 5), (0, 1, "a", 0, SELL, 100, 5), (0, 2, "b", 0, BUY, 100, 2), (0, 1, "a", 0, SELL, 100, 5)]
+    apply_requests(b, out, rows_, 0)
+    assert [(r[C["offset"]], r[C["reason"]]) for r in out.rows if r[0] == "reject"] == [(1, "duplicate_offset")] * 2
+    assert book_state(b) == ([], [(100, 3, 1)], 2)
+
+
+def test_levels_are_fetched_when_reached():
+    asked = []
+
+    def fetch(side, price):
+        asked.append((side, price))
+        return [[1, "old", 4]]
+
+    b = Book("S", seq=1, fetch=fetch)
+    b.add_prices(SELL, [105, 100, 110])
+    b.submit(BUY, 99, 1, "x", [])
+    assert asked == [] and b.touched == {(BUY, 99)}
+    fills = []
+    b.submit(BUY, 105, 6, "y", fills)
+    assert fills == [(100, 4, "y", "old"), (105, 2, "y", "old")] and asked == [(SELL, 100), (SELL, 105)]
+    assert b.prices[SELL] == {105, 110} and (SELL, 110) not in b.touched
+
+
+def test_values_above_2_63_match_and_wrap():
+    top = 2**64 - 1
+    out, b = TaggedRows(), Book("S")
+    apply_requests(b, out, [(0, 1, "a", 0, SELL, 2**63 + 5, top), (0, 2, "b", 0, BUY, top, 7)], 0)
+    t = out.record_batch().to_pylist()
+    assert [(r["price"] & top, r["size"]) for r in t] == [(2**63 + 5, 7)] and t[0]["price"] < 0
+    assert b.side_orders(SELL)[0]["size"] == top - 7
 
 
 order = st.tuples(st.sampled_from([BUY, SELL]), st.integers(95, 105), st.integers(1, 20))

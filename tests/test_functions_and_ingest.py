@@ -61,10 +61,11 @@ def test_front_end_validation_cases(spark):
     ])
     acc, rej = ingest(raw)
     assert {r.offset: r.reason for r in rej.collect()} == {
-        0: "missing_instrument", 1: "empty_symbol", 2: "size", 3: "price", 7: "out_of_range"}
+        0: "missing_instrument", 1: "empty_symbol", 2: "size", 3: "price"}
     acc = {r.offset: r for r in acc.collect()}
     assert acc[4].symbol == "GOOG" and acc[5].side == 0 and acc[6].side == 7
-    assert len({r.request_id for r in acc.values()}) == 3 and all(len(r.request_id) == 32 for r in acc.values())
+    assert int(acc[7].price) == 2**64 - 1
+    assert len({r.request_id for r in acc.values()}) == 4 and all(len(r.request_id) == 32 for r in acc.values())
 
 
 def test_engine_validation_keeps_raw_blank_symbol(spark):

@@ -6,10 +6,10 @@ import os
 from pyspark.sql import functions as F
 
 from matchbook.functions.render import execution_json
-from matchbook.operators import book, snapshots
+from matchbook.operators import book
 from matchbook.operators.routing import encode_messages, route_requests, write_request_log
 from matchbook.schemas import EXECUTION, REQUEST
-from matchbook.sources.requests import decode_json, read_snapshot_log
+from matchbook.sources.requests import decode_json, read_submit_json
 from scenarios import BASIC, rows
 
 
@@ -49,14 +49,6 @@ def test_decode_executions_quarantines_bad_rows(spark):
     assert [(r.offset, r.reason) for r in bad.collect()] == [(2, "undecodable")]
 
 
-def test_compact_snapshots_keeps_latest_per_symbol(spark, scratch):
-    log = book.snapshots(book.match_batch(spark.createDataFrame(rows(BASIC), REQUEST), snapshot_every=2))
-    path = os.path.join(scratch, "compacted")
-    snapshots.compact_snapshots(log, path)
-    got = {r.symbol: r.orderbook_seq for r in read_snapshot_log(spark, path).collect()}
-    assert got == {"GOOG": 4, "AAPL": 4, "MSFT": 4}
-
-
 def test_decode_snapshots_skips_bad_rows(spark):
     from matchbook.schemas import SNAPSHOT
 
@@ -93,6 +85,7 @@ def test_decode_request_records(spark):
         (0, 2, ev % ("BUY", "100", "4", 2, 2)),
         (0, 3, '{"trade":'),
         (0, 4, ev % ("BUY", "18446744073709551615", "1", 4, 4)),
+        (0, 5, (ev % ("BUY", "100", "1", 5, 5)).replace("2024-01-01T00:00:05Z", "noon")),
     ], "partition int, offset long, value string")
     rows = {r.offset: r for r in decode_request_records(raw).collect()}
     assert (rows[1].side, rows[1].price, rows[1].size, rows[2].side) == (0, 100, 10, 1)
@@ -100,7 +93,11 @@ def test_decode_request_records(spark):
     tagged = book_ops.match_batch(decode_request_records(raw))
     assert [(r.price, r.size) for r in book_ops.executions(tagged).collect()] == [(100, 4)]
     assert {(r.offset, r.stage, r.reason) for r in book_ops.engine_rejects(tagged).collect()} == {
-        (3, "decode", "undecodable"), (4, "decode", "out_of_range")}
+        (3, "decode", "undecodable"), (4, "decode", "out_of_range"), (5, "decode", "undecodable")}
+    kept = {r.offset: r.raw for r in book_ops.engine_rejects(tagged).collect()}
+    assert kept[3] == '{"trade":' and "noon" in kept[5]
+    wide = {r.offset: r for r in decode_request_records(raw, wide=True).collect()}
+    assert wide[4].reject_reason is None and int(wide[4].price) == 2**64 - 1
 
 
 def test_bad_execution_values_are_undecodable(spark):
@@ -120,3 +117,41 @@ def test_request_log_batches_are_idempotent(spark, scratch):
     for batch in (0, 0, 1):
         write_request_log(flow, path, 3, batch_id=batch, width=4)
     assert spark.read.parquet(path).groupBy("batch_id").count().orderBy("batch_id").collect() == [(0, 15), (1, 15)]
+
+
+def test_line_numbers_do_not_depend_on_splits(spark, scratch):
+    """The same positions and ids for one split and for many, over several files of uneven lines."""
+    folder = os.path.join(scratch, "lines")
+    os.makedirs(folder)
+    for name, n in (("a", 300), ("b", 1), ("c", 77)):
+        with open(os.path.join(folder, name), "w") as f:
+            f.writelines(f"{name}-{i} {'x' * (i * 37 % 400)}\n" for i in range(n))
+    seen = []
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("128m", "3000b", "700b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            rows_ = read_submit_json(spark, folder).collect()
+            assert all(r.value.split()[0] == f"{os.path.basename(r.source)}-{r.offset}" for r in rows_)
+            seen.append({(r.source, r.offset) for r in rows_})
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(seen[0]) == 378 and seen[0] == seen[1] == seen[2]
+
+
+def test_hash_bucket_is_fnv(spark):
+    from matchbook.functions.symbols import hash_bucket
+
+    def fnv(key, n):
+        h = 2166136261
+        for b in key.encode():
+            h = (h ^ b) * 16777619 % 2**32
+        h -= 2**32 if h >= 2**31 else 0
+        return abs(int(__import__("math").fmod(h, n)))
+
+    keys = ["", "A", "GOOG", "straße", "日本", "a" * 300]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    for n in (1, 3, 8, 50):
+        assert {r.k: r.p for r in df.select("k", hash_bucket("k", n).alias("p")).collect()} == {k: fnv(k, n) for k in keys}

@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from matchbook.operators import book, snapshots
+from matchbook.operators import book, lifetimes, snapshots
 from matchbook.operators.sequence import with_sequence
 from matchbook.schemas import REQUEST
 from matchbook.sources import order_flow, read_table
@@ -54,13 +54,17 @@ def test_recovery_restore_and_resume(spark):
     assert full == expected_executions(RECOVERY, RECOVERY_FILLS)
     first = book.match_batch(requests(spark, RECOVERY[:4]), snapshot_every=2)
     latest = snapshots.latest_snapshots(book.snapshots(first))
-    restored = snapshots.restore_rows(latest)
+    restored = snapshots.restore_rows(lifetimes.books_of_latest(latest, lifetimes.order_log(first)))
     after = [f for f in RECOVERY_FILLS if f[0] >= 5]
     resumed = book.match_batch(requests(spark, RECOVERY[4:], first=5), restored=restored).cache()
     assert exec_tuples(resumed) == expected_executions(RECOVERY, after)
     assert books_of(resumed) == RECOVERY_BOOKS
-    replayed = book.match_batch(requests(spark, RECOVERY), restored=restored)
+    replayed = book.match_batch(requests(spark, RECOVERY), restored=restored).cache()
     assert exec_tuples(replayed) == expected_executions(RECOVERY, after)
+    assert sorted(r.offset for r in book.engine_rejects(replayed).filter("reason = 'duplicate_offset'").collect()) == [1, 2, 3, 4]
+    new = snapshots.after_snapshot(requests(spark, RECOVERY), latest)
+    assert sorted(r.offset for r in new.collect()) == list(range(5, 15))
+    assert exec_tuples(book.match_batch(new, restored=restored)) == expected_executions(RECOVERY, after)
 
 
 def test_unknown_side_and_engine_rejects(spark):
@@ -102,8 +106,8 @@ def test_epochs_equal_one_pass(spark, scratch):
 
     flow = order_flow(read_table(spark, "/root/testdata/sf0.001", "events"))
     one = book.match_batch(flow, snapshot_every=10)
-    split = match_in_epochs(flow, scratch + "/epochs", epochs=5, snapshot_every=10)
-    for f in (book.executions, book.resting_orders, book.snapshots, book.book_headers):
+    split = match_in_epochs(flow, scratch + "/epochs", width=200, snapshot_every=10)
+    for f in (book.executions, book.resting_orders, book.snapshots, lifetimes.order_log, book.book_headers):
         a, b = f(one), f(split)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, f.__name__
 
@@ -134,12 +138,57 @@ def test_epochs_resume_after_committed_epochs(spark, scratch, monkeypatch):
 
     monkeypatch.setattr(epochs.book_ops, "match_batch", dies_on_fourth)
     try:
-        epochs.match_in_epochs(flow, out, epochs=4)
+        epochs.match_in_epochs(flow, out, width=250)
     except RuntimeError:
         pass
     monkeypatch.setattr(epochs.book_ops, "match_batch", real)
     resumed_calls = []
     monkeypatch.setattr(epochs.book_ops, "match_batch", lambda *a, **k: resumed_calls.append(1) or real(*a, **k))
-    again = sorted(map(tuple, book.executions(epochs.match_in_epochs(flow, out, epochs=4)).collect()))
+    again = sorted(map(tuple, book.executions(epochs.match_in_epochs(flow, out, width=250)).collect()))
     assert again == full
     assert len(resumed_calls) == 1  # only the epoch that never committed ran again
+
+
+def test_order_log_gives_back_every_book(spark):
+    """The books that the log tells, at every sequence number, against a book run one order at a time; one row for
+    each change of an order."""
+    from matchbook.operators.matching import Book
+
+    flow = order_flow(read_table(spark, "/root/testdata/sf0.001", "events"))
+    tagged = book.match_batch(flow, snapshot_every=1).cache()
+    log, heads = lifetimes.order_log(tagged).cache(), book.snapshots(tagged)
+    want, books, changes = set(), {}, 0
+    for r in flow.orderBy("partition", "offset").collect():
+        b = books.setdefault(r.symbol, Book(r.symbol))
+        steps = []
+        b.submit(r.side, r.price, r.size, r.request_id, [], steps)
+        changes += len(steps)
+        rows_ = [(r.symbol, b.seq, name, o["id"], o["price"], o["size"], o["seq"]) for side, name in ((1, "BUY"), (0, "SELL")) for o in b.side_orders(side)]
+        want |= set(rows_ or [(r.symbol, b.seq, None, None, None, None, None)])
+    columns = ["symbol", "orderbook_seq", "side", "id", "price", "size", "seq"]
+    for width in (1024, 3):
+        got = [tuple(r) for r in lifetimes.books_at(heads, log, width).select(*columns).collect()]
+        assert len(got) == len(want) and set(got) == want
+    assert log.count() == changes
+    # a repeated log (a replay) tells the same
+    twice = [tuple(r) for r in lifetimes.books_at(heads, log.unionByName(log)).select(*columns).collect()]
+    assert len(twice) == len(want) and set(twice) == want
+    latest = snapshots.latest_snapshots(heads)
+    got = {tuple(r) for r in lifetimes.books_of_latest(latest, log).select(*columns).collect()}
+    assert got == {w for w in want if w[1] == books[w[0]].seq}
+
+
+def test_snapshot_messages_in_priority_order(spark):
+    tagged = book.match_batch(requests(spark, BASIC), snapshot_every=5)
+    sent = {r.symbol: r for r in snapshots.snapshot_messages(lifetimes.books_at(book.snapshots(tagged), lifetimes.order_log(tagged))).collect()}
+    assert [(o.price, o.size, o.seq) for o in sent["GOOG"].bids] == [(100, 2, 4)]
+    assert [(o.price, o.size, o.seq) for o in sent["MSFT"].asks] == [(302, 7, 2)]
+
+
+def test_offset_gaps_across_chunks(spark):
+    from matchbook.operators.sequence import offset_gaps
+
+    df = spark.createDataFrame([(0, o) for o in (1, 2, 2, 5, 9, 10, 30)] + [(1, 7), (1, 8)], "partition int, offset long")
+    for chunk in (1 << 20, 4):
+        got = sorted(tuple(r) for r in offset_gaps(df, chunk).collect())
+        assert got == [(0, 3, 4), (0, 6, 8), (0, 11, 29)]

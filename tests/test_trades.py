@@ -64,15 +64,72 @@ def test_recent_trades_null_placement(spark):
     assert trades.trade_count(tbl).first().trade_count == 4
 
 
-def test_ensure_table_reads_inserted_rows(spark, scratch):
+def batch_of(spark, ids, first=0):
+    return ex(spark, [("A", 1, i + 1, f"b{i}", f"a{i}", t(i % 60), f"b{i}-a{i}", 0, first + k, 0) for k, i in enumerate(ids)])
+
+
+def test_catalog_table_knows_each_batch(spark, scratch):
+    """The sink commits its partitions to the catalog: the table's count is the folder's after every batch."""
     path = os.path.join(scratch, "trades")
-    trades.insert_trades(spark, ex(spark, [("A", 1, 1, "b1", "a1", t(1), "b1-a1", 0, 1, 0)]), path, 0)
-    trades.ensure_trades_table(spark, path, "trades_t")
-    spark.sql("MSCK REPAIR TABLE trades_t")
-    assert spark.sql("SELECT count(*) AS n FROM trades_t").first().n == 1
+    for k, ids in enumerate((range(5), range(3, 9), range(3, 9), [])):
+        for _ in range(2):  # a replay of the batch
+            trades.insert_trades(spark, batch_of(spark, ids), path, k, run_id="r", table="trades_t")
+        assert spark.table("trades_t").count() == trades.read_trades(spark, path).count() == (5, 9, 9, 9)[k]
+    assert spark.sql("SHOW PARTITIONS trades_t").count() > 1
     spark.sql("DROP TABLE trades_t")
 
 
+def test_id_index_opens_only_batches_that_can_hold_an_id(spark, scratch):
+    path = os.path.join(scratch, "trades")
+    index = os.path.join(path, trades.ID_INDEX)
+    per = 40
+    for k in range(20):
+        new = batch_of(spark, range(k * per, (k + 1) * per))
+        if k:
+            rows = trades._with_bucket(new, trades.ID_BUCKETS)
+            assert trades.batches_that_may_hold(rows, spark.read.schema(trades.INDEX).parquet(index)).count() <= 1  # by chance
+        trades.insert_trades(spark, new, path, k, run_id=f"r{k % 2}")
+    old = trades._with_bucket(batch_of(spark, [3 * per + 1, 7 * per]), trades.ID_BUCKETS)
+    found = {(r.run_id, r.batch_id) for r in trades.batches_that_may_hold(old, spark.read.schema(trades.INDEX).parquet(index)).collect()}
+    assert found >= {("r1", 3), ("r1", 7)} and len(found) <= 3
+    trades.insert_trades(spark, batch_of(spark, range(20 * per + 5)), path, 99, run_id="again")
+    table = trades.read_trades(spark, path)
+    assert table.count() == table.select("execution_id").distinct().count() == 20 * per + 5
+
+
+def test_id_index_has_no_false_negative_on_many_pages(spark):
+    ids = spark.range(30000).selectExpr("concat('b', id, '-a', id) AS execution_id")
+    rows = trades._with_bucket(ids, 4)
+    index = trades.id_pages(rows, 4).withColumns({"run_id": F.lit("r"), "batch_id": F.lit(1).cast("long")}).cache()
+    assert index.select("id_bucket", "page").distinct().count() == 16
+    one = trades._with_bucket(ids.filter("execution_id like '%77'"), 4)
+    for r in one.limit(8).collect():
+        asked = one.filter(F.col("execution_id") == r.execution_id)
+        assert trades.batches_that_may_hold(asked, index).count() == 1
+    other = trades._with_bucket(spark.range(1000).selectExpr("concat('x', id) AS execution_id"), 4)
+    passed = sum(trades.batches_that_may_hold(other.filter(F.col("execution_id") == f"x{i}"), index).count() for i in range(0, 1000, 200))
+    assert passed <= 2
+
+
+def test_more_batches_than_a_filter_names(spark, scratch, monkeypatch):
+    monkeypatch.setattr(trades, "OPEN_AT_ONCE", 1)
+    path = os.path.join(scratch, "trades")
+    for k in range(3):
+        trades.insert_trades(spark, batch_of(spark, range(k * 4, k * 4 + 4)), path, k)
+    trades.insert_trades(spark, batch_of(spark, range(14)), path, 3)
+    assert sorted(r.execution_id for r in trades.read_trades(spark, path).collect()) == sorted(f"b{i}-a{i}" for i in range(14))
+
+
+def test_values_beyond_bigint_are_refused_by_the_table(spark, scratch):
+    rows = ex(spark, [("A", 1, 1, "b1", "a1", t(1), "b1-a1", 0, 1, 0), ("A", 2, 1, "b2", "a2", t(2), "b2-a2", 0, 2, 0)])
+    big = F.when(F.col("price") == 2, F.lit(str(2**63)).cast("decimal(20,0)")).otherwise(F.col("price").cast("decimal(20,0)"))
+    wide = rows.withColumn("price", big)
+    path = os.path.join(scratch, "trades")
+    trades.insert_trades(spark, wide, path, 0)
+    assert [(r.execution_id, r.price) for r in trades.read_trades(spark, path).collect()] == [("b1-a1", 1)]
+    assert [tuple(r) for r in trades.table_rejects(wide).collect()] == [("table", "out_of_range", 0, 2, "b2-a2")]
+
+
 def test_runs_do_not_overwrite_each_other(spark, scratch):
     """A new run's batch ids start at 0 again; a replay of a run rewrites only that run."""
     path = os.path.join(scratch, "trades")
