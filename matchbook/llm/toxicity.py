@@ -3,8 +3,9 @@
 Terms of a text are its lower-cased words without outer punctuation, and each word's first four and five
 letters, hashed to ``2**BITS`` buckets; a bucket is present or not. The score is
 ``sigmoid(w0 + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j)``: the factors ``v`` learn what pairs of terms
-add, such as an insult next to a group's name, beyond the additive weights. Only the buckets that tell
-most about the label (by their signed deviance over the training sample) have weights.
+add, such as an insult next to a group's name, beyond the additive weights. Only buckets that tell
+about the label have weights: by themselves (their deviance over the training sample), or as one of a pair whose
+deviance exceeds that of its two buckets, so that a term which matters only next to another is not sieved out.
 
 Training takes at most ``TRAIN_ROWS`` labelled documents (whole texts); scoring is one scan over every
 whole text. Defined results: a null or empty text has no terms and gets the bias alone, ``sigmoid(w0)``;
@@ -32,6 +33,11 @@ FACTORS = 8
 THRESHOLD = 0.7
 #: A bucket needs this much log-likelihood gain over the base rate to have a weight.
 MIN_GAIN = 5.0
+#: Buckets whose pairs are looked at (the most frequent of those in 20 texts or more, but not in most), and the gain
+#: that a pair needs beyond its buckets' own (few of two million chance pairs reach it).
+PAIR_BUCKETS = 2048
+PAIR_TEXTS = 20
+MIN_PAIR_GAIN = 15.0
 OUTER = " \t\r\n.,;:!?\"'()[]{}<>|*#$%&-_/\\=+~`"
 
 
@@ -77,23 +83,46 @@ class FactorizationMachine:
         return self.bias + linear + 0.5 * ((total * total).sum(1) - squares)
 
 
+def gains(pos: np.ndarray, seen: np.ndarray, rate: float) -> np.ndarray:
+    """Log-likelihood gain of knowing the label rate among ``seen`` texts, ``pos`` of them labelled 1."""
+    neg = seen - pos
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(pos > 0, pos * np.log(pos / (seen * rate)), 0) + np.where(neg > 0, neg * np.log(neg / (seen * (1 - rate))), 0)
+
+
+def paired_buckets(ids: list[np.ndarray], y: np.ndarray, seen: np.ndarray, gain: np.ndarray) -> np.ndarray:
+    """Buckets of the pairs that tell more about the label than their two buckets do."""
+    usual = np.flatnonzero((seen >= PAIR_TEXTS) & (seen <= 0.6 * len(y)))
+    usual = np.sort(usual[np.argsort(-seen[usual], kind="stable")[:PAIR_BUCKETS]])
+    both, toxic = np.zeros((2, len(usual), len(usual)), np.float32)
+    for begin in range(0, len(ids), 2048):  # bounded rows at a time
+        part = ids[begin : begin + 2048]
+        x = np.zeros((len(part), len(usual)), np.float32)
+        for i, t in enumerate(part):
+            x[i, np.searchsorted(usual, t[np.isin(t, usual)])] = 1
+        both += x.T @ x
+        labelled = x[y[begin : begin + 2048] == 1]
+        toxic += labelled.T @ labelled
+    more = gains(toxic, both, y.mean()) - gain[usual][:, None] - gain[usual][None, :]
+    more[both < PAIR_TEXTS] = 0
+    np.fill_diagonal(more, 0)
+    i, j = np.nonzero(np.triu(more) > MIN_PAIR_GAIN)
+    best = np.argsort(-more[i, j], kind="stable")[: BUCKETS // 2]
+    return np.unique(usual[np.concatenate([i[best], j[best]])])
+
+
 def select_buckets(ids: list[np.ndarray], y: np.ndarray, keep: int) -> np.ndarray:
-    """The buckets with the largest signed root of deviance on either side."""
+    """The buckets with the largest gain, and those of pairs with a gain of their own."""
     size = 1 << BITS
-    pos, neg = np.zeros(size), np.zeros(size)
+    pos, seen = np.zeros(size), np.zeros(size)
     for x, label in zip(ids, y, strict=True):
-        (pos if label else neg)[x] += 1
-    n1, n0 = y.sum(), len(y) - y.sum()
-    rate = n1 / len(y)
-    seen = pos + neg
-    expected = seen * rate
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = np.where(pos > 0, pos * np.log(pos / expected), 0) + np.where(
-            neg > 0, neg * np.log(neg / (seen - expected)), 0
-        )
+        seen[x] += 1
+        if label:
+            pos[x] += 1
+    gain = gains(pos, seen, y.mean())
     gain[seen == 0] = 0
     best = np.argpartition(-gain, min(keep, size - 1))[:keep]
-    return np.sort(best[gain[best] > MIN_GAIN])
+    return np.union1d(best[gain[best] > MIN_GAIN], paired_buckets(ids, y, seen, gain))
 
 
 def fit_machine(ids: list[np.ndarray], y: np.ndarray, steps: int = 1500, seed: int = 3) -> FactorizationMachine:

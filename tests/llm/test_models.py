@@ -1,5 +1,8 @@
 """Trained operators: held-out accuracy on the small tables, and defined results on odd rows."""
 
+import dataclasses
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,6 +37,41 @@ def test_rare_languages(spark):
     assert sampled and sizes["en"] <= 2 * language_id.LANGUAGE_DOCS and sizes["fr"] == sizes["de"] == 1
 
 
+def test_an_interaction_is_learnt():
+    """Two insults, two groups: only the pair decides, no word by itself says anything about the label."""
+    rng = np.random.default_rng(7)
+    filler = [f"word{i}" for i in range(300)]
+
+    def texts(n):
+        rows, labels = [], []
+        for _ in range(n):
+            a, b = rng.integers(0, 2, 2)
+            words = [*rng.choice(filler, 25), ("zorkish", "blaggard")[a], ("northfolk", "southfolk")[b]]
+            rng.shuffle(words)
+            rows.append(" ".join(words))
+            labels.append(int(a == b))
+        return [np.sort(toxicity.text_ids(t, {})) for t in rows], np.array(labels)
+
+    train, y = texts(2500)
+    machine = toxicity.fit_machine(train, y)
+    held, want = texts(400)
+
+    def decisions(m):
+        found = [np.searchsorted(m.buckets, x[np.isin(x, m.buckets)]) for x in held]
+        rows = np.repeat(np.arange(len(held)), [len(x) for x in found])
+        margin = m.margin(rows, np.concatenate(found), len(held))
+        # the pairwise sum against a double loop
+        for i in range(20):
+            at = found[i]
+            pairs = sum(float(m.factors[p] @ m.factors[q]) for k, p in enumerate(at) for q in at[k + 1 :])
+            assert abs(m.bias + m.weights[at].sum() + pairs - margin[i]) < 1e-6
+        return toxicity.sigmoid(margin) >= 0.5
+
+    assert (decisions(machine) == want).mean() >= 0.95
+    additive = dataclasses.replace(machine, factors=np.zeros_like(machine.factors))
+    assert (decisions(additive) == want).mean() <= 0.65
+
+
 def test_odd_rows(spark, docs, empty):
     labels = spark.createDataFrame([(1, 1, 0), (3, 0, 1), (None, 1, 1), (9, None, None)], "doc_id bigint, toxic int, quality int")
     for op in (toxicity.toxicity, quality.quality):
