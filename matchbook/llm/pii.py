@@ -1,22 +1,24 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped contextual extraction.
 
-DataFrame functions only. Base spans are the leftmost non-overlapping matches of ``BASE`` that pass their
-check. They are the seeds: every white-space token that holds a digit or ``@`` is an instance (without outer
-punctuation, ``MIN_LENGTH`` characters at least), seed instances overlap a base span. An instance meets lexical patterns:
-the word before it, the word after it, and its own first letters. Patterns and instances make a graph, scored
-in rounds: a pattern's confidence is the sum of its instances' scores over their number plus one; patterns with
-``CONFIDENCE`` and ``SUPPORT`` are accepted; an instance's score is the noisy-or of its accepted patterns. What
-accepted patterns find so becomes seed of the next round (a token's prefix learnt from a few contexts then finds
-it in any context). Instances above ``ACCEPT`` after the last round, not overlapping a base span, are added as
-spans of kind ``context``.
-
-The graph's edges are distinct (pattern, instance) pairs, counted map-side before they are shuffled, and each
-round is an aggregate and a join by pattern and by instance; nothing is collected by group but the spans of one
+DataFrame functions only. Base spans are the leftmost non-overlapping matches of ``BASE`` that pass their check. They
+are the seeds: the white-space tokens that overlap a base span. A token is met by lexical patterns: the word before it,
+the word after it, and each of these together with the token's shape (letters and digits folded, runs collapsed:
+``a@a.a``, ``+9``). Patterns that meet ``SUPPORT`` different seeds are candidates; a scan of the whole corpus then finds every token
+that a candidate meets, seed or not. Patterns and instances (a token without outer punctuation, in lower case) make a
+graph, scored in rounds: a pattern's confidence is the sum of the scores of all tokens it meets over their number plus
+one, so a pattern that meets ordinary words as well scores low; patterns with ``CONFIDENCE`` are accepted; an instance's
+score is the noisy-or of its accepted patterns, and counts for its other patterns in the next round. Occurrences of
+instances above ``ACCEPT`` after the last round that an accepted pattern meets, and that no base span overlaps, are added
+as spans of kind ``context``.
+
+The scan deals out narrow rows (context word, token) that are joined to the few candidates before anything is shuffled;
+edges are counted map-side, and each round is an aggregate and a join by pattern and by instance. Frequent patterns meet
+their instances in the narrow edge table, one row for each pair. Nothing is collected by group but the spans of one
 document. Offsets are code points, end exclusive.
 
 Defined results: a null text counts as empty; a text without spans has counts 0 and the digest of the empty
-text; repeated rows get the same spans; without seeds there are no context spans; an empty table gives an empty
-table. Extra columns of any name are ignored.
+text; repeated rows get the same spans; without seeds there are no context spans; a neighbour of any length makes a
+pattern, text ends make none; an empty table gives an empty table. Extra columns of any name are ignored.
 """
 
 from __future__ import annotations
@@ -34,15 +36,15 @@ BASE = (
     ("card", r"[0-9](?:[\x20-]?[0-9])++"),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
 )
-TOKEN = ("token", r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 KINDS = [k for k, _ in BASE] + ["context"]
-#: Characters on either side in which the neighbouring word is looked for.
-SIDE = 60
-MIN_LENGTH = 6
 ROUNDS = 3
 CONFIDENCE = 0.5
-SUPPORT = 3.0
-ACCEPT = 0.6
+SUPPORT = 3
+ACCEPT = 0.5
+LAST = 2**63 - 1
+#: Stands for every shape.
+ANY = "*"
+SPACE = " \t\n\x0b\x0c\r"
 
 
 def luhn(digits: Column) -> Column:
@@ -74,97 +76,159 @@ def _matches(text: Column, pattern: str, needs: str | None) -> Column:
 
 
 def _places(kind: str, pattern: str) -> Column:
-    """For each match of a kind: its number, the characters since the match before, and its neighbourhood."""
+    """For each match of a kind: its number and the characters since the match before."""
     found, parts = F.col(f"m_{kind}"), F.split("text", pattern, -1)
-    side = kind == "token"
     rows = F.transform(
-        F.arrays_zip(found.alias("match"), F.slice(parts, 1, F.size(found)).alias("gap"), F.slice(parts, 2, F.size(found)).alias("next")),
-        lambda x, i: F.struct(
-            F.lit(kind).alias("kind"),
-            i.alias("i"),
-            F.length(x["gap"]).alias("gap"),
-            x["match"].alias("match"),
-            (F.right(x["gap"], F.lit(SIDE)) if side else F.lit(None).cast("string")).alias("before"),
-            (F.left(x["next"], F.lit(SIDE)) if side else F.lit(None).cast("string")).alias("after"),
-        ),
+        F.arrays_zip(found.alias("match"), F.slice(parts, 1, F.size(found)).alias("gap")),
+        lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("i"), F.length(x["gap"]).alias("gap"), x["match"].alias("match")),
     )
-    empty = F.array().cast("array<struct<kind:string,i:int,gap:int,match:string,before:string,after:string>>")
-    return F.when(F.size(found) > 0, rows).otherwise(empty)
+    return F.when(F.size(found) > 0, rows).otherwise(F.array().cast("array<struct<kind:string,i:int,gap:int,match:string>>"))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and the pair that names a row's content: the id (null: the largest) and a hash of the text."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("oid"), F.xxhash64(text).alias("tkey"), text.alias("text"))
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """row, doc_id, and every match of every kind, one array for each document: one scan."""
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    """row, doc_id, oid, tkey, and every match of every kind, one array for each document: one scan."""
     needs = {"email": "@", "ip": ".", "phone": "+"}
-    rows = rows.withColumns({f"m_{k}": _matches(F.col("text"), p, needs.get(k)) for k, p in (*BASE, TOKEN)})
-    rows = rows.select("doc_id", F.concat(*[_places(k, p) for k, p in (*BASE, TOKEN)]).alias("found"))
+    rows = keyed(docs).withColumns({f"m_{k}": _matches(F.col("text"), p, needs.get(k)) for k, p in BASE})
+    rows = rows.select("doc_id", "oid", "tkey", F.concat(*[_places(k, p) for k, p in BASE]).alias("found"))
     return kept(rows.withColumn("row", F.monotonically_increasing_id()), "matches")
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """row, kind, begin, end, match, before, after, and ``base``: whether it is (or, for a token, overlaps) a base span."""
-    rows = found.select("row", F.explode("found").alias("f")).select("row", "f.*").repartition("row")
+    """row, oid, tkey, kind, begin, end of the base spans."""
+    rows = found.filter(F.size("found") > 0).select("row", "oid", "tkey", F.explode("found").alias("f")).select("row", "oid", "tkey", "f.*").repartition("row")
     here = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("end", F.sum(F.col("gap") + F.length("match")).over(here))
-    rows = rows.withColumn("begin", F.col("end") - F.length("match"))
-    token = F.col("kind") == "token"
-    rows = rows.filter(token | passes(F.col("kind"), F.col("match")))
-    order = Window.partitionBy("row").orderBy("begin", token)
-    past = order.rowsBetween(Window.unboundedPreceding, 0)
-    coming = order.rowsBetween(1, Window.unboundedFollowing)
-    rows = rows.withColumns(
-        {"reached": F.max(F.when(~token, F.col("end"))).over(past), "ahead": F.min(F.when(~token, F.col("begin"))).over(coming)}
-    )
-    base = ~token | F.coalesce(F.col("reached") > F.col("begin"), F.lit(False)) | F.coalesce(F.col("ahead") < F.col("end"), F.lit(False))
-    return rows.select("row", "kind", "begin", "end", "match", "before", "after", base.alias("base"))
-
-
-def instances(rows: DataFrame) -> DataFrame:
-    """Tokens that can be identifiers, with their instance (trimmed, lower case) and patterns."""
-    outer = r"""^[\s"'(\[{<,;:!?.*#$%&|]+|[\s"')\]}>,;:!?.*#$%&|]+$"""
-    tokens = rows.filter("kind = 'token'").withColumn("instance", F.lower(F.regexp_replace("match", outer, "")))
-    tokens = tokens.filter(F.length("instance") >= MIN_LENGTH)
-    before = F.lower(F.regexp_extract("before", r"(\S+)\s*\z", 1))
-    after = F.lower(F.regexp_extract("after", r"\A\s*(\S+)", 1))
-    own = F.regexp_extract("instance", r"\A(\p{L}{4}|\p{L}+[=:])", 1)
-    named = [F.when(F.length(c) > 0, F.concat(F.lit(k), c)) for k, c in (("before ", before), ("after ", after), ("own ", own))]
-    return tokens.withColumn("patterns", F.array_compact(F.array(*named)))
-
-
-def bootstrap(tokens: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """instance, score: the instances that patterns accept; seeds are left out."""
-    edges = kept(
-        tokens.select(F.explode("patterns").alias("pattern"), "instance", "base")
-        .groupBy("pattern", "instance")
-        .agg(F.max(F.col("base").cast("double")).alias("seed")),
-        "edges",
-    )
-    scored = edges.withColumn("score", F.col("seed"))
-    found = None
+    rows = rows.withColumn("end", F.sum(F.col("gap") + F.length("match")).over(here).cast("bigint"))
+    rows = rows.withColumn("begin", F.col("end") - F.length("match")).filter(passes(F.col("kind"), F.col("match")))
+    return rows.select("row", "oid", "tkey", "kind", "begin", "end")
+
+
+def tokens(rows: DataFrame) -> DataFrame:
+    """oid, tkey, i, piece, before, after: every white-space token (with the white space behind it) of ``rows``, and its
+    neighbours; one narrow row each."""
+    pieces = F.split("text", r"(?<=\s)(?=\S)")
+    cut = rows.select("oid", "tkey", pieces.alias("p"))
+    none = F.array(F.lit(None).cast("string"))
+    n = F.size("p")
+    before, after = F.concat(none, F.slice("p", 1, n - 1)), F.concat(F.slice("p", 2, n), none)
+    zipped = F.arrays_zip(F.col("p").alias("piece"), before.alias("before"), after.alias("after"))
+    each = cut.select("oid", "tkey", F.posexplode(zipped).alias("i", "x")).select("oid", "tkey", "i", "x.*")
+    return each.filter(F.rtrim("piece", F.lit(SPACE)) != "")
+
+
+def _word(c: str) -> Column:
+    return F.lower(F.rtrim(F.col(c), F.lit(SPACE)))
+
+
+def instance(piece: Column) -> Column:
+    """A token without outer punctuation, in lower case."""
+    outer = "\"'([{<>}])|,;:!?.*#$%&"
+    return F.lower(F.trim(F.rtrim(piece, F.lit(SPACE)), F.lit(outer)))
+
+
+def shape(token: Column) -> Column:
+    """Letters and digits folded, runs collapsed."""
+    folded = F.regexp_replace(F.regexp_replace(token, r"[0-9]+", "9"), r"\p{L}+", "a")
+    return F.regexp_replace(folded, r"(.)\1+", "$1")
+
+
+def shaped(rows: DataFrame) -> DataFrame:
+    """The rows (piece, ...) with a token, twice: with the token's ``shape``, and with ANY."""
+    rows = rows.withColumn("instance", instance(F.col("piece"))).filter("instance <> ''").drop("piece")
+    return rows.withColumn("shape", F.explode(F.array(shape(F.col("instance")), F.lit(ANY))))
+
+
+def sided(rows: DataFrame) -> DataFrame:
+    """The rows (before, after, ...) twice: ``side`` and ``word``, the neighbour on that side."""
+    sides = F.array(*[F.struct(F.lit(side).alias("side"), _word(side).alias("word")) for side in ("before", "after")])
+    both = rows.select(*[c for c in rows.columns if c not in ("before", "after")], F.explode(sides).alias("x"))
+    return both.select(*[c for c in both.columns if c != "x"], "x.*").filter("word <> ''")
+
+
+def seeds(docs: DataFrame, base: DataFrame) -> DataFrame:
+    """Tokens of the documents that have base spans: oid, tkey, i, begin, end, piece, neighbours, and whether a base
+    span overlaps the token."""
+    holders = base.select("oid", "tkey").distinct()
+    texts = keyed(docs).join(holders, ["oid", "tkey"], "left_semi").dropDuplicates(["oid", "tkey"])
+    own = Window.partitionBy("oid", "tkey")
+    placed = tokens(texts).withColumn("stop", F.sum(F.length("piece")).over(own.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)))
+    placed = placed.withColumn("begin", (F.col("stop") - F.length("piece")).cast("bigint"))
+    placed = placed.withColumn("end", F.col("begin") + F.length(F.rtrim("piece", F.lit(SPACE)))).drop("stop")
+    marks = base.select("oid", "tkey", "begin", "end").distinct().withColumn("token", F.lit(False))
+    every = placed.withColumn("token", F.lit(True)).unionByName(marks, allowMissingColumns=True)
+    order = own.orderBy("begin", "token")
+    reached = F.max(F.when(~F.col("token"), F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.min(F.when(~F.col("token"), F.col("begin"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    every = every.withColumns({"reached": reached, "ahead": ahead}).filter("token")
+    hit = F.coalesce(F.col("reached") > F.col("begin"), F.lit(False)) | F.coalesce(F.col("ahead") < F.col("end"), F.lit(False))
+    return every.select("oid", "tkey", "i", "begin", "end", "piece", "before", "after", hit.alias("base"))
+
+
+def candidates(seeded: DataFrame) -> DataFrame:
+    """side, word, shape of the patterns that meet ``SUPPORT`` different seeds."""
+    met = shaped(sided(seeded.filter("base").select("piece", "before", "after")))
+    distinct = met.groupBy("side", "word", "shape", "instance").agg(F.count("*").alias("n"))
+    return distinct.groupBy("side", "word", "shape").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= SUPPORT).drop("seeds")
+
+
+def meetings(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """oid, tkey, i, instance, side, word, shape: every token of the corpus that a pattern meets; one scan."""
+    words = patterns.select("side", "word").distinct()
+    near = sided(tokens(keyed(docs))).join(words, ["side", "word"])
+    return shaped(near).join(patterns, ["side", "word", "shape"]).select("oid", "tkey", "i", "instance", "side", "word", "shape")
+
+
+def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """(accepted patterns with their confidence; instance, score) from edges (side, word, shape, instance, n, seed)."""
+    pattern = ["side", "word", "shape"]
+    scored, accepted, found = edges.withColumn("score", F.col("seed")), None, None
     for _ in range(rounds):
-        patterns = scored.groupBy("pattern").agg(F.sum("score").alias("support"), F.count("*").alias("n"))
-        patterns = patterns.withColumn("confidence", F.col("support") / (F.col("n") + 1))
-        patterns = patterns.filter((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= SUPPORT))
+        weight = scored.groupBy(*pattern).agg(F.sum(F.col("score") * F.col("n")).alias("sum"), F.sum("n").alias("n"))
+        weight = weight.withColumn("confidence", F.col("sum") / (F.col("n") + 1)).filter(F.col("confidence") >= CONFIDENCE)
+        accepted = kept(weight.select(*pattern, "confidence"), "patterns")
         miss = F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.99))))
-        found = kept(
-            edges.filter("seed = 0").join(patterns, "pattern").groupBy("instance").agg((1 - F.exp(miss)).alias("score")), "instances"
-        )
+        found = kept(edges.join(accepted, pattern).groupBy("instance").agg((1 - F.exp(miss)).alias("score")), "instances")
         scored = edges.join(found, "instance", "left").select(
-            "pattern", "instance", "seed", F.greatest("seed", F.coalesce("score", F.lit(0.0))).alias("score")
+            *pattern, "instance", "n", "seed", F.greatest("seed", F.coalesce("score", F.lit(0.0))).alias("score")
         )
-    return found.filter(F.col("score") >= ACCEPT)
+    return accepted, found
+
+
+def context_spans(docs: DataFrame, base: DataFrame) -> DataFrame:
+    """oid, tkey, begin, end, confidence: tokens that accepted patterns take for identifiers, outside base spans."""
+    seeded = kept(seeds(docs, base), "seeds")
+    patterns = kept(candidates(seeded), "candidates")
+    met = kept(meetings(docs, patterns), "meetings")
+    known = seeded.filter("base").select(instance(F.col("piece")).alias("instance"), F.lit(1.0).alias("seed")).distinct()
+    edges = met.groupBy("side", "word", "shape", "instance").agg(F.count("*").alias("n")).join(known, "instance", "left")
+    edges = kept(edges.select("side", "word", "shape", "instance", "n", F.coalesce("seed", F.lit(0.0)).alias("seed")), "edges")
+    accepted, found = bootstrap(edges)
+    hits = met.join(accepted, ["side", "word", "shape"]).join(found.filter(F.col("score") >= ACCEPT), "instance")
+    hits = hits.groupBy("oid", "tkey", "i").agg(F.max("confidence").alias("confidence"))
+    hits = hits.join(seeded.filter("base").select("oid", "tkey", "i"), ["oid", "tkey", "i"], "left_anti")
+    # where the tokens stand: once for each document that has one
+    wanted = hits.groupBy("oid", "tkey").agg(F.sort_array(F.collect_list(F.struct("i", "confidence"))).alias("hits"))
+    texts = keyed(docs).join(wanted, ["oid", "tkey"]).dropDuplicates(["oid", "tkey"]).withColumn("p", F.split("text", r"(?<=\s)(?=\S)"))
+    start = lambda h: F.length(F.array_join(F.slice(F.col("p"), 1, h["i"]), "")).cast("bigint")
+    size = lambda h: F.length(F.rtrim(F.get(F.col("p"), h["i"]), F.lit(SPACE)))
+    placed = F.transform("hits", lambda h: F.struct(start(h).alias("begin"), (start(h) + size(h)).alias("end"), h["confidence"].alias("confidence")))
+    return texts.select("oid", "tkey", F.explode(placed).alias("x")).select("oid", "tkey", "x.*")
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, spans (kind, begin, end; by kind as in KINDS, then begin): one row for each row of ``docs``."""
     found = located(docs)
-    rows = kept(spans(found), "spans")
-    tokens = instances(rows)
-    accepted = bootstrap(tokens)
-    context = tokens.filter("not base").join(accepted, "instance").withColumn("kind", F.lit("context"))
-    every = rows.filter("kind <> 'token'").select("row", "kind", "begin", "end").unionByName(context.select("row", "kind", "begin", "end"))
+    base = kept(spans(found), "spans")
+    context = kept(context_spans(docs, base), "context")
+    context = context.join(found.select("row", "oid", "tkey"), ["oid", "tkey"]).select("row", F.lit("context").alias("kind"), "begin", "end")
+    every = base.select("row", "kind", "begin", "end").unionByName(context)
     place = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
-    every = every.withColumn("span", F.struct(place.alias("no"), F.col("begin").cast("bigint").alias("begin"), F.col("end").cast("bigint").alias("end"), "kind"))
+    every = every.withColumn("span", F.struct(place.alias("no"), "begin", "end", "kind"))
     lists = every.groupBy("row").agg(F.array_sort(F.collect_list("span")).alias("spans"))
     shape = "array<struct<kind:string,begin:bigint,end:bigint>>"
     out = found.select("row", "doc_id").join(lists, "row", "left")

@@ -121,3 +121,43 @@ def test_pipeline(spark):
     source = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     assert 0 < len(rows) <= len(source) and docs.columns[0] == "doc_id"
     assert all(r.decoded_sha256 == hashlib.sha256(source[r.doc_id].encode()).hexdigest() for r in rows)
+
+
+def test_context_patterns_find_unseen_identifiers(spark):
+    """A pattern is accepted by what it meets in the whole corpus: "card:" introduces identifiers only, "the" does not."""
+    rng = random.Random(8)
+
+    def card(valid):
+        while True:
+            digits = str(rng.randint(10**15, 10**16 - 1))
+            if luhn(digits) == valid:
+                return digits
+
+    rows, want = [], set()
+    for i in range(60):
+        lead = "some words of the " + " ".join(rng.choice(["house", "tree", "river"]) for _ in range(9))
+        unseen = None if i % 3 else (card(False) if i % 2 else f"PX-{i}-{'q' * 300 if i == 12 else 'q'}")
+        text = f"{lead} the {card(True)} and  card: {unseen or card(True)}, the {card(False)} end\n"
+        if unseen:
+            want.add((i, text.index(unseen, text.index("card:")), len(unseen)))
+        rows.append((i, text))
+    rows += [(7, rows[7][1]), (100, None), (101, ""), (102, "card: "), (103, "card:  lonely_one")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = pii.personal_data(docs).collect()
+    assert len(found) == len(rows)
+    texts = dict(rows)
+    got = set()
+    for r in found:
+        for s in r.spans:
+            if s.kind == "context":
+                token = texts[r.doc_id][s.begin : s.end].strip(",")
+                got.add((r.doc_id, s.begin, len(token)))
+    assert got == want | {(103, 7, len("lonely_one"))}
+    # base spans are as without the method
+    assert all(sum(s.kind == "card" for s in r.spans) == (2 if r.doc_id % 3 else 1) for r in found if r.doc_id < 60)
+
+
+def test_no_context_without_seeds(spark, docs, empty):
+    plain = spark.createDataFrame([(1, "card: abc card: def")], "doc_id bigint, text string")
+    assert [r.spans for r in pii.personal_data(plain).collect()] == [[]]
+    assert pii.personal_data(empty).count() == 0 and pii.personal_data(docs).count() == docs.count()
