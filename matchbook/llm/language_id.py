@@ -167,7 +167,7 @@ def training_rows(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[DataFr
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> ByteNet:
     """Learn from text and language of bounded documents of every language outside the fold crc32(doc_id) mod 3 = 1."""
     prepared(docs.sparkSession)
-    sample, cut_down = training_rows(docs, train_docs)
+    sample, _ = training_rows(docs, train_docs)
 
     def cut(batches):
         for block, data, offsets in text_blocks(batches, "text", 1 << 20):
@@ -186,7 +186,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> ByteNet:
             )
 
     cuts = sample.mapInArrow(cut, "window binary, lang string, key bigint")
-    got = (cuts.distinct() if cut_down else cuts).select("window", "lang").toArrow()
+    got = cuts.distinct().select("window", "lang").toArrow()
     lang = got.column("lang").to_pylist()
     raw = got.column("window").to_pylist()
     order = sorted(range(len(raw)), key=lambda i: (raw[i], lang[i]))
