@@ -25,7 +25,8 @@ table gives an empty table. Extra columns of any name are ignored.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,10 @@ CHUNK = 8192
 #: Texts longer than this are cut into chunks; chunks whose matrices one task combines.
 GIANT = 4 * CHUNK
 SCAN = 256
-#: Stretches, and pairs of pieces, that a worker remembers.
+#: Pairs of pieces that a task remembers.
 MEMO = 1 << 16
-#: Longest stretch that is solved by merging and remembered; longer ones are solved along the lattice.
-SHORT = 64
+#: Texts encoded at once.
+ROWS = 256
 NEVER = float("-inf")
 
 
@@ -64,8 +65,12 @@ class Pieces:
     bytes: list[int]
     strings: list[str]
     scores: dict[str, float]
-    #: Stretches solved so far; a worker process keeps them, with the broadcast value, from task to task.
-    memo: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    #: The model, set to add no space in front.
+    model: bytes
+
+    def plain(self) -> tuple:
+        """The fields as built-in types: a broadcast is pickled by reference to classes, which workers may not have."""
+        return self.ids, self.longest, self.bytes, self.strings, self.scores, self.model
 
     @staticmethod
     def load(path: str) -> Pieces:
@@ -85,7 +90,10 @@ class Pieces:
                 ids[p.piece] = (i, float(p.score))
                 text = p.piece.replace(MARK, " ")
             strings.append(text)
-        return Pieces(ids, max(map(len, ids)), raw, strings, {x: score for x, (_, score) in ids.items()})
+        model.normalizer_spec.add_dummy_prefix = False
+        model.normalizer_spec.remove_extra_whitespaces = False
+        scores = {x: score for x, (_, score) in ids.items()}
+        return Pieces(ids, max(map(len, ids)), raw, strings, scores, model.SerializeToString())
 
 
 def escaped(text: str | None) -> str:
@@ -96,8 +104,10 @@ class Encoder:
     """Encodes stretches between cuts, and chunks between boundary states."""
 
     def __init__(self, pieces: Pieces) -> None:
+        import sentencepiece
+
         self.p = pieces
-        self.memo = pieces.memo
+        self.library = sentencepiece.SentencePieceProcessor(model_proto=pieces.model)
         self.pairs: dict[tuple[str, str], bool] = {}
         alone = "\n" if not any("\n" in x and len(x) > 1 for x in pieces.ids) else ""
         self.cut = re.compile(f"(?<=[^{MARK}]){MARK}")
@@ -182,21 +192,19 @@ class Encoder:
         ((begin, _),) = reach[-1].items()
         return self.back(text, reach, 1, begin, len(text), 0)
 
-    def solved(self, stretch: str) -> tuple[int, ...]:
-        if len(stretch) > SHORT:
-            return tuple(self.numbers(self.lattice(stretch)))
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        found = self.memo[stretch] = tuple(self.numbers(self.merged(stretch)))
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """ids of escaped texts that begin and end at cuts."""
+        found = self.library.encode(["" if OWN_MARK in t else t.replace(MARK, " ") for t in texts], num_threads=1)
+        for i, text in enumerate(texts):
+            if OWN_MARK in text:
+                found[i] = [x for stretch in self.stretch.findall(text) for x in self.solved(stretch)]
         return found
 
+    def solved(self, stretch: str) -> list[int]:
+        return self.numbers(self.lattice(stretch)) if OWN_MARK in stretch else self.library.encode(stretch.replace(MARK, " "))
+
     def encode(self, text: str) -> list[int]:
-        """ids of escaped text that begins and ends at cuts."""
-        out: list[int] = []
-        get, add = self.memo.get, out.extend
-        for stretch in self.stretch.findall(text):
-            add(get(stretch) or self.solved(stretch))
-        return out
+        return self.encode_all([text])[0]
 
     def cuts(self, text: str, begin: int, end: int) -> tuple[int, int] | None:
         """First and last place in begin+1 .. end-1 where a piece must begin."""
@@ -304,13 +312,14 @@ def _packed(matrix: np.ndarray) -> bytes:
 
 def _small(docs: DataFrame, pieces) -> DataFrame:
     def run(batches):
-        encoder = Encoder(pieces.value)
+        encoder = Encoder(Pieces(*pieces.value))
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                rows = batch.slice(begin, 256)
-                found = [np.array(encoder.encode(escaped(t.as_py())), np.int32) for t in rows.column(1)]
+            for begin in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(begin, ROWS)
+                found = encoder.encode_all([escaped(t) for t in rows.column(1).to_pylist()])
                 edge = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(edge), pa.array(np.concatenate(found)))
+                flat = np.fromiter(chain.from_iterable(found), np.int32, int(edge[-1]))
+                ids = pa.ListArray.from_arrays(pa.array(edge), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([rows.column(0), ids], names=["row", "ids"])
 
     return docs.mapInArrow(run, "row bigint, ids array<int>")
@@ -350,7 +359,7 @@ def _matrices(chunks: DataFrame, pieces, size: int) -> DataFrame:
     """row, c, matrix of every chunk."""
 
     def run(batches):
-        encoder = Encoder(pieces.value)
+        encoder = Encoder(Pieces(*pieces.value))
         for batch in batches:
             out = []
             for row in batch.to_pylist():
@@ -397,7 +406,7 @@ def _traced(chunks: DataFrame, pieces, size: int) -> DataFrame:
     """row, c, ids: every chunk traced back on its own between its boundary states."""
 
     def run(batches):
-        encoder = Encoder(pieces.value)
+        encoder = Encoder(Pieces(*pieces.value))
         for batch in batches:
             out = []
             for row in batch.to_pylist():
@@ -412,7 +421,7 @@ def encode(docs: DataFrame, model: str | None = None, size: int = CHUNK, giant:
     every task."""
     spark = prepared(docs.sparkSession)
     table = Pieces.load(model or default_model())
-    pieces = spark.sparkContext.broadcast(table)
+    pieces = spark.sparkContext.broadcast(table.plain())
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("row"), text.alias("text"))
     small = _small(rows.filter(F.length("text") <= giant), pieces).withColumnRenamed("row", "doc_id")
