@@ -34,10 +34,12 @@ def match_batch(requests: DataFrame, restored: DataFrame | None = None, snapshot
                        Cadence(snapshot_every, snapshot_interval_us, steps), emit_final)
 
 
-def executions(tagged: DataFrame) -> DataFrame:
-    """ExecutedTrade rows, execution time = the incoming order's receive time."""
+def executions(tagged: DataFrame, now: bool = False) -> DataFrame:
+    """ExecutedTrade rows. Execution time is the incoming order's receive time, the same in every replay; with ``now``
+    the time at which the query (or micro-batch) runs."""
+    at = F.current_timestamp().cast("timestamp_ntz") if now else F.col("at")
     return tagged.filter(F.col("kind") == KIND_FILL).select(
-        "symbol", "price", "size", "bid_request_id", "ask_request_id", F.col("at").alias("executed_at"),
+        "symbol", "price", "size", "bid_request_id", "ask_request_id", at.alias("executed_at"),
         execution_id("bid_request_id", "ask_request_id").alias("execution_id"),
     ).select(*EXECUTION_COLUMNS)
 

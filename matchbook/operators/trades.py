@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from ..functions.unsigned import is_wide
 from ..schemas import MAX_BIGINT, TRADES_COLUMNS, TRADES_TABLE
+from ..session import new_folder
 
 ID_BUCKETS = 16
 EPOCH = "1970-01-01 00:00:00"
@@ -215,9 +216,5 @@ def recent_trades(trades: DataFrame, n: int, nulls_first: bool, columns: list[st
 
 
 def table_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    import uuid
-
-    from ..session import checkpoint_dir
-
-    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh folder under the shared checkpoint folder (``session.release`` deletes it)."""
+    return new_folder(spark, name)

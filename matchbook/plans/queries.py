@@ -16,7 +16,7 @@ from ..functions.symbols import lex_bucket, lex_position
 from ..functions.unsigned import widened
 from ..operators import book, compaction, lifetimes, snapshots, trades
 from ..operators.epochs import match_in_epochs
-from ..operators.routing import keyed_messages, write_request_log
+from ..operators.routing import keyed_messages, write_message_log, write_request_log
 from ..operators.sequence import offset_gaps as _gaps
 from ..operators.sequence import with_sequence
 from ..operators.validate import engine_checked, ingest, ingest_tagged
@@ -411,9 +411,11 @@ def execution_round_trip(spark, sf_dir):
 
 
 def snapshot_round_trip(spark, sf_dir):
-    """Book snapshots encoded as messages and decoded again."""
+    """Book snapshots published as keyed messages, read back and decoded."""
     log = snapshots.snapshot_messages(lifetimes.books_at(*_books(spark, sf_dir)))
-    lines = log.select(F.col("last_offset").alias("offset"), snapshot_json(log).alias("value"))
+    path = trades.table_folder(spark, "snapshot-messages")
+    write_message_log(keyed_messages(log, snapshot_json(log), MESSAGE_PARTITIONS, "symbol"), path)
+    lines = spark.read.parquet(path).select("partition", F.lit(0).cast("long").alias("offset"), "value")
     return snapshots.flatten_snapshots(decode_json(lines, SNAPSHOT)[0])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +50,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder, known to ``release``."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:16]}"
+    sc = spark.sparkContext
+    if not hasattr(sc, "_matchbook_folders"):
+        sc._matchbook_folders = []
+    sc._matchbook_folders.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate folders of this session, once the results read from them are written; returns how many."""
+    sc = spark.sparkContext
+    paths, sc._matchbook_folders = getattr(sc, "_matchbook_folders", []), []
+    for path in paths:
+        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(paths)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package's code available to Python workers, once per context.
 

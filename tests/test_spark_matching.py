@@ -192,3 +192,21 @@ def test_offset_gaps_across_chunks(spark):
     for chunk in (1 << 20, 4):
         got = sorted(tuple(r) for r in offset_gaps(df, chunk).collect())
         assert got == [(0, 3, 4), (0, 6, 8), (0, 11, 29)]
+
+
+def test_execution_time_now(spark):
+    tagged = book.match_batch(requests(spark, BASIC))
+    now = spark.range(1).select(F.current_timestamp().cast("timestamp_ntz").alias("t")).first().t
+    assert all(r.executed_at >= now for r in book.executions(tagged, now=True).collect())
+
+
+def test_release_deletes_the_folders_of_a_session(spark):
+    import os
+
+    from matchbook.session import new_folder, release
+
+    path = new_folder(spark, "scratch")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert release(spark) >= 1 and not os.path.exists(path)
+    assert release(spark) == 0
