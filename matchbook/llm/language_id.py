@@ -227,7 +227,8 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents whose language is known with ``min_score`` at least, with their own columns."""
+    """The documents whose language is known with ``min_score`` at least, with their own columns. Where no document
+    outside the held-out fold has a language nothing can be learnt, every language is unknown and no document stays."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     out = predicted(docs.select(row, "text"), fit(docs), ["row"])
     return out.filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("row.*")

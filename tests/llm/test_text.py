@@ -6,6 +6,7 @@ import re
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from matchbook.llm import decontaminate, pii, sentencepiece
 
@@ -161,3 +162,25 @@ def test_no_context_without_seeds(spark, docs, empty):
     plain = spark.createDataFrame([(1, "card: abc card: def")], "doc_id bigint, text string")
     assert [r.spans for r in pii.personal_data(plain).collect()] == [[]]
     assert pii.personal_data(empty).count() == 0 and pii.personal_data(docs).count() == docs.count()
+
+
+def test_pipeline_on_odd_rows(spark, docs, tmp_path):
+    """Null, empty, blank, repeated and very long rows, extra columns; a benchmark with a null and a short item; no rows."""
+    bench = spark.createDataFrame([(1, ITEM), (2, None), (None, "tiny")], "item_id bigint, text string")
+    held = docs.limit(1).withColumns({"doc_id": F.lit(77).cast("bigint"), "text": F.lit(f"words before {ITEM} and after it, enough of them")})
+    for name, rows in (("all", docs.unionByName(held)), ("none", docs.limit(0))):
+        folder = str(tmp_path / name)
+        rows.write.parquet(f"{folder}/documents.parquet")
+        bench.write.parquet(f"{folder}/benchmark.parquet")
+        out = corpus_pipeline.run(spark, folder).collect()
+        if name == "none":
+            assert out == []
+            continue
+        source = {}
+        for r in rows.collect():
+            source.setdefault(r.doc_id, set()).add(hashlib.sha256((r.text or "").encode()).hexdigest())
+        assert all(r.decoded_sha256 in source[r.doc_id] for r in out)
+        ids = [r.doc_id for r in out]
+        # blank texts and the one that holds the item are gone, of the copies and near copies one document stays
+        assert len(ids) == len(set(ids)) and not set(ids) & {4, 5, 6, 7, 77}
+        assert len(set(ids) & {1, 2, 3}) == 1
