@@ -6,7 +6,6 @@ Arrow buffer; words are hashed with NumPy prefix sums, without making a Python o
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchbook.session import checkpoint_dir, ship_package
+from matchbook.session import new_folder, ship_package
 
 #: Odd 64-bit multipliers of the two polynomial hashes (bytes, words) and of the mixer.
 BYTE_BASE = 0x9E3779B97F4A7C15
@@ -43,10 +42,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def kept(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
-    The lineage is cut: a lost executor costs a re-read of files every executor can see.
+    The lineage is cut: a lost executor costs a re-read of files every executor can see. ``session.release`` deletes
+    the files once the results are written.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
+    path = new_folder(spark, f"llm-{tag}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
