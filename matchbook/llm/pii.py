@@ -1,10 +1,12 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped contextual extraction.
 
 DataFrame functions only. Base spans are the leftmost non-overlapping matches of ``BASE`` that pass their check. They
-are the seeds: the white-space tokens that overlap a base span. A token is met by lexical patterns: the word before it,
+are the seeds, with the rest of the white-space tokens that they begin and end in. A token is met by lexical patterns: the word before it,
 the word after it, and each of these together with the token's shape (letters and digits folded, runs collapsed:
-``a@a.a``, ``+9``). Patterns that meet ``SUPPORT`` different seeds are candidates; a scan of the whole corpus then finds every token
-that a candidate meets, seed or not. Patterns and instances (a token without outer punctuation, in lower case) make a
+``a@a.a``, ``+9``). Patterns that meet ``SUPPORT`` different seeds are candidates; a scan of the whole corpus counts their words
+and drops those that less than ``START`` of the time stand next to a seed, so what the others meet is at most a fixed
+multiple of the seeds; a second scan gives every token that they meet, seed or not (of a seed of several tokens the one
+next to the word counts). Patterns and instances (a token without outer punctuation, in lower case) make a
 graph, scored in rounds: a pattern's confidence is the sum of the scores of all tokens it meets over their number plus
 one, so a pattern that meets ordinary words as well scores low; patterns with ``CONFIDENCE`` are accepted; an instance's
 score is the noisy-or of its accepted patterns, and counts for its other patterns in the next round. Occurrences of
@@ -41,6 +43,8 @@ ROUNDS = 3
 CONFIDENCE = 0.5
 SUPPORT = 3
 ACCEPT = 0.5
+#: Share of a word's places next to which a seed stands, at least, for its patterns to take part.
+START = 0.01
 LAST = 2**63 - 1
 #: Stands for every shape.
 ANY = "*"
@@ -151,28 +155,34 @@ def sided(rows: DataFrame) -> DataFrame:
 
 
 def seeds(docs: DataFrame, base: DataFrame) -> DataFrame:
-    """Tokens of the documents that have base spans: oid, tkey, i, begin, end, piece, neighbours, and whether a base
-    span overlaps the token."""
-    holders = base.select("oid", "tkey").distinct()
-    texts = keyed(docs).join(holders, ["oid", "tkey"], "left_semi").dropDuplicates(["oid", "tkey"])
-    own = Window.partitionBy("oid", "tkey")
-    placed = tokens(texts).withColumn("stop", F.sum(F.length("piece")).over(own.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)))
-    placed = placed.withColumn("begin", (F.col("stop") - F.length("piece")).cast("bigint"))
-    placed = placed.withColumn("end", F.col("begin") + F.length(F.rtrim("piece", F.lit(SPACE)))).drop("stop")
-    marks = base.select("oid", "tkey", "begin", "end").distinct().withColumn("token", F.lit(False))
-    every = placed.withColumn("token", F.lit(True)).unionByName(marks, allowMissingColumns=True)
-    order = own.orderBy("begin", "token")
-    reached = F.max(F.when(~F.col("token"), F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.min(F.when(~F.col("token"), F.col("begin"))).over(order.rowsBetween(1, Window.unboundedFollowing))
-    every = every.withColumns({"reached": reached, "ahead": ahead}).filter("token")
-    hit = F.coalesce(F.col("reached") > F.col("begin"), F.lit(False)) | F.coalesce(F.col("ahead") < F.col("end"), F.lit(False))
-    return every.select("oid", "tkey", "i", "begin", "end", "piece", "before", "after", hit.alias("base"))
+    """side, word, piece: the word before and the word after each base span, and the span's token next to it."""
+    lists = base.groupBy("oid", "tkey").agg(F.collect_set(F.struct("begin", "end")).alias("at"))
+    texts = keyed(docs).join(lists, ["oid", "tkey"]).dropDuplicates(["oid", "tkey"])
+
+    def around(x: Column) -> Column:
+        left, right = F.reverse(F.left("text", x["begin"])), F.substring(F.col("text"), x["end"] + 1, F.length("text"))
+        whole = F.concat(
+            F.reverse(F.regexp_extract(left, r"\A\S*", 0)), F.substring(F.col("text"), x["begin"] + 1, x["end"] - x["begin"]),
+            F.regexp_extract(right, r"\A\S*", 0),
+        )
+        return F.array(
+            F.struct(
+                F.lit("before").alias("side"), F.lower(F.reverse(F.regexp_extract(left, r"\A\S*\s+(\S+)", 1))).alias("word"),
+                F.regexp_extract(whole, r"\A\S+", 0).alias("piece"),
+            ),
+            F.struct(
+                F.lit("after").alias("side"), F.lower(F.regexp_extract(right, r"\A\S*\s+(\S+)", 1)).alias("word"),
+                F.regexp_extract(whole, r"\S+\z", 0).alias("piece"),
+            ),
+        )
+
+    found = texts.select(F.explode(F.flatten(F.transform("at", around))).alias("x")).select("x.*")
+    return found.filter("piece <> ''")
 
 
 def candidates(seeded: DataFrame) -> DataFrame:
     """side, word, shape of the patterns that meet ``SUPPORT`` different seeds."""
-    met = shaped(sided(seeded.filter("base").select("piece", "before", "after")))
-    distinct = met.groupBy("side", "word", "shape", "instance").agg(F.count("*").alias("n"))
+    distinct = shaped(seeded.filter("word <> ''")).groupBy("side", "word", "shape", "instance").agg(F.count("*").alias("n"))
     return distinct.groupBy("side", "word", "shape").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= SUPPORT).drop("seeds")
 
 
@@ -201,23 +211,34 @@ def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFr
 
 def context_spans(docs: DataFrame, base: DataFrame) -> DataFrame:
     """oid, tkey, begin, end, confidence: tokens that accepted patterns take for identifiers, outside base spans."""
+    pattern = ["side", "word", "shape"]
     seeded = kept(seeds(docs, base), "seeds")
     patterns = kept(candidates(seeded), "candidates")
+    known = kept(seeded.select(instance(F.col("piece")).alias("instance"), F.lit(1.0).alias("seed")).distinct(), "known")
+    # seeds are counted where they stand, words by a scan
+    sure = seeded.groupBy("side", "word").agg(F.count("*").alias("seeds")).join(patterns.select("side", "word").distinct(), ["side", "word"])
+    each = F.explode(F.split(F.lower("text"), r"\s+")).alias("word")
+    count = keyed(docs).select(each).join(sure.select("word").distinct(), "word").groupBy("word").agg(F.count("*").alias("n"))
+    words = sure.join(count, "word").filter(F.col("seeds") >= START * F.col("n")).select("side", "word")
+    patterns = kept(patterns.join(words, ["side", "word"]), "patterns")
+    if not patterns.limit(1).count():
+        return base.select("oid", "tkey", "begin", "end", F.lit(1.0).alias("confidence")).limit(0)
     met = kept(meetings(docs, patterns), "meetings")
-    known = seeded.filter("base").select(instance(F.col("piece")).alias("instance"), F.lit(1.0).alias("seed")).distinct()
-    edges = met.groupBy("side", "word", "shape", "instance").agg(F.count("*").alias("n")).join(known, "instance", "left")
-    edges = kept(edges.select("side", "word", "shape", "instance", "n", F.coalesce("seed", F.lit(0.0)).alias("seed")), "edges")
+    edges = met.groupBy(*pattern, "instance").agg(F.count("*").alias("n")).join(known, "instance", "left")
+    edges = kept(edges.select(*pattern, "instance", "n", F.coalesce("seed", F.lit(0.0)).alias("seed")), "edges")
     accepted, found = bootstrap(edges)
-    hits = met.join(accepted, ["side", "word", "shape"]).join(found.filter(F.col("score") >= ACCEPT), "instance")
+    hits = met.join(accepted, pattern).join(found.filter(F.col("score") >= ACCEPT), "instance")
     hits = hits.groupBy("oid", "tkey", "i").agg(F.max("confidence").alias("confidence"))
-    hits = hits.join(seeded.filter("base").select("oid", "tkey", "i"), ["oid", "tkey", "i"], "left_anti")
     # where the tokens stand: once for each document that has one
     wanted = hits.groupBy("oid", "tkey").agg(F.sort_array(F.collect_list(F.struct("i", "confidence"))).alias("hits"))
     texts = keyed(docs).join(wanted, ["oid", "tkey"]).dropDuplicates(["oid", "tkey"]).withColumn("p", F.split("text", r"(?<=\s)(?=\S)"))
     start = lambda h: F.length(F.array_join(F.slice(F.col("p"), 1, h["i"]), "")).cast("bigint")
     size = lambda h: F.length(F.rtrim(F.get(F.col("p"), h["i"]), F.lit(SPACE)))
     placed = F.transform("hits", lambda h: F.struct(start(h).alias("begin"), (start(h) + size(h)).alias("end"), h["confidence"].alias("confidence")))
-    return texts.select("oid", "tkey", F.explode(placed).alias("x")).select("oid", "tkey", "x.*")
+    found = kept(texts.select("oid", "tkey", F.explode(placed).alias("x")).select("oid", "tkey", "x.*"), "found")
+    held = base.select("oid", "tkey", F.col("begin").alias("b0"), F.col("end").alias("e0"))
+    clash = (found["oid"] == held["oid"]) & (found["tkey"] == held["tkey"]) & (F.col("b0") < found["end"]) & (F.col("e0") > found["begin"])
+    return found.join(held, clash, "left_anti")
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
