@@ -4,7 +4,10 @@ Matching inside one symbol is sequential by definition (each order sees the
 book its predecessors left), so a symbol cannot be salted across tasks. What
 can be bounded is how much of it one task handles at once: the log is cut
 into consecutive offset ranges ("epochs"); each epoch runs all books over its
-range, starting from the books the previous epoch left. The end-of-epoch
+range, starting from the books the previous epoch left. A range carries the
+books of the whole log before it, and they grow with the log; so ranges are of
+the given width at first and then as wide as a fixed share of that log. Ranges
+of one width would carry rows in proportion to the square of the log. The end-of-epoch
 books (flat header + resting-order rows, no arrays) and the epoch's output
 are written to the shared checkpoint folder and read back, which cuts the
 lineage: a lost executor costs one epoch, and a rerun of an epoch overwrites
@@ -24,10 +27,21 @@ from ..schemas import KIND_BOOK, KIND_REST, TAGGED
 from . import book as book_ops
 from .snapshots import books_as_restore_rows
 
+#: A range is at least 1 / ``SHARE`` as wide as the log before it.
+SHARE = 2
 
-def epoch_bounds(lo: int, hi: int, width: int) -> list[tuple[int, int]]:
-    """Inclusive offset ranges of ``width`` that cover lo .. hi; their edges don't move when the log grows."""
-    return [(a, a + width - 1) for a in range(lo // width * width, hi + 1, width)]
+
+def epoch_bounds(lo: int, hi: int, width: int, share: int = SHARE) -> list[tuple[int, int]]:
+    """Inclusive offset ranges that cover lo .. hi, each a multiple of ``width`` wide: ``width``, or 1 / ``share`` of the log
+    before it where that is more. Their number grows with the logarithm of the log's length, what all of them carry with the
+    length, and their edges don't move when the log grows."""
+    first = a = lo // width * width
+    out = []
+    while a <= hi:
+        b = a + max((a - first) // share // width, 1) * width
+        out.append((a, b - 1))
+        a = b
+    return out
 
 
 def log_extent(requests: DataFrame, version: str | None) -> tuple[int | None, int | None, str]:
@@ -49,8 +63,8 @@ def _committed(spark, path: str) -> bool:
 
 def match_in_epochs(requests: DataFrame, out_dir: str, width: int, snapshot_every: int = 0,
                     num_partitions: int | None = None, resume: bool = True, version: str | None = None) -> DataFrame:
-    """Tagged output equal to ``match_batch(requests)``, computed one offset range of ``width`` at a time, so that what a
-    range costs does not grow with the log.
+    """Tagged output equal to ``match_batch(requests)``, computed one offset range (``epoch_bounds``) at a time, so that a
+    range costs no more than in proportion to the books it carries, and all ranges together in proportion to the log.
 
     Fills, snapshots and rejects come from every epoch; ``rest`` and ``book``
     rows (the final books) from the last one. The epochs of a run lie in a

@@ -27,7 +27,7 @@ from ..sources.kafka import decode_request_records
 from ..sources.requests import decode_json, decode_submit_json
 
 SNAPSHOT_EVERY = 10
-#: Offsets of a range of the time-split run; receive time between two interval snapshots (six hours).
+#: Least offsets of a range of the time-split run; receive time between two interval snapshots (six hours).
 EPOCH_WIDTH = 1 << 13
 SNAPSHOT_INTERVAL_US = 6 * 3600 * 1_000_000
 #: Partitions of a keyed message log; what ``wide_values`` adds to prices and sizes (2^63 lies amid the results).
@@ -64,7 +64,7 @@ def _in_files(df: DataFrame, slices: int = 3, order: str = "offset"):
 
 
 def match_epochs(spark, sf_dir):
-    """Executions of the time-split run (offset ranges of a fixed width, books carried through the checkpoint folder)."""
+    """Executions of the time-split run (offset ranges, books carried through the checkpoint folder)."""
     out = trades.table_folder(spark, "epochs")
     return book.executions(match_in_epochs(_flow(spark, sf_dir), out, EPOCH_WIDTH))
 

@@ -4,7 +4,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from matchbook.operators import book
+from matchbook.operators.epochs import epoch_bounds, match_in_epochs
 from matchbook.plans import queries
+from matchbook.sources import order_flow, read_table
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -22,3 +25,25 @@ def test_order_log_is_not_written_by_one_task(spark, scratch):
     tasks = steps.select(F.input_file_name().alias("file")).groupBy("file").count().collect()
     assert headers.count() > 0
     assert len(tasks) > 1 and max(r["count"] for r in tasks) < steps.count()
+
+
+def test_ranges_of_a_long_log_are_few():
+    bounds = epoch_bounds(0, 5_999_999, 1 << 13)
+    assert len(bounds) < 30
+    assert bounds[0] == (0, (1 << 13) - 1) and bounds[-1][1] >= 5_999_999
+    assert all(b + 1 == c for (_, b), (c, _) in zip(bounds, bounds[1:]))
+    # edges stay when the log grows; a hole in the offsets or a late begin makes no more of them
+    assert epoch_bounds(0, 999_999, 1 << 13) == bounds[: len(epoch_bounds(0, 999_999, 1 << 13))]
+    assert len(epoch_bounds(-5, 10**12, 1 << 13)) < 60
+    assert epoch_bounds(10**12, 10**12 + 20_000, 1 << 13)[0][1] - 10**12 < 1 << 13
+    # what the ranges carry together is in proportion to the log
+    assert sum(a for a, _ in bounds) < 4 * 6_000_000
+
+
+def test_widening_ranges_equal_one_pass(spark, scratch):
+    flow = order_flow(read_table(spark, event_folder(spark, scratch), "events"))
+    one, split = book.match_batch(flow), match_in_epochs(flow, scratch + "/epochs", width=32)
+    assert len(epoch_bounds(0, 399, 32)) < 400 // 32
+    for f in (book.executions, book.resting_orders, book.book_headers):
+        a, b = f(one), f(split)
+        assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, f.__name__
