@@ -4,9 +4,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from matchbook.operators import book
+from matchbook.functions.symbols import hash_bucket
+from matchbook.operators import book, lifetimes, snapshots
 from matchbook.operators.epochs import epoch_bounds, match_in_epochs
+from matchbook.operators.routing import keyed_messages, write_message_log
 from matchbook.plans import queries
+from matchbook.schemas import ORDER_STEP, SNAPSHOT_HEADER
 from matchbook.sources import order_flow, read_table
 
 T0 = dt.datetime(2024, 1, 1)
@@ -47,3 +50,38 @@ def test_widening_ranges_equal_one_pass(spark, scratch):
     for f in (book.executions, book.resting_orders, book.book_headers):
         a, b = f(one), f(split)
         assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, f.__name__
+
+
+def test_whole_books_equal_grouped_rows(spark, scratch):
+    found = queries._books(spark, event_folder(spark, scratch))
+    want = snapshots.snapshot_messages(lifetimes.books_at(*found))
+    for width in (1024, 16):
+        got = lifetimes.whole_books(*found, width=width)
+        assert got.count() > 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_whole_books_of_empty_and_crossing_lives(spark):
+    steps = [("A", "BUY", "a", 5, 1, 2, 1), ("A", "BUY", "b", 7, 2, 1, 2), ("A", "SELL", "c", 9, 3, 4, 3), ("A", "BUY", "a", 5, 1, 1, 5),
+             ("A", "BUY", "b", 7, 2, 0, 6), ("A", "SELL", "c", 9, 3, 0, 6), ("A", "BUY", "a", 5, 1, 0, 7)]
+    heads = [("A", n) for n in (2, 5, 6, 8)] + [("B", 3)]
+    headers = spark.createDataFrame([(T0, s, 0, 10 * n, n) for s, n in heads], SNAPSHOT_HEADER)
+    names = [f.name for f in ORDER_STEP.fields]
+    rows = [tuple(dict(zip(("symbol", "side", "id", "price", "seq", "size", "book_seq"), r))[c] for c in names) for r in steps]
+    got = lifetimes.whole_books(headers, spark.createDataFrame(rows, ORDER_STEP), width=4).collect()
+    books = {(r.symbol, r.orderbook_seq): ([(o.id, o.size) for o in r.bids], [(o.id, o.size) for o in r.asks]) for r in got}
+    assert books == {("A", 2): ([("b", 1), ("a", 2)], []), ("A", 5): ([("b", 1), ("a", 1)], [("c", 4)]), ("A", 6): ([("a", 1)], []),
+                     ("A", 8): ([], []), ("B", 3): ([], [])}
+
+
+def test_dealt_messages_are_small_and_complete(spark, scratch):
+    # a message like the one before it: 300 of 80 KB
+    text = F.concat_ws(",", F.transform(F.sequence(F.lit(0), F.lit(9_000)), lambda i: F.xxhash64(i + F.floor(F.col("id") / 300)).cast("string")))
+    rows = spark.range(300, numPartitions=1).select(F.lit("A").alias("symbol"), F.concat(F.col("id").cast("string"), text).alias("value"))
+    messages = keyed_messages(rows, F.col("value"), 8, "symbol")
+    write_message_log(messages, scratch + "/sorted")
+    write_message_log(messages, scratch + "/dealt", dealt=True)
+    read = lambda name: spark.read.parquet(f"{scratch}/{name}")
+    assert read("dealt").exceptAll(read("sorted")).count() == 0 and read("dealt").count() == 300
+    size = lambda name: read(name).select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0]
+    assert size("dealt") * 10 < size("sorted")
+    assert read("dealt").select("partition").distinct().first()[0] == spark.range(1).select(hash_bucket(F.lit("A"), 8)).first()[0]
