@@ -193,6 +193,13 @@ def meetings(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     return shaped(near).join(patterns, ["side", "word", "shape"]).select("oid", "tkey", "i", "instance", "side", "word", "shape")
 
 
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word, n: how often each word stands in the corpus; one scan. Words are counted map-side, before any join, so what is
+    shuffled is a task's different words and not every word of the corpus."""
+    each = F.explode(F.split(F.lower("text"), r"\s+")).alias("word")
+    return keyed(docs).select(each).groupBy("word").agg(F.count("*").alias("n"))
+
+
 def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(accepted patterns with their confidence; instance, score) from edges (side, word, shape, instance, n, seed)."""
     pattern = ["side", "word", "shape"]
@@ -217,9 +224,8 @@ def context_spans(docs: DataFrame, base: DataFrame) -> DataFrame:
     known = kept(seeded.select(instance(F.col("piece")).alias("instance"), F.lit(1.0).alias("seed")).distinct(), "known")
     # seeds are counted where they stand, words by a scan
     sure = seeded.groupBy("side", "word").agg(F.count("*").alias("seeds")).join(patterns.select("side", "word").distinct(), ["side", "word"])
-    each = F.explode(F.split(F.lower("text"), r"\s+")).alias("word")
-    count = keyed(docs).select(each).join(sure.select("word").distinct(), "word").groupBy("word").agg(F.count("*").alias("n"))
-    words = sure.join(count, "word").filter(F.col("seeds") >= START * F.col("n")).select("side", "word")
+    sure = kept(sure, "sure")
+    words = sure.join(word_counts(docs).join(sure.select("word").distinct(), "word"), "word").filter(F.col("seeds") >= START * F.col("n")).select("side", "word")
     patterns = kept(patterns.join(words, ["side", "word"]), "patterns")
     if not patterns.limit(1).count():
         return base.select("oid", "tkey", "begin", "end", F.lit(1.0).alias("confidence")).limit(0)

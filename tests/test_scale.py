@@ -85,3 +85,13 @@ def test_dealt_messages_are_small_and_complete(spark, scratch):
     size = lambda name: read(name).select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0]
     assert size("dealt") * 10 < size("sorted")
     assert read("dealt").select("partition").distinct().first()[0] == spark.range(1).select(hash_bucket(F.lit("A"), 8)).first()[0]
+
+
+def test_words_are_counted_before_they_are_shuffled(spark):
+    from matchbook.llm import pii
+
+    docs = spark.createDataFrame([(1, "a B a"), (2, None), (3, "b\tc")], "doc_id bigint, text string")
+    found = pii.word_counts(docs)
+    assert {(r.word, r.n) for r in found.collect() if r.word} == {("a", 2), ("b", 2), ("c", 1)}
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "partial_count" in plan and "Join" not in plan
