@@ -42,7 +42,7 @@ RADIUS = 4
 SEGMENTS = ((0, 21, 1), (21, 21, 1), (42, 22, 0))
 #: Shingles counted at once, pairs compared at once, links of one fingerprint in a forest.
 PIECE = 1 << 16
-PAIRS = 1 << 20
+PAIRS = 1 << 17
 FAN = 32
 #: Fingerprints under one table value that are still compared pair by pair.
 CROWD = 1 << 14
@@ -124,7 +124,7 @@ def met(value: np.ndarray, fp: np.ndarray, own: np.ndarray, radius: int) -> tupl
     n = len(value)
     end = np.searchsorted(value, value, "right")
     count = np.where(own, end - np.arange(n) - 1, 0)
-    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    found_a, found_b, size = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
     total = np.concatenate([[0], np.cumsum(count)])
     at = 0
     while at < n:
@@ -135,8 +135,10 @@ def met(value: np.ndarray, fp: np.ndarray, own: np.ndarray, radius: int) -> tupl
         a, b = forest(fp[left[near]].view(np.int64), fp[right[near]].view(np.int64))
         found_a.append(a)
         found_b.append(b)
-        if len(found_a) > 64:
+        size += len(a)
+        if size > PAIRS:  # no more links are held than pairs are compared at once
             found_a, found_b = ([x] for x in forest(np.concatenate(found_a), np.concatenate(found_b)))
+            size = 0
         at = to
     return forest(np.concatenate(found_a), np.concatenate(found_b))
 

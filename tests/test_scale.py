@@ -1,7 +1,9 @@
 """What must not grow with the tables: rows of one task, jobs of one run."""
 
 import datetime as dt
+import tracemalloc
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from matchbook.functions.symbols import hash_bucket
@@ -95,3 +97,16 @@ def test_words_are_counted_before_they_are_shuffled(spark):
     assert {(r.word, r.n) for r in found.collect() if r.word} == {("a", 2), ("b", 2), ("c", 1)}
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert "partial_count" in plan and "Join" not in plan
+
+
+def test_comparing_a_large_group_holds_few_pairs():
+    from matchbook.llm import simhash
+
+    one = np.uint64(1) << np.random.default_rng(1).integers(0, 64, (3, 12_000)).astype(np.uint64)
+    fp = np.unique(np.uint64(0x1234567890ABCDEF) ^ one[0] ^ one[1] ^ one[2])[:9_000]
+    tracemalloc.start()
+    a, b = simhash.met(np.zeros(len(fp), np.int64), fp, np.ones(len(fp), bool), 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(a) == len(fp) - 1 and len(set(a.tolist()) | set(b.tolist())) == len(fp)
+    assert peak < 32e6
