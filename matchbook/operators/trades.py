@@ -9,10 +9,10 @@ already present from *other* batches or runs are removed by an anti-join on
 (by stream position), chosen with an aggregate, not a window: the map-side
 partial aggregate collapses copies of an id before the shuffle.
 
-Beside the table lies an id index: for each batch and bucket, pages of ``PAGE_BITS`` bits (built-in bitmap aggregates)
-in which ``HASHES`` bits are set for each stored id. A new batch asks the index which stored batches may hold one of its
-ids and reads the ids of those alone; a batch of new ids reads none. The index has no false negatives, so the result
-is that of the full anti-join. It is written before the rows it speaks of.
+Beside the table lies an id index: for each batch and bucket, pages of 64-bit hashes of the stored ids. A new batch asks
+the index which stored batches may hold one of its ids and reads the ids of those alone; a batch of new ids reads none,
+however many ids it and the table have. The index has no false negatives, so the result is that of the full anti-join.
+It is written before the rows it speaks of.
 """
 
 from __future__ import annotations
@@ -38,12 +38,12 @@ STAGE_TABLE = "table"
 #: Folder of the id index inside the table's folder (a leading underscore hides it from the table).
 ID_INDEX = "_ids"
 INDEX = T.StructType([T.StructField("id_bucket", T.IntegerType()), T.StructField("pages", T.LongType()),
-                      T.StructField("page", T.LongType()), T.StructField("bits", T.BinaryType()),
+                      T.StructField("page", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType())),
                       T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())])
-#: Bits of a page (that of the built-in bitmap), bits set for an id, ids meant for a page (1 in 500 others pass).
-PAGE_BITS = 1 << 15
-HASHES = 4
+#: Ids meant for a page.
 IDS_PER_PAGE = 1 << 11
+#: Rows of a batch meant for a task.
+ROWS_PER_TASK = 1 << 15
 #: Stored batches that are named one by one in a filter; beyond that every stored id is read.
 OPEN_AT_ONCE = 1000
 
@@ -98,10 +98,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def _bit_places() -> list[Column]:
-    """The places of an id's bits within its page."""
-    h = F.xxhash64("execution_id", F.lit("bits"))
-    return [F.shiftrightunsigned(h, 15 * k).bitwiseAND(F.lit(PAGE_BITS - 1)) for k in range(HASHES)]
+def _id_hash() -> Column:
+    """What the index keeps of an id; another hash than those of its bucket and page."""
+    return F.xxhash64("execution_id", F.lit("bits"))
 
 
 def _page(pages: Column) -> Column:
@@ -109,29 +108,44 @@ def _page(pages: Column) -> Column:
     return F.pmod(F.xxhash64("execution_id", F.lit("page")), pages)
 
 
+def pages_for(ids: int, buckets: int) -> int:
+    """Pages of a bucket (a power of two) for a batch of ``ids`` ids."""
+    return 1 << max(0, (max(ids, 1) // (buckets * IDS_PER_PAGE)).bit_length())
+
+
+def tasks_for(rows: int) -> int:
+    """Tasks that shall hold a batch of ``rows`` rows."""
+    return max(1, -(-rows // ROWS_PER_TASK))
+
+
 def id_pages(rows: DataFrame, pages: int) -> DataFrame:
-    """id_bucket, pages, page, bits: the index of the ids in ``rows``, ``pages`` pages for each bucket."""
-    bits = rows.select("id_bucket", F.lit(pages).cast("long").alias("pages"), _page(F.lit(pages)).alias("page"), F.explode(F.array(*_bit_places())).alias("place"))
-    return bits.groupBy("id_bucket", "pages", "page").agg(F.bitmap_construct_agg("place").alias("bits"))
+    """id_bucket, pages, page, hashes: the index of the ids in ``rows``, ``pages`` pages for each bucket."""
+    hashed = rows.select("id_bucket", F.lit(pages).cast("long").alias("pages"), _page(F.lit(pages)).alias("page"), _id_hash().alias("hash"))
+    return hashed.groupBy("id_bucket", "pages", "page").agg(F.collect_list("hash").alias("hashes"))
+
 
+def batches_that_may_hold(rows: DataFrame, index: DataFrame, own_pages: int = 1) -> DataFrame:
+    """run_id, batch_id of the index's batches that may hold an id of ``rows`` (execution_id, id_bucket).
 
-def batches_that_may_hold(rows: DataFrame, index: DataFrame) -> DataFrame:
-    """run_id, batch_id of the index's batches that may hold an id of ``rows`` (execution_id, id_bucket)."""
+    The ids asked for are put into pages too and compared page by page, so each stored batch costs a pass over its hashes
+    and not a test of every row. ``own_pages`` (a power of two) is the least number of pages they are put into; pages of
+    a stored batch that has fewer are compared with several of them.
+    """
     sizes = [r.pages for r in index.select("pages").distinct().collect()]  # powers of two: a few values
     if not sizes:
         return index.select("run_id", "batch_id")
     asked = rows.select("execution_id", "id_bucket", F.explode(F.array(*[F.lit(n).cast("long") for n in sizes])).alias("pages"))
-    asked = asked.withColumn("page", _page(F.col("pages")))
-    asked = asked.select("id_bucket", "pages", "page", F.array(*_bit_places()).alias("places"))
-    byte = "cast(conv(hex(substring(bits, cast(p div 8 as int) + 1, 1)), 16, 10) as int)"
-    held = F.expr(f"forall(places, p -> (shiftright({byte}, cast(p % 8 as int)) & 1) = 1)")
+    own = _page(F.greatest(F.col("pages"), F.lit(own_pages).cast("long")))
+    asked = asked.select("id_bucket", "pages", own.alias("own_page"), _id_hash().alias("hash"))
+    asked = asked.groupBy("id_bucket", "pages", "own_page").agg(F.collect_list("hash").alias("asked")).withColumn("page", F.col("own_page") % F.col("pages"))
+    held = F.coalesce(F.arrays_overlap("asked", "hashes"), F.lit(True))  # an index of older make has no hashes: look
     return asked.join(index, ["id_bucket", "pages", "page"]).filter(held).select("run_id", "batch_id").distinct()
 
 
-def _stored_ids(spark: SparkSession, path: str, rows: DataFrame, other: Column) -> DataFrame | None:
+def _stored_ids(spark: SparkSession, path: str, rows: DataFrame, other: Column, pages: int) -> DataFrame | None:
     """id_bucket, execution_id of the stored batches (those that ``other`` admits) that may hold an id of ``rows``."""
     index = spark.read.schema(INDEX).parquet(os.path.join(path, ID_INDEX)).filter(other)
-    found = batches_that_may_hold(rows, index).limit(OPEN_AT_ONCE + 1).collect()
+    found = batches_that_may_hold(rows, index, pages).limit(OPEN_AT_ONCE + 1).collect()
     if not found or not _exists(spark, path):
         return None
     stored = spark.read.schema(STORED).parquet(path).filter(other)
@@ -147,23 +161,26 @@ def _stored_ids(spark: SparkSession, path: str, rows: DataFrame, other: Column)
 
 
 def insert_trades(spark: SparkSession, executions: DataFrame, path: str, batch_id: int,
-                  buckets: int = ID_BUCKETS, run_id: str = "0", table: str | None = None) -> DataFrame:
+                  buckets: int = ID_BUCKETS, run_id: str = "0", table: str | None = None, tasks: int | None = None) -> DataFrame:
     """Append one batch of executions to the table at ``path``, skipping ids already stored.
 
     Returns the rejected rows (NOT NULL and BIGINT violations) for the quarantine (see ``table_rejects``).
     Safe to call again with the same ``run_id`` and ``batch_id`` (a replay rewrites itself).
     One task writes each bucket of a batch. With ``table`` the batch's partitions are also added to the catalog
-    table of that name (made if absent), so that it shows the batch as soon as it is written.
+    table of that name (made if absent), so that it shows the batch as soon as it is written. ``tasks`` is the most tasks
+    that hold the batch's rows (see ``tasks_for``): these rows are gone over several times, and a small batch in as many
+    tasks as the session's shuffles have costs more to schedule than to do.
     """
     good, bad = table_rows(executions)
     order = [c for c in ("partition", "offset", "fill_no") if c in good.columns] or ["executed_at"]
-    rows = _with_bucket(first_per_id(good, order), buckets).select(*TRADES_COLUMNS, "id_bucket").persist()
+    rows = _with_bucket(first_per_id(good, order), buckets).select(*TRADES_COLUMNS, "id_bucket")
+    rows = (rows if tasks is None else rows.coalesce(tasks)).persist()
     fresh = rows
     try:
-        pages = 1 << max(0, (max(rows.count(), 1) // (buckets * IDS_PER_PAGE)).bit_length())
+        pages = pages_for(rows.count(), buckets)
         index = os.path.join(path, ID_INDEX)
         if _exists(spark, index):
-            stored = _stored_ids(spark, path, rows, (F.col("run_id") != F.lit(run_id)) | (F.col("batch_id") != F.lit(batch_id)))
+            stored = _stored_ids(spark, path, rows, (F.col("run_id") != F.lit(run_id)) | (F.col("batch_id") != F.lit(batch_id)), pages)
             if stored is not None:
                 fresh = rows.join(stored, ["id_bucket", "execution_id"], "left_anti").persist()
         own = {"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long")}

@@ -11,7 +11,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.trades import insert_trades, table_rejects
+from ..operators.trades import insert_trades, table_rejects, tasks_for
 from ..schemas import EXECUTION
 from ..session import checkpoint_dir
 from ..sources.requests import decode_json
@@ -29,10 +29,10 @@ def persist_sink(path: str, rejects: str, run_id: str, table: str | None = None,
     """foreachBatch body. ``as_text``: the batch holds messages (partition, offset, value) instead of executions."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        refused = None
+        refused, tasks = None, tasks_for(batch.count())
         if as_text:
             batch, refused = decode_json(batch, EXECUTION)
-        insert_trades(batch.sparkSession, batch, path, batch_id, run_id=run_id, table=table)
+        insert_trades(batch.sparkSession, batch, path, batch_id, run_id=run_id, table=table, tasks=tasks)
         bad = table_rejects(batch)
         _write_batch(bad if refused is None else bad.unionByName(refused), rejects, batch_id, run_id)
 

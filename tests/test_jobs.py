@@ -104,6 +104,24 @@ def test_persister_after_a_kill_between_batches(spark, scratch, monkeypatch):
     assert refused.count() == fills.count() and {r.reason for r in refused.select("reason").distinct().collect()} == {"not_null"}
 
 
+def test_persister_holds_a_small_batch_in_few_tasks(spark, scratch, monkeypatch):
+    held, was = [], trades.id_pages
+    monkeypatch.setattr(trades, "id_pages", lambda rows, pages: held.append(rows.rdd.getNumPartitions()) or was(rows, pages))
+    monkeypatch.setattr(trades, "ROWS_PER_TASK", 400)
+    fills = book.executions_with_position(book.match_batch(order_flow(read_table(spark, SF, "events")), emit_final=False))
+    log, path = os.path.join(scratch, "log"), os.path.join(scratch, "trades")
+    fills.coalesce(1).write.parquet(log)
+    n = fills.count()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        persist.run_persist_stream(persist.execution_stream(spark, log, 1), path, checkpoint=os.path.join(scratch, "ckpt"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert 400 * 32 > n > 0 and held == [trades.tasks_for(n)] and held[0] < 32
+    same(trades.read_trades(spark, path), fills.select(*trades.TRADES_COLUMNS))
+
+
 def test_persister_of_messages_into_the_catalog(spark, scratch):
     src, path = os.path.join(scratch, "src"), os.path.join(scratch, "trades")
     value = '{"symbol":"A","price":"5","size":2,"bid_request_id":"b","ask_request_id":"a","execution_id":"%s","executed_at":"2024-01-01T00:00:01Z"}'

@@ -111,6 +111,42 @@ def test_id_index_has_no_false_negative_on_many_pages(spark):
     assert passed <= 2
 
 
+def test_a_large_batch_of_new_ids_opens_no_stored_batch(spark):
+    """Large batches as well as small ones: chance hits grow with both, and one would have every id of a batch read."""
+    def ids(low, high):
+        return trades._with_bucket(spark.range(low, high).selectExpr("concat('b', id, '-a', id) AS execution_id"), 4)
+
+    parts = [trades.id_pages(ids(k * 20000, (k + 1) * 20000), trades.pages_for(20000, 4)).withColumns({"run_id": F.lit("r"), "batch_id": F.lit(k).cast("long")})
+             for k in range(3)]
+    index = parts[0].unionByName(parts[1]).unionByName(parts[2]).cache()
+    assert max(r.n for r in index.select(F.size("hashes").alias("n")).collect()) < 2 * trades.IDS_PER_PAGE
+    for own in (1, 16):
+        assert trades.batches_that_may_hold(ids(60000, 160000), index, own).count() == 0
+        found = trades.batches_that_may_hold(ids(59999, 160000).unionByName(ids(0, 1)), index, own)
+        assert sorted(r.batch_id for r in found.collect()) == [0, 2]
+
+
+def test_large_batch_after_a_small_one(spark, scratch):
+    path = os.path.join(scratch, "trades")
+    small, large = ([("A", 1, 1, f"b{i}", f"a{i}", t(1), f"b{i}-a{i}", 0, i, 0) for i in r] for r in (range(0, 900, 9), range(900)))
+    trades.insert_trades(spark, ex(spark, small), path, 0, buckets=1)
+    trades.IDS_PER_PAGE, was = 8, trades.IDS_PER_PAGE
+    try:
+        for _ in range(2):
+            trades.insert_trades(spark, ex(spark, large), path, 1, buckets=1)
+    finally:
+        trades.IDS_PER_PAGE = was
+    table = spark.read.schema(trades.STORED).parquet(path)
+    assert {r.batch_id: r["count"] for r in table.groupBy("batch_id").count().collect()} == {0: 100, 1: 800}
+
+
+def test_batches_of_an_older_index_are_read(spark):
+    """Index pages without hashes (their batches were written before there were any) may hold every id."""
+    rows = trades._with_bucket(spark.range(5).selectExpr("concat('x', id) AS execution_id"), 1)
+    index = spark.createDataFrame([(0, 1, 0, None, "r", 4)], trades.INDEX)
+    assert [tuple(r) for r in trades.batches_that_may_hold(rows, index).collect()] == [("r", 4)]
+
+
 def test_more_batches_than_a_filter_names(spark, scratch, monkeypatch):
     monkeypatch.setattr(trades, "OPEN_AT_ONCE", 1)
     path = os.path.join(scratch, "trades")
