@@ -110,3 +110,48 @@ def test_comparing_a_large_group_holds_few_pairs():
     tracemalloc.stop()
     assert len(a) == len(fp) - 1 and len(set(a.tolist()) | set(b.tolist())) == len(fp)
     assert peak < 32e6
+
+
+def resting_log(spark, n, symbol="A"):
+    """Headers after every tenth of ``n`` orders that all come to rest, and their order log."""
+    steps = spark.range(1, n + 1).select(F.lit(symbol).alias("symbol"), F.lit("BUY").alias("side"), F.concat(F.lit("r"), F.col("id").cast("string")).alias("id"),
+                                         F.lit(5).cast("bigint").alias("price"), F.col("id").alias("seq"), F.lit(1).cast("bigint").alias("size"), F.col("id").alias("book_seq"))
+    headers = spark.range(10, n + 1, 10).select(F.lit(T0).cast("timestamp_ntz").alias("created_at"), F.lit(symbol).alias("symbol"),
+                                                F.lit(0).alias("trades_partition"), F.col("id").alias("last_offset"), F.col("id").alias("orderbook_seq"))
+    return headers, steps
+
+
+def test_long_lives_are_repeated_as_seldom_in_long_logs(spark):
+    for n in (500, 8_000):
+        assert lifetimes._binned(*resting_log(spark, n), 4).count() < 10 * n
+    numbers = spark.range(0, 200_000).select("id", lifetimes._bin(F.col("id"), 16).alias("bin"))
+    found = numbers.groupBy("bin").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).orderBy("bin").collect()
+    assert len(found) < 70 and all(a.hi + 1 == b.lo for a, b in zip(found, found[1:]))
+
+
+def test_log_is_shuffled_once_for_its_lives(spark):
+    steps = spark.createDataFrame([("A", "BUY", "a", 5, 1, 2, 1), ("A", "BUY", "a", 5, 1, 0, 2)], ORDER_STEP)
+    plan = lifetimes.lifetimes(steps)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_books_take_little_room_in_a_file(spark, scratch):
+    headers, steps = resting_log(spark, 3_000)
+    books = lifetimes.books_at(headers, steps)
+    assert books.count() == sum(range(10, 3_001, 10))
+    books.coalesce(1).write.parquet(scratch + "/books")
+    size = spark.read.parquet(scratch + "/books").select("_metadata.file_size").first()[0]
+    assert size < 1.5 * books.count()
+
+
+def test_books_of_repeated_empty_and_unnumbered_headers(spark):
+    steps = [("A", "BUY", "a", 5, 1, 2, 1), ("A", "BUY", "b", 7, 2, 1, 2), ("A", "BUY", "a", 5, 1, 0, 3), ("A", "BUY", "b", 7, 2, 0, 3), ("A", "BUY", "b", 7, 2, 0, 3),
+             ("A", "SELL", "c", 9, 30, 4, 30), ("C", "SELL", "d", 9, 1, 4, 1)]
+    steps = spark.createDataFrame([(s, side, i, p, q, z, b) for s, side, i, p, q, z, b in steps], ORDER_STEP)
+    heads = [("A", 2), ("A", 2), ("A", 5), ("A", 30), ("A", 700), ("B", 3), ("A", None), (None, 4)]
+    headers = spark.createDataFrame([(T0, s, 0, k, n) for k, (s, n) in enumerate(heads)], SNAPSHOT_HEADER)
+    want = [("A", 2, 0, "a", 2), ("A", 2, 0, "b", 1), ("A", 2, 1, "a", 2), ("A", 2, 1, "b", 1), ("A", 5, 2, None, None), ("A", 30, 3, "c", 4),
+            ("A", 700, 4, "c", 4), ("B", 3, 5, None, None), ("A", None, 6, None, None), (None, 4, 7, None, None)]
+    for width in (1024, 2):
+        got = lifetimes.books_at(headers, steps, width).collect()
+        assert sorted(((r.symbol, r.orderbook_seq, r.last_offset, r.id, r.size) for r in got), key=repr) == sorted(want, key=repr)
