@@ -6,13 +6,15 @@ import tracemalloc
 import numpy as np
 from pyspark.sql import functions as F
 
+from matchbook.functions.render import snapshot_json
 from matchbook.functions.symbols import hash_bucket
 from matchbook.operators import book, lifetimes, snapshots
 from matchbook.operators.epochs import epoch_bounds, match_in_epochs
 from matchbook.operators.routing import keyed_messages, write_message_log
 from matchbook.plans import queries
-from matchbook.schemas import ORDER_STEP, SNAPSHOT_HEADER
+from matchbook.schemas import ORDER_STEP, SNAPSHOT, SNAPSHOT_HEADER
 from matchbook.sources import order_flow, read_table
+from matchbook.sources.requests import decode_json, plain_arrays, split_plain
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -155,3 +157,53 @@ def test_books_of_repeated_empty_and_unnumbered_headers(spark):
     for width in (1024, 2):
         got = lifetimes.books_at(headers, steps, width).collect()
         assert sorted(((r.symbol, r.orderbook_seq, r.last_offset, r.id, r.size) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def text_of(orders):
+    return ",".join('{"id":"%s","price":"%s","size":"%s","seq":"%s"}' % o for o in orders)
+
+
+def test_texts_of_whole_books_are_the_messages(spark, scratch):
+    found = queries._books(spark, event_folder(spark, scratch))
+    steps = found[1].withColumn("id", F.when(F.col("seq") % 3 == 0, F.concat(F.lit('"\\},{é\n'), "id")).when(F.col("seq") % 5 != 0, F.col("id")))
+    arrays, texts = (lifetimes.whole_books(found[0], steps, width=16, texts=x) for x in (False, True))
+    a, b = (x.select(snapshot_json(x).alias("value")) for x in (arrays, texts))
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    lines = b.select(F.lit(0).cast("bigint").alias("offset"), "value")
+    want = lifetimes.books_at(found[0], steps).withColumn("id", F.when(F.col("seq").isNotNull(), F.coalesce("id", F.lit(""))))
+    got = snapshots.flatten_snapshots(decode_json(lines, SNAPSHOT)[0])
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_orders_of_plain_messages_are_read_apart(spark):
+    head = '{"created_at":"2024-01-01T00:00:00.000000Z","symbol":"A","trades_partition":1,"last_offset":"7","orderbook_seq":"9",'
+    one, two, odd = ("a", 5, 2, 1), ("b", 6, 1, 2), ("},{", 7, 3, 3)
+    plain = [(([one, two], [one])), (([], [one])), (([two], [])), (([], []))]
+    text = lambda bids, asks: head + '"bids":[' + text_of(bids) + '],"asks":[' + text_of(asks) + "]}"
+    other = [text([one], [odd, two]), text([one], []).replace('"5"', "5"), text([one], []).replace('"a"', '"\\u0061"'), text([one, two], []).replace("},{", "} ,{"),
+             text([one], [two]).replace('"bids":[', '"bids":[ '), text([one, two], []) + " ", '{"symbol":"A"}', '{"asks":[],"bids":[' + text_of([one]) + "]}"]
+    bad = [text([one, two], [one])[:-1], text([one], []).replace('"5"', '"-5"'), text([one, two], []).replace("},{", "},"), text([one, two], []).replace("},{", "}},{"),
+           text([one], []).replace('"5"', '"9223372036854775808"'), text([one, two], []).replace("},{", ",{"), "x" + text([one], []), text([one], [])[1:],
+           text([one], []).replace("2024-01-01", "2024-02-31"), text([one], []).replace('"7"', '"x"'), ""]
+    every = [text(*p) for p in plain] + other + bad
+    lines = spark.createDataFrame([(0, i, t) for i, t in enumerate([*every, None])], "partition int, offset bigint, value string").coalesce(1)
+    split = split_plain(lines, plain_arrays(SNAPSHOT), "value").collect()
+    assert len(split) == len(every) + 1
+    read = {r.offset: r for r in split}
+    for i, (bids, asks) in enumerate(plain):
+        r = read[i]
+        assert r.value == text([], [])
+        assert [tuple(map(str, o)) for o in r._plain_bids] == [tuple(map(str, o)) for o in bids]
+        assert [tuple(map(str, o)) for o in r._plain_asks] == [tuple(map(str, o)) for o in asks]
+    for i, t in list(enumerate(every))[len(plain):len(plain) + len(other)]:
+        assert read[i].value == t and read[i]._plain_bids is None and read[i]._plain_asks is None, t
+    good, rejects = decode_json(lines, SNAPSHOT)
+    found = {r.offset: r for r in good.collect()}
+    assert sorted(found) == list(range(len(plain) + len(other)))
+    ids = lambda orders: [(o.id, o.price, o.size, o.seq) for o in orders]
+    assert [(ids(found[i].bids), ids(found[i].asks)) for i in range(5)] == [*plain, ([one], [odd, two])]
+    assert found[0].created_at == T0 and (found[0].last_offset, found[0].orderbook_seq, found[0].trades_partition, found[0].symbol) == (7, 9, 1, "A")
+    assert all(ids(found[i].bids) == [one] for i in (5, 6, 8, 11)) and all(ids(found[i].bids) == [one, two] for i in (7, 9)) and found[10].bids == []
+    refused = {r.offset: r.raw for r in rejects.collect()}
+    assert sorted(refused) == list(range(len(found), len(every) + 1))
+    assert all(refused[i] == t for i, t in enumerate(every) if i in refused)
