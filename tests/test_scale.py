@@ -143,7 +143,7 @@ def test_books_take_little_room_in_a_file(spark, scratch):
     assert books.count() == sum(range(10, 3_001, 10))
     books.coalesce(1).write.parquet(scratch + "/books")
     size = spark.read.parquet(scratch + "/books").select("_metadata.file_size").first()[0]
-    assert size < 1.5 * books.count()
+    assert size < 0.6 * books.count()
 
 
 def test_books_of_repeated_empty_and_unnumbered_headers(spark):
